@@ -13,28 +13,36 @@ PREFIX_MAX = 4
 PREFIX_WEIGHT = 0.1
 
 
-def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+# Not code points: they fill the cells behind a text and the cells already matched, and match nothing.
+_END_A, _END_B = 0xFFFFFFFF, 0xFFFFFFFE
+
+
+def _code_points(texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     filled = np.arange(max(lengths.max(initial=0), 1)) < lengths[:, None]
-    codes = np.zeros(filled.shape, dtype=np.uint32)
+    codes = np.full(filled.shape, end, dtype=np.uint32)
     codes[filled] = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
     return codes, lengths
 
 
 def jaro_winkler_batch(left: list[str], right: list[str]) -> np.ndarray:
     """Similarity of each pair of texts; all pairs advance together, one right-hand character at a time."""
-    a, len_a = _code_points(left)
-    b, len_b = _code_points(right)
+    a, len_a = _code_points(left, _END_A)
+    b, len_b = _code_points(right, _END_B)
     rows, pos = np.arange(len(left)), np.arange(a.shape[1])
-    reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)[:, None]
-    free, used_b = pos < len_a[:, None], np.zeros(b.shape, dtype=bool)
-    for j in range(b.shape[1]):
-        fits = free & (a == b[:, j : j + 1]) & (np.abs(pos - j) <= reach) & (j < len_b)[:, None]
+    reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)
+    widest, uneven = reach.max(initial=0), reach.min(initial=0) != reach.max(initial=0)
+    open_a, used_b = a.copy(), np.zeros(b.shape, dtype=bool)
+    for j in range(min(b.shape[1], a.shape[1] + widest)):
+        lo, hi = max(0, j - widest), j + widest + 1
+        fits = open_a[:, lo:hi] == b[:, j : j + 1]
+        if uneven:
+            fits &= np.abs(pos[lo:hi] - j) <= reach[:, None]
         first = fits.argmax(axis=1)
-        hit = fits[rows, first]
-        free[rows[hit], first[hit]] = False
+        hit = np.nonzero(fits[rows, first])[0]
+        open_a[hit, first[hit] + lo] = _END_A
         used_b[hit, j] = True
-    used_a = (pos < len_a[:, None]) & ~free
+    used_a = open_a != a
     common = used_a.sum(axis=1)
     # Both sides hold the same number of matched characters per row, so the flattened lists line up.
     moved = np.bincount(np.nonzero(used_a)[0], weights=a[used_a] != b[used_b], minlength=len(left)) // 2
@@ -51,7 +59,12 @@ def _jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     both = (left.notna() & right.notna()).to_numpy()
     out = np.full(len(left), np.nan)
     if both.any():
-        out[both] = jaro_winkler_batch(left[both].tolist(), right[both].tolist())
+        # Names repeat a lot within a batch, so each distinct pair is compared once.
+        a, texts_a = pd.factorize(left[both].to_numpy(dtype=object))
+        b, texts_b = pd.factorize(right[both].to_numpy(dtype=object))
+        pairs, where = np.unique(a.astype(np.int64) * len(texts_b) + b, return_inverse=True)
+        score = jaro_winkler_batch(texts_a[pairs // len(texts_b)].tolist(), texts_b[pairs % len(texts_b)].tolist())
+        out[both] = score[where]
     return pd.Series(out).where(both, None)
 
 

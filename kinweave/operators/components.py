@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from kinweave.session import LoopState
+from kinweave.session import LoopState, cut, observed
 
 
-def _large_star(pairs: DataFrame) -> DataFrame:
-    """Tie every node to the smallest node seen by its smaller neighbour."""
-    low = pairs.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("lowest"))
-    return pairs.join(low, "lo", "left").select("hi", F.coalesce("lowest", "lo").alias("lo")).distinct()
+def _lowest(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """Smallest neighbour below each node, one row per node that has any, and the number of rows."""
+    seen = Observation()
+    low = pairs.groupBy("hi").agg(F.min("lo").alias("lowest")).observe(seen, F.count(F.lit(1)).alias("nodes"))
+    low = cut(low, "lowest")
+    return low, observed(seen, low, "nodes")[0]
 
 
-def _small_star(pairs: DataFrame) -> DataFrame:
+def _large_star(pairs: DataFrame, low: DataFrame) -> DataFrame:
+    """Tie every node to the smallest node below its smaller neighbour."""
+    return pairs.join(low.withColumnRenamed("hi", "lo"), "lo", "left").select("hi", "lo", "lowest")
+
+
+def _small_star(pairs: DataFrame, low: DataFrame) -> DataFrame:
     """Tie a node and its smaller neighbours to the smallest of them."""
-    low = pairs.groupBy("hi").agg(F.min("lo").alias("lowest"))
     moved = pairs.join(low, "hi").where(F.col("lo") != F.col("lowest"))
     return (
         low.select("hi", F.col("lowest").alias("lo"))
@@ -27,34 +33,27 @@ def _small_star(pairs: DataFrame) -> DataFrame:
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``(id, component)`` for every vertex; the component is named by its smallest member id.
 
-    The edge list shrinks towards one star per component. Each half round is one join and one
-    distinct, is written once and is read twice. The loop ends when a round leaves the edge list as it was, which
-    the round's own output reports, so no extra pass is made.
+    The edge list shrinks towards one star per component. A half round joins the edges to the table of
+    smallest neighbours, one row per node; that table is written first, so the join is between two scans
+    and the adaptive skew join can split the edges of a star's centre. The loop ends when every node hangs
+    on one node that hangs on none, which the jobs that write the round's tables report on the way.
     """
-    spark = edges.sparkSession
-    state = LoopState(spark, "components")
-    pairs = (
+    state = LoopState(edges.sparkSession, "components")
+    pairs = state.advance(
         edges.where(F.col("src") != F.col("dst"))
         .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
         .distinct()
     )
-    pairs = state.advance(pairs)
-    previous = None
     for _ in range(max_rounds):
-        pairs = state.advance(_large_star(pairs))
-        seen = Observation()
-        pairs = state.advance(
-            _small_star(pairs).observe(
-                seen,
-                F.count(F.lit(1)).alias("n"),
-                F.bit_xor(F.xxhash64("hi", "lo")).alias("digest"),
-                F.sum(F.pmod(F.xxhash64("lo", "hi"), F.lit(1 << 30))).alias("total"),
-            )
+        low, nodes = _lowest(pairs)
+        hanging = Observation()
+        star = _large_star(pairs, low).observe(
+            hanging, F.count(F.lit(1)).alias("pairs"), F.count("lowest").alias("deep")
         )
-        now = tuple(sorted(seen.get.items()))
-        if now == previous:
+        pairs = state.advance(star.select("hi", F.coalesce("lowest", "lo").alias("lo")).distinct())
+        if observed(hanging, pairs, "pairs", "deep") == [nodes, 0]:
             break
-        previous = now
+        pairs = state.advance(_small_star(pairs, _lowest(pairs)[0]))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return vertices.select("id").join(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.operators.skew import SLICE_ROWS, sliced_join
+from kinweave.session import cut
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,7 @@ def triangle_count(graph: Graph, slice_rows: int = SLICE_ROWS) -> DataFrame:
         .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
         .distinct()
     )
-    degree = degrees(pairs)
+    degree = cut(degrees(pairs), "degrees")
     ranked = pairs.join(
         degree.select(F.col("id").alias("src"), F.col("degree").alias("src_degree")), "src"
     ).join(degree.select(F.col("id").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
@@ -93,7 +94,7 @@ def find_motif(
     result has one struct column per vertex name (``id``) and per edge name (the edge's columns). Both
     ends of an edge must be vertices of the graph. ``edge_filters`` restrict single edges before joining.
     """
-    ids = graph.vertices.select(F.col("id").alias("_vertex")).distinct()
+    ids = cut(graph.vertices.select(F.col("id").alias("_vertex")).distinct(), "vertices")
     filters = edge_filters or {}
     columns = graph.edges.columns
 

@@ -16,6 +16,7 @@ from kinweave.operators.resolve.comparisons import (
 from kinweave.operators.skew import SLICE_ROWS
 
 FLOOR = 1e-6
+FEW_RECORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -68,6 +69,9 @@ def sample_random_pairs(
     """
     n = records.count()
     buckets = max(1, math.ceil(n * (n - 1) / 2 / max_pairs))
+    if n < FEW_RECORDS:
+        # Partitions are sized by bytes read, and few records make many pairs.
+        records = records.repartition(records.sparkSession.sparkContext.defaultParallelism)
     drawn = records.withColumn("bucket", stable_bucket_wide("record_id", buckets))
     return rule_pairs(drawn, ("bucket",), slice_rows)
 

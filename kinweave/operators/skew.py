@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from kinweave.session import cut
+from kinweave.session import cut, observed
 
 # A task joins at most about this many rows per side for one key.
 SLICE_ROWS = 5_000
@@ -57,7 +57,7 @@ def sliced_join(
         ).observe(seen, F.count(F.lit(1)).alias("n")),
         "hot-keys",
     )
-    n_hot = seen.get["n"]
+    n_hot = observed(seen, hot, "n")[0]
     on = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
     extra = [] if condition is None else [condition]
     out = [*left.columns, *right.columns]

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from kinweave.operators.skew import BROADCAST_ROWS
-from kinweave.session import cut
+from kinweave.session import cut, observed
 
 # A vertex with more outgoing edges than this has them spread over several partitions.
 SLICE_EDGES = 500_000
@@ -27,7 +27,7 @@ class SpreadEdges:
             .observe(seen, F.count(F.lit(1)).alias("n")),
             "hubs",
         )
-        n_hot = seen.get["n"]
+        n_hot = observed(seen, self._hot, "n")[0]
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._keys = ["src"]
         if n_hot:

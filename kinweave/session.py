@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "kinweave") -> SparkSession:
@@ -67,6 +68,20 @@ def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = ()) ->
     return write_and_read(df, scratch_path(df.sparkSession, name), partition_by)
 
 
+def observed(seen: Observation, written: DataFrame, *counts: str) -> list[int]:
+    """Counts that the job writing ``written`` took on the way.
+
+    An input found empty at run time is removed from the plan together with its observation, and then
+    there is nothing to get.
+    """
+    try:
+        return [seen.get[c] for c in counts]
+    except Py4JJavaError:
+        if written.isEmpty():
+            return [0] * len(counts)
+        raise
+
+
 class LoopState:
     """State of an iterative job, written every round into one of two alternating folders.
 
