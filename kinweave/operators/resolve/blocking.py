@@ -22,7 +22,7 @@ def comparison_input(guests_raw: DataFrame) -> DataFrame:
     return guests_raw.select("record_id", *FIELDS)
 
 
-def _agree(rule: tuple[str, ...]) -> Column:
+def agree(rule: tuple[str, ...]) -> Column:
     return reduce(Column.__and__, [F.col(f"{c}_l") == F.col(f"{c}_r") for c in rule])
 
 
@@ -49,7 +49,7 @@ def candidate_pairs(
     for i, rule in enumerate(rules):
         pairs = rule_pairs(records, rule, slice_rows)
         for earlier in rules[:i]:
-            pairs = pairs.where(~F.coalesce(_agree(earlier), F.lit(False)))
+            pairs = pairs.where(~F.coalesce(agree(earlier), F.lit(False)))
         parts.append(pairs.withColumn("match_key", F.lit(rule_name(rule))))
     return reduce(DataFrame.unionByName, parts)
 

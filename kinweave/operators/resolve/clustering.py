@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kinweave.operators.components import connected_components
 from kinweave.operators.resolve.blocking import BLOCKING_RULES, FIELDS
 from kinweave.operators.resolve.comparisons import with_gammas, with_term_frequencies
-from kinweave.operators.resolve.model import MatchModel, score_pairs, tf_columns, with_weights
+from kinweave.operators.resolve.model import MatchModel, tf_columns, with_weights
+from kinweave.operators.resolve.scoring import score_pairs
 from kinweave.operators.skew import SLICE_ROWS
 from kinweave.session import cut
 

@@ -18,12 +18,17 @@ from kinweave.session import cut
 
 @dataclass(frozen=True)
 class Comparison:
-    """``levels`` are named from the closest down and leave out the null and the last, "all other" level."""
+    """``levels`` are named from the closest down and leave out the null and the last, "all other" level.
+
+    ``shared`` gives for each of these levels what two records at that level have in common, as
+    expressions over one record that are equal on both sides; empty where nothing need be equal.
+    """
 
     name: str
     columns: tuple[str, ...]
     levels: tuple[str, ...]
     conditions: Callable[[], list[Column]]
+    shared: Callable[[], list[tuple[Column, ...]]]
     term_frequency: bool = False
 
     @property
@@ -56,8 +61,12 @@ def forename_surname(first: str, last: str, close: tuple[float, ...] = (0.92, 0.
             fl == fr,
         ]
 
+    def shared() -> list[tuple[Column, ...]]:
+        f, l = F.col(first), F.col(last)
+        return [(f, l), (F.least(f, l), F.greatest(f, l)), *[() for _ in close], (l,), (f,)]
+
     names = ("both exact", "swapped", *[f"both similar {t}" for t in close], "surname exact", "forename exact")
-    return Comparison("name", (first, last), names, conditions)
+    return Comparison("name", (first, last), names, conditions, shared)
 
 
 def email(column: str, close: float = 0.88) -> Comparison:
@@ -66,9 +75,11 @@ def email(column: str, close: float = 0.88) -> Comparison:
         user_a, user_b = F.substring_index(a, "@", 1), F.substring_index(b, "@", 1)
         return [a == b, user_a == user_b, jaro_winkler(a, b) >= close, jaro_winkler(user_a, user_b) >= close]
 
-    return Comparison(
-        column, (column,), ("exact", "same user", f"similar {close}", f"similar user {close}"), conditions
-    )
+    def shared() -> list[tuple[Column, ...]]:
+        return [(F.col(column),), (F.substring_index(F.col(column), "@", 1),), (), ()]
+
+    levels = ("exact", "same user", f"similar {close}", f"similar user {close}")
+    return Comparison(column, (column,), levels, conditions, shared)
 
 
 def postcode(column: str, graded: bool = True) -> Comparison:
@@ -76,12 +87,21 @@ def postcode(column: str, graded: bool = True) -> Comparison:
     if not graded:
         return exact(column)
 
+    def district(c: Column) -> Column:
+        return F.substring_index(c, " ", 1)
+
+    def area(c: Column) -> Column:
+        return F.nullif(F.regexp_extract(c, "^[A-Za-z]+", 0), F.lit(""))
+
     def conditions() -> list[Column]:
         a, b = _sides(column)
-        area = [F.nullif(F.regexp_extract(c, "^[A-Za-z]+", 0), F.lit("")) for c in (a, b)]
-        return [a == b, F.substring_index(a, " ", 1) == F.substring_index(b, " ", 1), area[0] == area[1]]
+        return [a == b, district(a) == district(b), area(a) == area(b)]
 
-    return Comparison(column, (column,), ("exact", "same district", "same area"), conditions)
+    def shared() -> list[tuple[Column, ...]]:
+        c = F.col(column)
+        return [(c,), (district(c),), (area(c),)]
+
+    return Comparison(column, (column,), ("exact", "same district", "same area"), conditions, shared)
 
 
 def exact(column: str, term_frequency: bool = False) -> Comparison:
@@ -89,7 +109,10 @@ def exact(column: str, term_frequency: bool = False) -> Comparison:
         a, b = _sides(column)
         return [a == b]
 
-    return Comparison(column, (column,), ("exact",), conditions, term_frequency)
+    def shared() -> list[tuple[Column, ...]]:
+        return [(F.col(column),)]
+
+    return Comparison(column, (column,), ("exact",), conditions, shared, term_frequency)
 
 
 def guest_comparisons(graded_postcode: bool = True) -> list[Comparison]:

@@ -9,11 +9,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.functions.buckets import stable_bucket
-from kinweave.operators.resolve.blocking import BLOCKING_RULES, candidate_pairs, count_rule_pairs, rule_name, rule_pairs
+from kinweave.operators.resolve.blocking import count_rule_pairs, rule_name, rule_pairs
 from kinweave.operators.resolve.comparisons import (
-    Comparison, guest_comparisons, level_counts, pattern_counts, with_gammas, with_term_frequencies,
+    Comparison, guest_comparisons, level_counts, pattern_counts, with_gammas,
 )
 from kinweave.operators.skew import SLICE_ROWS
+from kinweave.session import cut
 
 FLOOR = 1e-6
 FEW_RECORDS = 100_000
@@ -91,6 +92,28 @@ def estimate_u(records: DataFrame, comparisons: list[Comparison], max_pairs: int
     )
 
 
+def rule_patterns(
+    records: DataFrame, rule: tuple[str, ...], comparisons: list[Comparison], slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Pairs that agree on the rule, per combination of levels.
+
+    Records alike in all columns that matter are counted first, so copies are multiplied, not paired.
+    """
+    columns = sorted({*rule, *(column for c in comparisons for column in c.columns)})
+    kinds = cut(
+        records.dropna(subset=list(rule)).groupBy(*columns)
+        .agg(F.min("record_id").alias("record_id"), F.count(F.lit(1)).cast("double").alias("copies")),
+        "kinds",
+    )
+    apart = rule_pairs(kinds, rule, slice_rows).withColumn("pairs", F.col("copies_l") * F.col("copies_r"))
+    alike = kinds.where(F.col("copies") > 1).select(
+        *[F.col(c).alias(f"{c}_{side}") for side in "lr" for c in kinds.columns],
+        (F.col("copies") * (F.col("copies") - 1) / 2).alias("pairs"),
+    )
+    counted = with_gammas(apart.unionByName(alike), comparisons, ("pairs",))
+    return counted.groupBy(*[f"gamma_{c.name}" for c in comparisons]).agg(F.sum("pairs").alias("pairs"))
+
+
 def starting_m(top: int) -> list[float]:
     """Most of the matches on the closest level, the rest spread evenly."""
     return [0.1 / top] * top + [0.9]
@@ -163,9 +186,8 @@ def train(
     sessions = {}
     for rule in training_rules:
         free = [c for c in comparisons if not set(c.columns) & set(rule)]
-        gammas = with_gammas(rule_pairs(records, rule, slice_rows), free)
         # At most the product of the level counts.
-        patterns = pattern_counts(gammas, free).collect()
+        patterns = rule_patterns(records, rule, free, slice_rows).collect()
         if patterns:
             sessions[rule_name(rule)] = em_session(patterns, free, u, rounds)
 
@@ -177,6 +199,15 @@ def train(
     return Training(model, sessions)
 
 
+def level_bits(model: MatchModel, name: str, level: int) -> float:
+    """Weight of a level, rarity left out."""
+    return math.log2(model.m[name][level] / model.u[name][level])
+
+
+def prior_bits(model: MatchModel) -> float:
+    return math.log2(model.prior / (1 - model.prior))
+
+
 def with_weights(gammas: DataFrame, model: MatchModel) -> DataFrame:
     """Add per comparison the weight ``bf_<name>`` in bits and ``bf_tf_<name>`` where rarity counts, then
     ``match_weight`` and ``match_probability``. The level weights are constants of the plan."""
@@ -186,14 +217,14 @@ def with_weights(gammas: DataFrame, model: MatchModel) -> DataFrame:
         gamma = F.col(f"gamma_{c.name}")
         bits = F.lit(0.0)
         for level in range(c.top + 1):
-            bits = F.when(gamma == level, F.lit(math.log2(model.m[c.name][level] / model.u[c.name][level]))).otherwise(bits)
+            bits = F.when(gamma == level, F.lit(level_bits(model, c.name, level))).otherwise(bits)
         columns.append(bits.alias(f"bf_{c.name}"))
         weights.append(F.col(f"bf_{c.name}"))
         if c.term_frequency:
             rarity = F.log2(F.lit(model.u[c.name][c.top]) / F.col(f"tf_{c.columns[0]}"))
             columns.append(F.when(gamma == c.top, rarity).otherwise(F.lit(0.0)).alias(f"bf_tf_{c.name}"))
             weights.append(F.col(f"bf_tf_{c.name}"))
-    total = F.lit(math.log2(model.prior / (1 - model.prior)))
+    total = F.lit(prior_bits(model))
     for w in weights:
         total = total + w
     return (
@@ -206,19 +237,6 @@ def tf_columns(model: MatchModel) -> list[str]:
     return [f"tf_{c.columns[0]}" for c in model.comparisons if c.term_frequency]
 
 
-def score_pairs(
-    records: DataFrame, model: MatchModel, rules: list[tuple[str, ...]] | None = None,
-    threshold: float | None = 0.8, slice_rows: int = SLICE_ROWS, frequencies_of: DataFrame | None = None,
-) -> DataFrame:
-    """Candidate pairs with levels, weights and probability, those at or above ``threshold``."""
-    known = with_term_frequencies(records, model.comparisons, frequencies_of)
-    pairs = candidate_pairs(known, rules or BLOCKING_RULES, slice_rows)
-    tf = [F.col(f"{c}_l").alias(c) for c in tf_columns(model)]
-    gammas = pairs.select("*", *tf)
-    scored = with_weights(with_gammas(gammas, model.comparisons, ("match_key", *tf_columns(model))), model)
-    return scored if threshold is None else scored.where(F.col("match_probability") >= threshold)
-
-
 def explain(scored: DataFrame, model: MatchModel) -> DataFrame:
     """One row per pair and comparison: the level reached and the bits it adds, rarity included."""
     rows = [

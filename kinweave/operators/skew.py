@@ -27,6 +27,14 @@ def _slices(df: DataFrame, keys: list[str], slice_rows: int, name: str) -> DataF
     )
 
 
+def hot_keys(df: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, int]:
+    """The key values with more than ``slice_rows`` rows, and their number."""
+    seen = Observation()
+    hot = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > slice_rows)
+    hot = cut(hot.select(*keys).observe(seen, F.count(F.lit(1)).alias("n")), "hot-keys")
+    return hot, observed(seen, hot, "n")[0]
+
+
 def sliced_join(
     left: DataFrame,
     right: DataFrame,

@@ -11,6 +11,7 @@ from kinweave.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(4, memory="4g", app="kinweave-tests")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield session
     session.stop()

@@ -48,10 +48,19 @@ def as_dict(df):
     return {r[0]: r[1] for r in df.collect()}
 
 
-@pytest.mark.parametrize("name", GRAPHS)
+def together(names):
+    """The named graphs side by side, as one graph that keeps them apart."""
+    vertices, edges = [], []
+    for i, name in enumerate(names):
+        v, e = GRAPHS[name]
+        vertices += [100 * i + x for x in v]
+        edges += [(100 * i + a, 100 * i + b) for a, b in e]
+    return vertices, edges
+
+
 @pytest.mark.parametrize("kind", ["string", "long"])
-def test_components_of_small_graphs(spark, name, kind):
-    vertices, edges = GRAPHS[name]
+def test_components_of_small_graphs(spark, kind):
+    vertices, edges = together(GRAPHS)
     g = make(spark, vertices, edges, kind)
     want = union_find(vertices, edges)
     if kind == "string":
@@ -59,12 +68,17 @@ def test_components_of_small_graphs(spark, name, kind):
     assert as_dict(connected_components(g.vertices, g.edges)) == want
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_components_without_edges(spark):
+    g = make(spark, [3, 1], [], "long")
+    assert as_dict(connected_components(g.vertices, g.edges)) == {1: 1, 3: 3}
+
+
+@settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seed=st.integers(0, 10_000))
 def test_components_equal_union_find(spark, seed):
     rnd = random.Random(seed)
-    vertices = list(range(60))
-    edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(rnd.randrange(1, 60))]
+    vertices = list(range(200))
+    edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(rnd.randrange(1, 220))]
     g = make(spark, vertices, edges, "long")
     assert as_dict(connected_components(g.vertices, g.edges)) == union_find(vertices, edges)
 
@@ -80,10 +94,9 @@ def pagerank_by_hand(vertices, edges, rounds=10):
     return rank
 
 
-@pytest.mark.parametrize("name", ["isolated", "parallel", "two_cycle", "star", "k4", "self_loop"])
 @pytest.mark.parametrize("slice_edges", [500_000, 2])
-def test_pagerank(spark, name, slice_edges):
-    vertices, edges = GRAPHS[name]
+def test_pagerank(spark, slice_edges):
+    vertices, edges = together(["isolated", "parallel", "two_cycle", "star", "k4", "self_loop"])
     g = make(spark, vertices, edges, "long")
     want = pagerank_by_hand(vertices, edges)
     got = as_dict(centrality.pagerank(g, normalized=False, slice_edges=slice_edges))
@@ -105,10 +118,9 @@ def labels_by_hand(vertices, edges, rounds=5):
     return label
 
 
-@pytest.mark.parametrize("name", ["isolated", "parallel", "star", "k4", "path"])
 @pytest.mark.parametrize("slice_edges", [500_000, 2])
-def test_label_propagation(spark, name, slice_edges):
-    vertices, edges = GRAPHS[name]
+def test_label_propagation(spark, slice_edges):
+    vertices, edges = together(["isolated", "parallel", "star", "k4", "path"])
     got = as_dict(centrality.label_propagation(make(spark, vertices, edges, "long"), slice_edges=slice_edges))
     assert got == labels_by_hand(vertices, edges)
 
@@ -189,13 +201,13 @@ def simple_path_ends(edges, seed, hops):
     return {(d, v) for d, vs in out.items() for v in vs}
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_reach_forms_agree(spark, seed):
     rnd = random.Random(seed)
     edges = [(rnd.randrange(9), rnd.randrange(9)) for _ in range(16)]
     g = make(spark, range(9), edges, "long")
     start = spark.createDataFrame([(edges[0][0],)], "seed long")
-    for hops in (1, 2, 3, 4):
+    for hops in (2, 3, 4):
         want = simple_path_ends(edges, edges[0][0], hops)
         got = {tuple(r) for r in traverse.reach_by_paths(g.edges, start, hops).collect()}
         assert got == want, hops
