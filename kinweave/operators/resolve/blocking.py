@@ -26,7 +26,7 @@ def agree(rule: tuple[str, ...]) -> Column:
     return reduce(Column.__and__, [F.col(f"{c}_l") == F.col(f"{c}_r") for c in rule])
 
 
-def rule_pairs(records: DataFrame, rule: tuple[str, ...], slice_rows: int = SLICE_ROWS) -> DataFrame:
+def rule_pairs(records: DataFrame, rule: tuple[str, ...], slice_rows: int | None = SLICE_ROWS) -> DataFrame:
     """All pairs that agree on one rule, smaller id left. Nulls agree with nothing."""
     left, right = (records.select(*[F.col(c).alias(f"{c}_{side}") for c in records.columns]) for side in "lr")
     return sliced_join(

@@ -10,7 +10,7 @@ from kinweave.operators.components import connected_components
 from kinweave.operators.resolve.blocking import BLOCKING_RULES, FIELDS
 from kinweave.operators.resolve.comparisons import with_gammas, with_term_frequencies
 from kinweave.operators.resolve.model import MatchModel, tf_columns, with_weights
-from kinweave.operators.resolve.scoring import score_pairs
+from kinweave.operators.resolve.scoring import score_known_pairs
 from kinweave.operators.skew import SLICE_ROWS
 from kinweave.session import cut
 
@@ -42,10 +42,9 @@ def resolve(
         records.groupBy(*FIELDS).agg(F.min("record_id").alias("record_id"), F.count(F.lit(1)).alias("copies")),
         "profiles",
     )
-    known = cut(with_term_frequencies(profiles.select("record_id", "copies", *FIELDS), model.comparisons, records), "known")
-    content = profiles.select("record_id", *FIELDS)
+    known = cut(with_term_frequencies(profiles, model.comparisons, records), "known")
     links = cut(
-        score_pairs(content, model, rules, threshold, slice_rows, records).select(
+        score_known_pairs(known.drop("copies"), model, rules, threshold, slice_rows, records).select(
             F.col("record_id_l").alias("src"), F.col("record_id_r").alias("dst")
         ),
         "links",
@@ -62,8 +61,12 @@ def resolve(
     joined = links.select(F.explode(F.array("src", "dst")).alias("id")).union(alike.select("record_id_l")).distinct()
     groups = connected_components(profiles.select(F.col("record_id").alias("id")), links)
     marked = groups.join(joined.withColumn("joined", F.lit(True)), "id", "left")
-    by_content = profiles.join(marked, F.col("record_id") == F.col("id")).select(
-        *[F.col(c).alias(f"p_{c}") for c in FIELDS], "component", "joined"
+    # Written, so that the adaptive skew join can split the records of a content with many copies.
+    by_content = cut(
+        profiles.join(marked, F.col("record_id") == F.col("id")).select(
+            *[F.col(c).alias(f"p_{c}") for c in FIELDS], "component", "joined"
+        ),
+        "by-content",
     )
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in FIELDS])
     return records.join(by_content, same).select(

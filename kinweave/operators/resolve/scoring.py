@@ -123,13 +123,13 @@ def promising_pairs(
     able = known.where(best_case(model, rule) >= _threshold_bits(threshold))
     hot, n_hot = hot_keys(able, list(rule), slice_rows)
     if n_hot == 0:
-        return rule_pairs(able, rule, slice_rows)
+        return rule_pairs(able, rule, None)
     keys = refinements(model, rule, threshold, slice_rows / records_in_all)
     if keys is None:
         return rule_pairs(able, rule, slice_rows)
     if n_hot <= BROADCAST_ROWS:
         hot = F.broadcast(hot)
-    cold = rule_pairs(able.dropna(subset=list(rule)).join(hot, list(rule), "left_anti"), rule, slice_rows)
+    cold = rule_pairs(able.dropna(subset=list(rule)).join(hot, list(rule), "left_anti"), rule, None)
     if not keys:
         return cold
     inside = able.join(hot, list(rule), "left_semi")
@@ -138,18 +138,23 @@ def promising_pairs(
 
 def score_pairs(
     records: DataFrame, model: MatchModel, rules: list[tuple[str, ...]] | None = None,
-    threshold: float | None = 0.8, slice_rows: int = SLICE_ROWS, frequencies_of: DataFrame | None = None,
+    threshold: float | None = 0.8, slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Candidate pairs with levels, weights and probability, those at or above ``threshold``.
+    """Candidate pairs with levels, weights and probability, those at or above ``threshold``."""
+    known = cut(with_term_frequencies(records, model.comparisons), "known")
+    return score_known_pairs(known, model, rules, threshold, slice_rows, records)
 
-    ``frequencies_of`` is the table that term frequencies are counted in, ``records`` by default.
-    """
+
+def score_known_pairs(
+    known: DataFrame, model: MatchModel, rules: list[tuple[str, ...]] | None, threshold: float | None,
+    slice_rows: int, counted_in: DataFrame,
+) -> DataFrame:
+    """``score_pairs`` of records that already carry their term frequencies, counted in ``counted_in``."""
     rules = rules or BLOCKING_RULES
-    known = cut(with_term_frequencies(records, model.comparisons, frequencies_of), "known")
     if threshold is None:
         pairs = candidate_pairs(known, rules, slice_rows)
     else:
-        n = max(1, (records if frequencies_of is None else frequencies_of).count())
+        n = max(1, counted_in.count())
         parts = []
         for i, rule in enumerate(rules):
             part = promising_pairs(known, rule, model, threshold, n, slice_rows)

@@ -42,15 +42,21 @@ def sliced_join(
     right_keys: list[str],
     condition: Column | None = None,
     same_counts: bool = False,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = SLICE_ROWS,
 ) -> DataFrame:
     """Inner equi-join of two tables with disjoint column names, whole and balanced.
 
     Keys with more than ``slice_rows`` rows on a side are found by one pre-aggregated count. Such a
     key's rows are cut into slices and each left slice meets each right slice in a task of its own,
     so no task ever holds a whole hot key. Without hot keys this is a plain join.
-    ``same_counts`` says that both sides hold the same rows per key, so one count is enough.
+    ``same_counts`` says that both sides hold the same rows per key, so one count is enough;
+    ``slice_rows=None`` that the caller knows of no hot key.
     """
+    on = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
+    extra = [] if condition is None else [condition]
+    out = [*left.columns, *right.columns]
+    if slice_rows is None:
+        return left.join(right, reduce(Column.__and__, on + extra)).select(*out)
     nk = len(left_keys)
     if same_counts:
         hot = _slices(left, left_keys, slice_rows, "both")
@@ -66,9 +72,6 @@ def sliced_join(
         "hot-keys",
     )
     n_hot = observed(seen, hot, "n")[0]
-    on = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
-    extra = [] if condition is None else [condition]
-    out = [*left.columns, *right.columns]
     if n_hot == 0:
         return left.join(right, reduce(Column.__and__, on + extra)).select(*out)
 

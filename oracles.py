@@ -38,9 +38,9 @@ CTES: dict[str, str] = {
     "members": "SELECT DISTINCT party_id, booking_id, golden_id FROM party_members JOIN guests_resolved USING (record_id)",
     "attended": """SELECT DISTINCT a.golden_id AS src, b.golden_id AS dst, 'attended_with' AS relationship
         FROM members a JOIN members b ON a.party_id = b.party_id AND a.golden_id < b.golden_id""",
-    "paid": """SELECT DISTINCT gp.golden_id AS src, m.golden_id AS dst, 'paid_for' AS relationship
-        FROM bookings b JOIN guests_resolved gp ON b.payer_record_id = gp.record_id JOIN members m ON m.party_id = b.party_id
-        WHERE gp.golden_id <> m.golden_id""",
+    "payers": "SELECT b.party_id, g.golden_id FROM bookings b JOIN guests_resolved g ON b.payer_record_id = g.record_id",
+    "paid": """SELECT DISTINCT p.golden_id AS src, m.golden_id AS dst, 'paid_for' AS relationship
+        FROM payers p JOIN members m ON m.party_id = p.party_id AND m.golden_id <> p.golden_id""",
     "edges": "SELECT * FROM attended UNION SELECT * FROM paid",
     "triplets": """SELECT record_id AS subject_id, 'raw_record' AS subject_type, 'RESOLVES_TO' AS predicate,
           golden_id AS object_id, 'guest' AS object_type, CAST(0.95 AS DOUBLE) AS confidence,

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -16,7 +17,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
-    con = duckdb.connect()
+    spill = tempfile.mkdtemp(prefix="oracle-spill-")
+    con = duckdb.connect(config={"temp_directory": spill, "max_temp_directory_size": "4GB"})
     for table in TABLES.split():
         if Path(f"{sf_dir}/{table}.parquet").exists():
             con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
