@@ -50,7 +50,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         star = _large_star(pairs, low).observe(
             hanging, F.count(F.lit(1)).alias("pairs"), F.count("lowest").alias("deep")
         )
-        pairs = state.advance(star.select("hi", F.coalesce("lowest", "lo").alias("lo")).distinct())
+        # Duplicates that arise here go with those of the small star.
+        pairs = state.advance(star.select("hi", F.coalesce("lowest", "lo").alias("lo")))
         if observed(hanging, pairs, "pairs", "deep") == [nodes, 0]:
             break
         pairs = state.advance(_small_star(pairs, _lowest(pairs)[0]))

@@ -98,13 +98,18 @@ def find_motif(
     filters = edge_filters or {}
     columns = graph.edges.columns
 
+    known: set[str] = set()
+
     def step(src: str, edge: str, dst: str) -> DataFrame:
         rows = graph.edges.where(filters[edge]) if edge in filters else graph.edges
-        rows = rows.join(ids, F.col("src") == F.col("_vertex"), "left_semi")
-        rows = rows.join(ids, F.col("dst") == F.col("_vertex"), "left_semi")
         if src == dst:
             rows = rows.where(F.col("src") == F.col("dst"))
         ends = {src: F.col("src"), dst: F.col("dst")}
+        # A vertex met in an earlier edge has been checked there.
+        for name, end in ends.items():
+            if name not in known:
+                rows = rows.join(ids, end == F.col("_vertex"), "left_semi")
+                known.add(name)
         return rows.select(*[c.alias(f"v_{n}") for n, c in ends.items()], F.struct(*columns).alias(edge))
 
     found = step(*pattern[0])

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave import session
-from kinweave.plans import value
+from kinweave.operators import relations
+from kinweave.operators.resolve.model import GIVEN_MODEL
+from kinweave.plans import metrics, publish, value
 from kinweave.sources import catalog, guests
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -120,3 +122,30 @@ def test_library_keeps_rows_on_the_executors():
                 if node.func.attr in ("collect", "toPandas", "first", "take", "head", "toLocalIterator"):
                     seen[path.name, node.func.attr] = seen.get((path.name, node.func.attr), 0) + 1
     assert seen == ALLOWED
+
+
+def test_published_run(spark, schema):
+    with pytest.raises(ValueError):
+        publish.publish_spine(spark)
+    for name in publish.RAW_TABLES:
+        catalog.save_table(guests.derive(spark, SF, name), name)
+    with pytest.raises(ValueError, match="cohort_spend"):
+        publish.publish_edge_table(spark)
+    summary = dict(map(tuple, publish.publish_spine(spark, GIVEN_MODEL).collect()))
+    assert summary["raw_source_records"] == 245 and 150 <= summary["golden_guests"] <= 245
+    assert summary["activity_cohorts"] == summary["cohort_spend_rows"]
+    profile = dict(map(tuple, publish.publish_edge_table(spark).collect()))
+    assert profile["RESOLVES_TO"] == 245 and profile["VISITED_WITH"] % 2 == 0
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()))
+
+    table, spend = spark.table("gold_triplets"), spark.table("cohort_spend")
+    names = relations.guest_names(spark.table("guests_resolved"), spark.table("guests_raw"))
+    assert rows(spark.table("v_edges_labeled")) == rows(relations.labeled_edges(table, names))
+    assert rows(spark.table("v_node_degree")) == rows(relations.companion_degree(table))
+    assert rows(spark.table("mv_cohort_value")) == rows(metrics.cohort_value_metrics(spend).query())
+    assert rows(spark.table("v_cohort_value").select("segment")) == rows(spend.select("segment"))
+    assert spark.table("guest_influence").count() == summary["golden_guests"]
+    assert spark.table("guest_2hop").where("hops = 1").count() == profile["VISITED_WITH"]
+    assert spark.table("guest_communities").count() == spark.table("guest_centrality").count() == spark.table("guest_triangles").count()
