@@ -83,23 +83,6 @@ def reach_by_distance(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> D
     return seen.where(F.col("depth") > 0)
 
 
-def reach_recursive_sql(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> DataFrame:
-    """The same as ``reach_by_paths`` as one recursive query that carries the paths; for small graphs."""
-    return edges.sparkSession.sql(
-        """
-        WITH RECURSIVE reach(guest_id, depth, path) AS (
-          SELECT dst, 1, array(src, dst) FROM {links} WHERE src = (SELECT seed FROM {seed}) AND src <> dst
-          UNION ALL
-          SELECT e.dst, r.depth + 1, array_append(r.path, e.dst)
-          FROM reach r JOIN {links} e ON e.src = r.guest_id
-          WHERE r.depth < {max_hops} AND NOT array_contains(r.path, e.dst)
-        )
-        SELECT DISTINCT depth, guest_id FROM reach
-        """,
-        links=edges.select("src", "dst").distinct(), seed=seed, max_hops=max_hops,
-    )
-
-
 def guests_per_depth(reach: DataFrame) -> DataFrame:
     return reach.groupBy("depth").agg(F.count(F.lit(1)).alias("guests_reached")).orderBy("depth")
 

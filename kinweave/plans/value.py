@@ -8,15 +8,12 @@ from kinweave.functions.buckets import stable_bucket
 
 WITH_PASS, WITHOUT_PASS = "has_pass_holder", "no_pass_holder"
 
-COHORT_VALUE_COMMENT = (
-    "Activity cohorts with member count and total park spend; a cohort is a group of guests connected by "
-    "shared bookings and payments."
-)
+COHORT_VALUE_COMMENT = "Size and park revenue of every cohort, one row each, split by the pass campaign."
 COHORT_VALUE_COLUMNS = {
-    "cohort_id": "Activity cohort, a connected component of the relationship graph.",
-    "segment": "Whether the cohort contains a free-pass holder.",
-    "cohort_members": "Number of distinct golden guests in the cohort.",
-    "total_spend_gbp": "Total in-park spend attributed to the cohort, in GBP.",
+    "cohort_id": "Smallest golden id among the guests that bookings and payments tie together.",
+    "segment": "has_pass_holder if any member got a campaign pass, no_pass_holder otherwise.",
+    "cohort_members": "How many golden guests belong to the cohort, those who never spent included.",
+    "total_spend_gbp": "Pounds spent in the parks by all members, rounded to pence.",
 }
 COHORT_VALUE_QUERY = "SELECT cohort_id, segment, cohort_members, total_spend_gbp FROM {cohort_spend}"
 

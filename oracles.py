@@ -73,20 +73,22 @@ CTES: dict[str, str] = {
     "txn": """SELECT t.txn_id, t.amount_gbp, c.cohort_id, r.golden_id
         FROM transactions t JOIN guests_resolved r USING (record_id) JOIN cohorts c ON c.id = r.golden_id""",
     "pass_holders": """SELECT id AS golden_id FROM cohorts WHERE CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 100 < 5""",
-    "cohort_flag": "SELECT DISTINCT c.cohort_id FROM cohorts c JOIN pass_holders p ON p.golden_id = c.id",
-    "cohort_spend": """SELECT g.cohort_id,
-          CASE WHEN f.cohort_id IS NOT NULL THEN 'has_pass_holder' ELSE 'no_pass_holder' END AS segment,
-          count(DISTINCT g.id) AS cohort_members, round(sum(coalesce(txn.amount_gbp, 0)), 2) AS total_spend_gbp
-        FROM cohorts g LEFT JOIN txn ON txn.cohort_id = g.cohort_id AND txn.golden_id = g.id
-        LEFT JOIN cohort_flag f ON f.cohort_id = g.cohort_id GROUP BY 1, 2""",
+    "members_per_cohort": "SELECT cohort_id, count(*) AS n FROM cohorts GROUP BY cohort_id",
+    "spend_per_cohort": "SELECT cohort_id, sum(amount_gbp) AS spend FROM txn GROUP BY cohort_id",
+    "passes_per_cohort": """SELECT cohort_id, count(*) AS passes FROM cohorts
+        WHERE id IN (SELECT golden_id FROM pass_holders) GROUP BY cohort_id""",
+    "cohort_spend": """SELECT cohort_id, if(passes > 0, 'has_pass_holder', 'no_pass_holder') AS segment,
+          n AS cohort_members, round(coalesce(spend, 0), 2) AS total_spend_gbp
+        FROM members_per_cohort LEFT JOIN spend_per_cohort USING (cohort_id) LEFT JOIN passes_per_cohort USING (cohort_id)""",
     "hops": """SELECT guest_id, reachable_guest, min(hops) AS hops FROM (
           SELECT src AS guest_id, dst AS reachable_guest, 1 AS hops FROM visited
           UNION ALL SELECT a.src, b.dst, 2 FROM visited a JOIN visited b ON a.dst = b.src)
         WHERE guest_id <> reachable_guest GROUP BY 1, 2""",
-    "walk(guest_id, depth, path)": """SELECT dst, 1, [src, dst] FROM visited WHERE src = (SELECT seed FROM top_guest)
-        UNION ALL
-        SELECT e.dst, w.depth + 1, list_append(w.path, e.dst) FROM walk w JOIN visited e ON e.src = w.guest_id
-        WHERE w.depth < 3 AND NOT list_contains(w.path, e.dst)""",
+    "from_seed": "SELECT src, dst FROM visited WHERE src = (SELECT seed FROM top_guest)",
+    "walk": """SELECT 1 AS depth, dst AS guest_id FROM from_seed
+        UNION SELECT 2, b.dst FROM from_seed a JOIN visited b ON b.src = a.dst WHERE b.dst <> a.src
+        UNION SELECT 3, c.dst FROM from_seed a JOIN visited b ON b.src = a.dst JOIN visited c ON c.src = b.dst
+          WHERE b.dst <> a.src AND c.dst <> a.src AND c.dst <> a.dst""",
     "undirected": "SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM visited",
     "corners": """SELECT unnest([x.a, x.b, y.b]) AS id FROM undirected x JOIN undirected y ON x.b = y.a
         JOIN undirected z ON z.a = x.a AND z.b = y.b""",
@@ -330,7 +332,7 @@ FINAL: dict[str, str] = {
     "triangles": "SELECT v.id, count(c.id) AS count FROM visit_vertices v LEFT JOIN corners c ON c.id = v.id GROUP BY v.id",
     "motif": """SELECT a.src AS a_id, a.dst AS b_id, p.dst AS c_id FROM visited a JOIN paid_edges p ON p.src = a.dst
         WHERE a.src <> p.dst AND p.src IN (SELECT id FROM visit_vertices) AND p.dst IN (SELECT id FROM visit_vertices)""",
-    "khop": "SELECT depth, count(DISTINCT guest_id) AS guests_reached FROM walk GROUP BY depth ORDER BY depth",
+    "khop": "SELECT depth, count(*) AS guests_reached FROM walk GROUP BY depth ORDER BY depth",
     "khop_distance": """SELECT depth, count(*) AS guests_reached FROM
         (SELECT guest_id, min(depth) AS depth FROM walk GROUP BY guest_id) GROUP BY depth ORDER BY depth""",
     "two_hop": "SELECT * FROM hops",
