@@ -52,19 +52,23 @@ def triangle_count(graph: Graph, slice_rows: int = SLICE_ROWS) -> DataFrame:
     Every undirected edge is pointed from the end with the lower degree to the other, which bounds the
     edges leaving a vertex by the square root of twice the edge count, hubs included.
     """
-    pairs = (
+    pairs = cut(
         graph.edges.where(F.col("src") != F.col("dst"))
         .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
-        .distinct()
+        .distinct(),
+        "pairs",
     )
     degree = cut(degrees(pairs), "degrees")
     ranked = pairs.join(
         degree.select(F.col("id").alias("src"), F.col("degree").alias("src_degree")), "src"
     ).join(degree.select(F.col("id").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
     low, high = F.struct("src_degree", "src"), F.struct("dst_degree", "dst")
-    oriented = ranked.select(
-        F.when(low < high, F.col("src")).otherwise(F.col("dst")).alias("u"),
-        F.when(low < high, F.col("dst")).otherwise(F.col("src")).alias("v"),
+    oriented = cut(
+        ranked.select(
+            F.when(low < high, F.col("src")).otherwise(F.col("dst")).alias("u"),
+            F.when(low < high, F.col("dst")).otherwise(F.col("src")).alias("v"),
+        ),
+        "oriented",
     )
     wedges = sliced_join(
         oriented.select("u", "v"),
@@ -110,10 +114,13 @@ def find_motif(
             if name not in known:
                 rows = rows.join(ids, end == F.col("_vertex"), "left_semi")
                 known.add(name)
-        return rows.select(*[c.alias(f"v_{n}") for n, c in ends.items()], F.struct(*columns).alias(edge))
+        # Written, since the join counts its keys first and then reads it.
+        return cut(rows.select(*[c.alias(f"v_{n}") for n, c in ends.items()], F.struct(*columns).alias(edge)), "step")
 
     found = step(*pattern[0])
-    for part in pattern[1:]:
+    for i, part in enumerate(pattern[1:]):
+        if i > 0:
+            found = cut(found, "found")
         nxt = step(*part)
         shared = [c for c in nxt.columns if c.startswith("v_") and c in found.columns]
         if not shared:

@@ -20,11 +20,11 @@ def reach_by_paths(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> Data
     along: whether a step closes a cycle can be told from the smallest and the largest predecessor on
     the way, so each level holds one row per guest instead of one per path. Deeper searches carry paths.
     """
-    links = edges.select("src", "dst").distinct()
+    links = edges.select("src", "dst")
     # One row, so the join filters the scan.
     first = links.join(seed, F.col("src") == F.col("seed")).where(F.col("dst") != F.col("seed")).select(
         "seed", F.col("dst").alias("guest_id")
-    )
+    ).distinct()
     first = cut(first, "hop")
     levels = [first.select(F.lit(1).alias("depth"), "guest_id")]
     if max_hops > 3:
@@ -60,7 +60,7 @@ def _reach_with_paths(links: DataFrame, first: DataFrame, levels: list[DataFrame
         reach = cut(
             links.join(reach, F.col("src") == F.col("guest_id"))
             .where(~F.array_contains("path", F.col("dst")))
-            .select(F.col("dst").alias("guest_id"), F.array_append("path", F.col("dst")).alias("path")),
+            .select(F.col("dst").alias("guest_id"), F.array_append("path", F.col("dst")).alias("path")).distinct(),
             "paths",
         )
         out = out.union(reach.select(F.lit(depth).alias("depth"), "guest_id").distinct())
@@ -69,7 +69,7 @@ def _reach_with_paths(links: DataFrame, first: DataFrame, levels: list[DataFrame
 
 def reach_by_distance(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> DataFrame:
     """``(depth, guest_id)``: each guest once, at its distance from the seed."""
-    links = edges.select("src", "dst").distinct()
+    links = edges.select("src", "dst")
     seen = cut(seed.select(F.lit(0).alias("depth"), F.col("seed").alias("guest_id")), "visited")
     frontier = seen
     for depth in range(1, max_hops + 1):
@@ -90,9 +90,9 @@ def guests_per_depth(reach: DataFrame) -> DataFrame:
 def two_hop(edges: DataFrame, seeds: DataFrame | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Least number of hops, one or two, from each guest to every other guest it reaches.
 
-    ``seeds(seed)`` restricts the starting guests before the join.
+    ``seeds(seed)`` restricts the starting guests before the join. Parallel edges change nothing.
     """
-    links = edges.select("src", "dst").distinct()
+    links = edges.select("src", "dst")
     start = links if seeds is None else links.join(seeds, F.col("src") == F.col("seed"), "left_semi")
     start = start.select(F.col("src").alias("guest_id"), F.col("dst").alias("mid"))
     further = sliced_join(
