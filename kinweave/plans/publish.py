@@ -76,7 +76,7 @@ def publish_spine(
     )
 
 
-def publish_edge_table(spark: SparkSession, agent: str = "splink", fmt: str = "parquet") -> DataFrame:
+def publish_edge_table(spark: SparkSession, agent: str = relations.RESOLUTION_AGENT, fmt: str = "parquet") -> DataFrame:
     """Write the edge table with its views and graph results; returns the edges per predicate."""
     require_tables(spark, (*RAW_TABLES, "guests_resolved", "cohort_spend"))
     resolved = spark.table("guests_resolved")
