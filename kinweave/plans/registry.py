@@ -12,6 +12,7 @@ from kinweave.operators.graph import degrees, edges_of, find_motif, triangle_cou
 from kinweave.operators.resolve import blocking, clustering, comparisons, model
 from kinweave.plans import metrics, questions, value
 from kinweave.plans.stages import PASS_METHOD, Stages, stages
+from kinweave.session import ship_package
 
 QUERIES: dict[str, Callable[[Stages], DataFrame]] = {}
 
@@ -22,7 +23,14 @@ def query(fn: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, fn=fn: fn(stages(spark, sf_dir))) for name, fn in QUERIES.items()}
+    def bound(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(stages(spark, sf_dir))
+
+        return run
+
+    return {name: bound(fn) for name, fn in QUERIES.items()}
 
 
 # Source tables

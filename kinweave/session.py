@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,6 +31,28 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "kinweav
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, whatever folder the driver started in.
+
+    A zip of the package's sources goes to the executors as a file of the job, once per application.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="kinweave-ship-")
+    atexit.register(shutil.rmtree, folder, True)
+    target = f"{folder}/kinweave_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for source in sorted(home.rglob("*.py")):
+            z.write(source, f"{home.name}/{source.relative_to(home)}")
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
