@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import byte_bpe, secret_scan, token_files
+from kinweave.llm import byte_bpe, curriculum, line_rules, secret_scan, token_files
 from kinweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,19 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_check(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, n_planes=16
     )
+
+
+@query
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.per_document(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_curriculum_mix"] = curriculum.ORACLE
+
+
+@query
+def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_line_rules"] = line_rules.ORACLE
