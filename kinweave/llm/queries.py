@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import byte_bpe, curriculum, line_rules, secret_scan, token_files
+from kinweave.llm import byte_bpe, curriculum, line_rules, secret_scan, token_files, toxicity, url_model
 from kinweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,13 @@ def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_line_rules"] = line_rules.ORACLE
+
+
+@query
+def op8_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_model.verdicts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
