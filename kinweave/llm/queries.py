@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import byte_bpe, curriculum, line_rules, secret_scan, token_files, toxicity, url_model
+from kinweave.llm import byte_bpe, curriculum, jaccard_join, line_rules, secret_scan, token_files, toxicity, url_model
 from kinweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op8_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
