@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import byte_bpe, curriculum, jaccard_join, line_rules, secret_scan, token_files, toxicity, url_model
+from kinweave.llm import (
+    byte_bpe, collision_ann, curriculum, jaccard_join, line_rules, secret_scan, token_files, toxicity, url_model,
+)
 from kinweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +69,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.twentieth(table(spark, sf_dir, "embeddings"))
