@@ -31,6 +31,8 @@ MAGIC = b"IDP1"
 BLOCK, CHUNK = 8_192, 262_144
 # Words a worker remembers per generation.
 REMEMBERED = 250_000
+# New words in one call of the tokenizer.
+WORDS_TOGETHER = 2_000
 SCHEMA = "shard int, chunk int, n_ids long, doc_ids array<long>, doc_lengths array<long>, payload binary"
 
 
@@ -103,11 +105,21 @@ class WordEncoder:
         split = [words_of(t) for t in texts]
         self.words.turn()
         new = [w for w in set().union(*split).difference(self.words.young) if not self.words.revive(w)]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.words.young.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+        for i in range(0, len(new), WORDS_TOGETHER):
+            part = new[i : i + WORDS_TOGETHER]
+            self.words.young.update(zip(part, self._encode_words(part)))
         known = self.words.young.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one call on all of them; a token's place tells its word."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ends = np.cumsum([len(w) + 1 for w in words])
+        owner = np.searchsorted(ends, [start for start, _ in found.offsets], "right")
+        upto = [0, *(4 * np.searchsorted(owner, np.arange(len(words)), "right")).tolist()]
+        flat = np.array(found.ids, "<u4").tobytes()
+        return [flat[a:b] for a, b in zip(upto, upto[1:])]
+
 
 _encoders: dict[int, WordEncoder] = {}
 
