@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kinweave.llm import (
-    byte_bpe, collision_ann, curriculum, jaccard_join, line_rules, secret_scan, token_files, toxicity, url_model,
+    byte_bpe, collision_ann, curriculum, jaccard_join, license_scan, line_rules, secret_scan, token_files, toxicity, url_model,
 )
 from kinweave.llm.common import table
 
@@ -74,3 +74,15 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_ann.twentieth(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
