@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from kinweave.session import LoopState, cut, observed
+from kinweave.session import LoopState, observed
 
 
-def _lowest(pairs: DataFrame) -> tuple[DataFrame, int]:
+def _lowest(pairs: DataFrame, state: LoopState) -> tuple[DataFrame, int]:
     """Smallest neighbour below each node, one row per node that has any, and the number of rows."""
     seen = Observation()
     low = pairs.groupBy("hi").agg(F.min("lo").alias("lowest")).observe(seen, F.count(F.lit(1)).alias("nodes"))
-    low = cut(low, "lowest")
+    low = state.advance(low, "lowest-")
     return low, observed(seen, low, "nodes")[0]
 
 
@@ -45,7 +45,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         .distinct()
     )
     for _ in range(max_rounds):
-        low, nodes = _lowest(pairs)
+        low, nodes = _lowest(pairs, state)
         hanging = Observation()
         star = _large_star(pairs, low).observe(
             hanging, F.count(F.lit(1)).alias("pairs"), F.count("lowest").alias("deep")
@@ -54,7 +54,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         pairs = state.advance(star.select("hi", F.coalesce("lowest", "lo").alias("lo")))
         if observed(hanging, pairs, "pairs", "deep") == [nodes, 0]:
             break
-        pairs = state.advance(_small_star(pairs, _lowest(pairs)[0]))
+        pairs = state.advance(_small_star(pairs, _lowest(pairs, state)[0]))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return vertices.select("id").join(

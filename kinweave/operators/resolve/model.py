@@ -17,7 +17,8 @@ from kinweave.operators.skew import SLICE_ROWS
 from kinweave.session import cut
 
 FLOOR = 1e-6
-FEW_RECORDS = 100_000
+# Random pairs that one task compares.
+PAIRS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -66,15 +67,19 @@ def sample_random_pairs(
     """About ``max_pairs`` pairs drawn evenly from all pairs, or all of them if there are fewer.
 
     Records fall into hash buckets, and records of one bucket are paired. The number of buckets grows
-    with the square of the records, so the sample is one equi-join whose size stays the same.
+    with the square of the records, so the sample is one equi-join whose size stays the same. Only ids are
+    joined; the fields are then fetched for the ids drawn, at most two for each pair.
     """
     n = records.count()
-    buckets = max(1, math.ceil(n * (n - 1) / 2 / max_pairs))
-    if n < FEW_RECORDS:
-        # Partitions are sized by bytes read, and few records make many pairs.
-        records = records.repartition(records.sparkSession.sparkContext.defaultParallelism)
-    drawn = records.withColumn("bucket", stable_bucket_wide("record_id", buckets))
-    return rule_pairs(drawn, ("bucket",), slice_rows)
+    all_pairs = n * (n - 1) / 2
+    drawn = records.select("record_id", stable_bucket_wide("record_id", max(1, math.ceil(all_pairs / max_pairs))).alias("bucket"))
+    ids = cut(rule_pairs(drawn, ("bucket",), slice_rows).select("record_id_l", "record_id_r"), "drawn-pairs")
+    wanted = ids.select(F.explode(F.array("record_id_l", "record_id_r")).alias("record_id")).distinct()
+    # The sample bounds the ids, so finding their records shuffles no record.
+    found = cut(records.join(F.broadcast(wanted), "record_id", "left_semi"), "drawn-records")
+    for side in "lr":
+        ids = ids.join(found.select(*[F.col(c).alias(f"{c}_{side}") for c in records.columns]), f"record_id_{side}")
+    return ids.repartition(max(1, math.ceil(min(all_pairs, max_pairs) / PAIRS_PER_TASK)))
 
 
 def stable_bucket_wide(column: str, buckets: int) -> Column:

@@ -46,7 +46,8 @@ def best_case(model: MatchModel, rule: tuple[str, ...]) -> Column:
         closest = F.lit(top)
         if c.term_frequency:
             closest = closest + F.log2(F.lit(model.u[c.name][c.top]) / F.col(f"tf_{c.columns[0]}"))
-        best = closest if _fixed_by(rule, c) else F.greatest(closest, F.lit(max(others)))
+        # A partner without a value is worth nothing, which is best if every level counts against a match.
+        best = closest if _fixed_by(rule, c) else F.greatest(closest, F.lit(max(others)), F.lit(0.0))
         missing = reduce(Column.__or__, [F.col(column).isNull() for column in c.columns])
         total = total + F.when(missing, F.lit(0.0)).otherwise(best)
     return total

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -10,6 +12,8 @@ from kinweave.session import cut, observed
 
 # A vertex with more outgoing edges than this has them spread over several partitions.
 SLICE_EDGES = 500_000
+# Edges in a partition, on average, from which on more partitions are made.
+EDGES_PER_PARTITION = 2_000_000
 
 
 class SpreadEdges:
@@ -20,15 +24,17 @@ class SpreadEdges:
 
     def __init__(self, edges: DataFrame, out_degree: DataFrame, slice_edges: int = SLICE_EDGES):
         spark = edges.sparkSession
-        seen = Observation()
+        seen, total = Observation(), Observation()
         self._hot = cut(
-            out_degree.where(F.col("out_degree") > slice_edges)
+            out_degree.observe(total, F.coalesce(F.sum("out_degree"), F.lit(0)).alias("edges"))
+            .where(F.col("out_degree") > slice_edges)
             .select(F.col("src").alias("_hub"), F.ceil(F.col("out_degree") / slice_edges).cast("int").alias("_slices"))
             .observe(seen, F.count(F.lit(1)).alias("n")),
             "hubs",
         )
         n_hot = observed(seen, self._hot, "n")[0]
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n_edges = observed(total, self._hot, "edges")[0]
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_edges / EDGES_PER_PARTITION))
         self._keys = ["src"]
         if n_hot:
             if n_hot <= BROADCAST_ROWS:

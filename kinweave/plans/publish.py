@@ -76,8 +76,11 @@ def publish_spine(
     )
 
 
-def publish_edge_table(spark: SparkSession, agent: str = relations.RESOLUTION_AGENT, fmt: str = "parquet") -> DataFrame:
-    """Write the edge table with its views and graph results; returns the edges per predicate."""
+def publish_edge_table(spark: SparkSession, agent: str = "kinweave", fmt: str = "parquet") -> DataFrame:
+    """Write the edge table with its views and graph results; returns the edges per predicate.
+
+    ``agent`` is named as the source of the resolution rows.
+    """
     require_tables(spark, (*RAW_TABLES, "guests_resolved", "cohort_spend"))
     resolved = spark.table("guests_resolved")
     golden = relations.members_golden(spark.table("party_members"), resolved)

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinweave.functions.similarity import jaro_winkler
-from kinweave.operators import centrality, relations, traverse
+from kinweave.operators import centrality as ranking, relations, traverse
 from kinweave.operators.graph import degrees, edges_of, find_motif, triangle_count, Graph
 from kinweave.operators.resolve import blocking, clustering, comparisons, model
 from kinweave.plans import metrics, questions, value
 from kinweave.plans.stages import PASS_METHOD, Stages, stages
 from kinweave.session import ship_package
+from kinweave.sources import catalog
 
 QUERIES: dict[str, Callable[[Stages], DataFrame]] = {}
 
@@ -83,6 +84,17 @@ def triplets(s):
     return relations.triplets(s["guests_resolved"], attended, paid)
 
 
+@query
+def triplets_confidence(s):
+    """The resolution rows with the probability of each record's best link."""
+    best = clustering.link_confidence(s["scored_pairs"])
+    attended, paid = (s["edges"].where(F.col("relationship") == k) for k in ("attended_with", "paid_for"))
+    found = relations.triplets(s["guests_resolved"], attended, paid, agent="kinweave", confidence=best)
+    return found.where(F.col("predicate") == "RESOLVES_TO").select(
+        "subject_id", "object_id", F.round("confidence", 6).alias("confidence"), "source_agent"
+    )
+
+
 @query
 def predicate_profile(s):
     return relations.predicate_profile(s["gold_triplets"])
@@ -151,9 +163,9 @@ def degree(s):
 
 
 @query
-def guest_centrality(s):
+def centrality(s):
     ranked = s["visit_influence"].select("id", F.round("pagerank", 6).alias("pagerank"))
-    return centrality.centrality(Graph.from_edges(edges_of(s["gold_triplets"], "VISITED_WITH")), ranked)
+    return ranking.centrality(Graph.from_edges(edges_of(s["gold_triplets"], "VISITED_WITH")), ranked)
 
 
 @query
@@ -183,6 +195,14 @@ def khop(s):
     )
 
 
+@query
+def khop_paths(s):
+    """Guests at the end of simple paths of up to four edges."""
+    return traverse.guests_per_depth(
+        traverse.reach_by_paths(edges_of(s["gold_triplets"], "VISITED_WITH"), s.most_connected_guest(), max_hops=4)
+    )
+
+
 @query
 def khop_distance(s):
     return traverse.guests_per_depth(
@@ -212,6 +232,12 @@ def pass_holders(s):
     return value.pass_holders(s["guest_cohorts"], method=PASS_METHOD)
 
 
+@query
+def pass_holders_murmur(s):
+    """The sample by Spark's own hash, which other engines do not have."""
+    return value.pass_holders(s["guest_cohorts"])
+
+
 @query
 def cohort_spend(s):
     return value.cohort_spend(s["transactions"], s["guests_resolved"], s["guest_cohorts"], method=PASS_METHOD)
@@ -227,6 +253,25 @@ def cohort_value(s):
     return s.spark.sql(value.COHORT_VALUE_QUERY, cohort_spend=s["cohort_spend"])
 
 
+@query
+def published_cohort_value(s):
+    """Cohort value from a catalog schema: tables written and checked, the documented view over them read back."""
+    here = s.spark.catalog.currentDatabase()
+    catalog.use_schema(s.spark, "kinweave_published")
+    try:
+        catalog.save_table(s["cohort_spend"], "cohort_spend", "Spend of each cohort.", {"segment": "With or without a pass holder."})
+        catalog.save_table(s["guest_cohorts"], "guest_cohorts", "Activity cohort of each golden guest.")
+        catalog.require_tables(s.spark, ("cohort_spend", "guest_cohorts"))
+        catalog.create_view(
+            s.spark, "v_cohort_value", value.COHORT_VALUE_QUERY.format(cohort_spend="kinweave_published.cohort_spend"),
+            value.COHORT_VALUE_COMMENT, value.COHORT_VALUE_COLUMNS,
+        )
+        sizes = s.spark.table("guest_cohorts").groupBy("cohort_id").agg(F.count(F.lit(1)).alias("guests"))
+        return s.spark.table("v_cohort_value").join(sizes, "cohort_id")
+    finally:
+        s.spark.catalog.setCurrentDatabase(here)
+
+
 @query
 def metric_cohort_value(s):
     found = metrics.cohort_value_metrics(s["cohort_spend"]).query()
@@ -302,17 +347,24 @@ def er_explain(s):
 
 @query
 def er_clusters(s):
-    return s["resolved_given"]
+    return s["guests_resolved"]
 
 
 @query
 def er_compression(s):
-    return clustering.compression(s["resolved_given"], s["guests_raw"])
+    return clustering.compression(s["guests_resolved"], s["guests_raw"])
 
 
 @query
 def er_quality(s):
-    return clustering.merge_quality(s["resolved_given"], s["guests_raw"])
+    return clustering.merge_quality(s["guests_resolved"], s["guests_raw"])
+
+
+@query
+def er_pair_quality(s):
+    """Share of the pairs put together that are true, and of the true pairs that are put together."""
+    found = clustering.pair_quality(s["guests_resolved"], s["guests_raw"])
+    return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
 # Entity resolution with the trained model
@@ -379,6 +431,3 @@ def q_uplift(s):
 @query
 def q_spend_by_home_park(s):
     return questions.spend_by_home_park(s["transactions"], s["guests_raw"])
-
-
-QUERIES["centrality"] = QUERIES.pop("guest_centrality")

@@ -82,7 +82,7 @@ _STAGES: dict[str, Callable[[Stages], DataFrame]] = {
     "bookings": lambda s: s.source("bookings"),
     "party_members": lambda s: s.source("party_members"),
     "transactions": lambda s: s.source("transactions"),
-    "guests_resolved": lambda s: guests.true_resolution(s["guests_raw"]),
+    "guests_resolved": lambda s: clustering.resolve(s.records, model.GIVEN_MODEL),
     "members_golden": lambda s: relations.members_golden(s["party_members"], s["guests_resolved"]),
     "edges": _edges,
     "guest_cohorts": _components,
@@ -96,16 +96,21 @@ _STAGES: dict[str, Callable[[Stages], DataFrame]] = {
     "guest_communities": lambda s: centrality.label_propagation(s.visit_graph()),
     "visit_influence": lambda s: centrality.pagerank(s.visit_graph()),
     "scored_pairs": lambda s: scoring.score_pairs(s.records, model.GIVEN_MODEL),
-    "resolved_given": lambda s: clustering.resolve(s.records, model.GIVEN_MODEL),
     "resolved_learned": lambda s: clustering.resolve(s.records, s.training().model),
 }
 
-_open: dict[tuple[str, str], Stages] = {}
+_open: dict[tuple[str, str], tuple[tuple[str, ...], Stages]] = {}
 
 
 def stages(spark: SparkSession, sf_dir: str) -> Stages:
-    """The stage tables of this application over one input folder."""
+    """The stage tables of this application over one input folder, made anew when its files have changed."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _open:
-        _open[key] = Stages(spark, key[1])
-    return _open[key]
+    files = tuple(sorted(f for t in ("customer", "orders") for f in spark.read.parquet(f"{key[1]}/{t}.parquet").inputFiles()))
+    if key not in _open or _open[key][0] != files:
+        _open[key] = (files, Stages(spark, key[1]))
+    return _open[key][1]
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Drop the stage tables of an input folder, so that they are made anew."""
+    _open.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/")), None)

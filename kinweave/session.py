@@ -117,6 +117,7 @@ class LoopState:
         self._path = scratch_path(spark, name)
         self._turn = 0
 
-    def advance(self, df: DataFrame) -> DataFrame:
-        self._turn += 1
-        return write_and_read(df, f"{self._path}/{'ab'[self._turn % 2]}")
+    def advance(self, df: DataFrame, name: str = "") -> DataFrame:
+        """``name`` tells a second table of the loop apart; the folder it had a round ago is written anew."""
+        self._turn += not name
+        return write_and_read(df, f"{self._path}/{name}{'ab'[self._turn % 2]}")

@@ -1,8 +1,10 @@
 """Guest, booking, party and transaction tables derived from the driver's parquet tables.
 
-Every customer yields one to three source records and every order is one visit with its spend, so
-the derived tables grow with ``customer`` and ``orders``. The statements use only functions that
-mean the same in Spark SQL and in ANSI engines; ``{customer}`` and ``{orders}`` name the inputs.
+A customer's account is one source record, and each desk that took an order of theirs holds another, so records
+follow from ``customer`` and ``orders``; every order is one visit with its spend. Names are spelled from the digits
+of the customer's name, in one of five scripts; what a desk leaves out or writes differently follows from market
+segment, nation and balance. The statements use only functions that mean the same in Spark SQL and in ANSI
+engines; ``{customer}`` and ``{orders}`` name the inputs.
 
 Shape: customers whose key is a multiple of three travel in parties of up to five consecutive
 orders and form one large connected group, a third of all guests. The others travel inside small
@@ -13,79 +15,74 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# First names with their nicknames, and last names, in five scripts.
-FIRST_NAMES = """(0,'Robert','Bob'),(1,'William','Will'),(2,'James','Jim'),(3,'Elizabeth','Liz'),
-  (4,'Katherine','Kate'),(5,'Michael','Mike'),(6,'Alexander','Alex'),(7,'Margaret','Maggie'),(8,'Amelia','Amelia'),
-  (9,'Oliver','Oliver'),(10,'太郎','太郎'),(11,'花子','花子'),(12,'민준','민준'),(13,'서연','서연'),(14,'محمد','محمد'),
-  (15,'فاطمة','فاطمة'),(16,'Иван','Иван'),(17,'Мария','Мария'),(18,'Sophie','Sophie')"""
-LAST_NAMES = """(0,'Smith'),(1,'Okoro'),(2,'Taylor'),(3,'Walker'),(4,'Hughes'),(5,'Bennett'),(6,'Patel'),
-  (7,'佐藤'),(8,'鈴木'),(9,'김'),(10,'박'),(11,'الأحمد'),(12,'حسن'),(13,'Иванов'),(14,'Петрова'),(15,'Clarke'),(16,'Murphy')"""
+# Letters for the ten digits, by script.
+LETTERS = ("aeioulnrst", "аеиоунлрст", "αειουλνρστ", "ابتجدرسلمن", "山川田中木林森石水金")
 
+# The desk that took an order: 0 for the account itself.
+DESK = """CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 1
+        WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 2 ELSE 0 END"""
+
+
+def _spelled(digits: str) -> str:
+    cases = " ".join(f"WHEN {i} THEN translate({digits}, '0123456789', '{letters}')" for i, letters in enumerate(LETTERS))
+    return f"CASE street % {len(LETTERS)} {cases} END"
+
+
+# 51 neighbouring customers live in a street and write in one script, three share a last name, two a phone.
 GUESTS_RAW = f"""
-WITH fp(i, fn, nick) AS (VALUES {FIRST_NAMES}),
-lp(i, ln) AS (VALUES {LAST_NAMES}),
-c AS (SELECT c_custkey AS k, substr(md5(CAST(c_custkey AS STRING) || ':n'),1,2) AS d FROM {{customer}}),
-r AS (SELECT k, CAST(k * 3 AS STRING) AS h FROM c
-      UNION ALL SELECT k, CAST(k * 3 + 1 AS STRING) AS h FROM c WHERE d >= '8d'
-      UNION ALL SELECT k, CAST(k * 3 + 2 AS STRING) AS h FROM c WHERE d >= 'da'),
-p AS (SELECT r.k, r.h, CAST((r.k - r.k % 51) / 51 AS BIGINT) AS street,
-        CASE WHEN substr(md5(h || ':nick'),1,2) < '40' THEN fp.nick ELSE fp.fn END AS fn0, lp.ln AS ln0,
-        substr(md5(h || ':ft'),1,2) < '4d' AS ft, substr(md5(h || ':lt'),1,2) < '33' AS lt
-      FROM r JOIN fp ON fp.i = r.k % 19 JOIN lp ON lp.i = r.k % 17)
-SELECT 'r' || lpad(h, 12, '0') AS record_id,
-  CASE WHEN substr(md5(h || ':sys'),1,1) < '4' THEN 'crm' WHEN substr(md5(h || ':sys'),1,1) < '8' THEN 'web'
-       WHEN substr(md5(h || ':sys'),1,1) < 'c' THEN 'loyalty' ELSE 'boxoffice' END AS source_system,
-  CASE WHEN ft AND length(fn0) >= 3 THEN substr(fn0,1,1) || substr(fn0,3,1) || substr(fn0,2,1) || substr(fn0,4) ELSE fn0 END AS first_name,
-  CASE WHEN lt AND length(ln0) >= 3 THEN substr(ln0,1,1) || substr(ln0,3) ELSE ln0 END AS last_name,
-  CASE WHEN substr(md5(h || ':em'),1,2) < 'cd' THEN 'u' || CAST(k AS STRING)
-       || CASE WHEN substr(md5(h || ':ev'),1,1) < '8' THEN '.' || substr(md5(h || ':ed'),1,2) ELSE '' END
-       || '@mail' || CAST(k % 5 AS STRING) || '.example' END AS email,
-  CASE WHEN substr(md5(h || ':ph'),1,2) < '9a' THEN '447' || lpad(CAST((k - k % 2) * 7919 % 1000000000 AS STRING), 9, '0') END AS phone,
-  CASE WHEN substr(md5(h || ':pc'),1,2) < 'da' THEN substr('BLMS', CAST(1 + street % 4 AS INT), 1)
+WITH desk AS (SELECT DISTINCT o_custkey AS k, {DESK} AS s FROM {{orders}}),
+seen AS (SELECT c_custkey AS k, 0 AS s FROM {{customer}} UNION ALL SELECT k, s FROM desk WHERE s > 0),
+known AS (SELECT seen.k, s, c_nationkey AS nation, c_mktsegment AS segment, c_acctbal AS balance, lower(c_name) AS name,
+        CAST(substr(c_name, 10) AS BIGINT) AS num FROM seen JOIN {{customer}} ON c_custkey = seen.k),
+placed AS (SELECT *, CAST((num - num % 51) / 51 AS BIGINT) AS street FROM known),
+named AS (SELECT *, {_spelled("lpad(CAST(num * 37 % 100000 AS STRING), 5, '0')")} AS first,
+        {_spelled("lpad(CAST((num - num % 3) * 91 % 10000 AS STRING), 4, '0')")} AS last FROM placed)
+SELECT 'r' || lpad(CAST(k * 3 + s AS STRING), 12, '0') AS record_id,
+  CASE s WHEN 0 THEN 'account' WHEN 1 THEN 'urgent' ELSE 'high' END AS source_system,
+  CASE WHEN s = 1 AND segment IN ('BUILDING', 'HOUSEHOLD') THEN substr(first, 1, 1) || '.' ELSE first END AS first_name,
+  CASE WHEN s = 2 AND nation % 3 = 0 THEN substr(last, 1, 1) || substr(last, 3, 1) || substr(last, 2, 1) || substr(last, 4) ELSE last END AS last_name,
+  CASE WHEN s < 2 OR balance >= 1000 THEN replace(name, '#', CASE WHEN s = 1 AND nation % 2 = 0 THEN '.' ELSE '' END)
+       || '@' || lower(segment) || '.example' END AS email,
+  CASE WHEN s <> 1 OR balance >= 0 THEN '4' || lpad(CAST(nation AS STRING), 2, '0') || lpad(CAST(num - num % 2 AS STRING), 9, '0') END AS phone,
+  CASE WHEN s < 2 OR segment <> 'MACHINERY' THEN substr('BLMS', CAST(1 + street % 4 AS INT), 1)
        || CAST(1 + street % 12 AS STRING) || ' ' || CAST(street AS STRING) || 'AA' END AS postcode,
-  CASE WHEN substr(md5(h || ':db'),1,2) < 'b3' THEN CAST(1940 + k * 13 % 79 AS STRING) || '-' || lpad(CAST(1 + k % 12 AS STRING),2,'0') || '-' || lpad(CAST(1 + k * 5 % 28 AS STRING),2,'0') END AS dob,
-  'park' || CAST(k % 6 AS STRING) AS home_park, k AS true_id
-FROM p
+  CASE WHEN s = 0 OR nation % 4 <> s THEN CAST(1940 + nation * 3 AS STRING) || '-' || lpad(CAST(1 + num % 12 AS STRING), 2, '0')
+       || '-' || lpad(CAST(1 + num * 5 % 28 AS STRING), 2, '0') END AS dob,
+  'park' || CAST(nation % 6 AS STRING) AS home_park, k AS true_id
+FROM named
 """
 
-# Every order with its customer, the customer's number of source records and the party it belongs to.
-VISITS = """
-SELECT ok, k, copies, amount, visit_ts,
+# Every order with its customer, the desk that took it and the party it belongs to.
+VISITS = f"""
+SELECT ok, k, s, amount, visit_ts,
   CASE WHEN k % 3 = 0 THEN '0' || lpad(CAST(ok - ok % 5 AS STRING), 14, '0')
        ELSE '1' || lpad(CAST(k - (k % 60) % w AS STRING), 12, '0') || lpad(CAST(ok % (3 * w) AS STRING), 2, '0') END AS party
-FROM (SELECT o_orderkey AS ok, o_custkey AS k, o_totalprice AS amount, o_orderdate AS visit_ts,
-        CASE WHEN substr(md5(CAST(o_custkey AS STRING) || ':n'),1,2) >= 'da' THEN 3
-             WHEN substr(md5(CAST(o_custkey AS STRING) || ':n'),1,2) >= '8d' THEN 2 ELSE 1 END AS copies,
+FROM (SELECT o_orderkey AS ok, o_custkey AS k, o_totalprice AS amount, o_orderdate AS visit_ts, {DESK} AS s,
         3 * (1 + CAST((o_custkey - o_custkey % 60) / 60 AS BIGINT) % 5) AS w
-      FROM {orders}) AS o
+      FROM {{orders}}) AS o
 """
 
 PARTY_MEMBERS = f"""
-SELECT DISTINCT 'p' || party AS party_id, 'r' || lpad(CAST(k * 3 + ok % copies AS STRING), 12, '0') AS record_id,
+SELECT DISTINCT 'p' || party AS party_id, 'r' || lpad(CAST(k * 3 + s AS STRING), 12, '0') AS record_id,
   'b' || party AS booking_id
 FROM ({VISITS}) AS v
 """
 
-# The payer is the customer of the party's first order; which of their records paid is drawn separately.
+# The customer of a party's first order pays, under the record of the desk that took it.
 BOOKINGS = f"""
 SELECT 'b' || party AS booking_id, 'p' || party AS party_id,
-  'r' || lpad(CAST(k * 3 + (ok + 1) % copies AS STRING), 12, '0') AS payer_record_id,
+  'r' || lpad(CAST(k * 3 + s AS STRING), 12, '0') AS payer_record_id,
   'park' || CAST(k % 6 AS STRING) AS park, CAST(CAST(visit_ts AS DATE) AS STRING) AS booking_date
-FROM (SELECT party, min(ok) AS ok, min_by(k, ok) AS k, min_by(copies, ok) AS copies, min_by(visit_ts, ok) AS visit_ts
+FROM (SELECT party, min(ok) AS ok, min_by(k, ok) AS k, min_by(s, ok) AS s, min_by(visit_ts, ok) AS visit_ts
       FROM ({VISITS}) AS v GROUP BY party) AS b
 """
 
 TRANSACTIONS = f"""
-SELECT 't' || lpad(CAST(ok AS STRING), 14, '0') AS txn_id, 'r' || lpad(CAST(k * 3 + ok % copies AS STRING), 12, '0') AS record_id,
+SELECT 't' || lpad(CAST(ok AS STRING), 14, '0') AS txn_id, 'r' || lpad(CAST(k * 3 + s AS STRING), 12, '0') AS record_id,
   'park' || CAST(k % 6 AS STRING) AS park, amount AS amount_gbp, CAST(CAST(visit_ts AS DATE) AS STRING) AS txn_date
 FROM ({VISITS}) AS v
 """
 
-# Identity map by the known truth, for the graph and value queries.
-TRUE_RESOLUTION = """
-SELECT record_id, 'g' || lpad(CAST(true_id AS STRING), 12, '0') AS golden_id FROM {guests_raw}
-"""
-
 SOURCE_SQL = {
     "guests_raw": GUESTS_RAW,
     "party_members": PARTY_MEMBERS,
@@ -96,9 +93,5 @@ SOURCE_SQL = {
 
 def derive(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the four source tables, derived from the parquet tables under ``sf_dir``."""
-    base = "customer" if table == "guests_raw" else "orders"
-    return spark.sql(SOURCE_SQL[table], **{base: spark.read.parquet(f"{sf_dir}/{base}.parquet")})
-
-
-def true_resolution(guests_raw: DataFrame) -> DataFrame:
-    return guests_raw.sparkSession.sql(TRUE_RESOLUTION, guests_raw=guests_raw)
+    base = ("customer", "orders") if table == "guests_raw" else ("orders",)
+    return spark.sql(SOURCE_SQL[table], **{name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in base})

@@ -16,8 +16,8 @@ TOP = {c.name: c.top for c in COMPARISONS}
 
 # Renames each non-ASCII character of the names to an ASCII one that no name contains. The oracle's string
 # distance counts bytes; after the renaming a byte is a character.
-_foreign = sorted({ch for ch in guests.FIRST_NAMES + guests.LAST_NAMES if ord(ch) > 127})
-_spare = "0123456789!#$%&()*+,-./:;<=>?@[]^_`{|}~QXZ"
+_foreign = sorted({ch for ch in "".join(guests.LETTERS) if ord(ch) > 127})
+_spare = "0123456789!#$%&()*+,-/:;<=>?[]^_`{|}~QXZJ"
 assert len(_foreign) <= len(_spare)
 
 
@@ -30,11 +30,11 @@ def similarity(a: str, b: str) -> str:
 
 
 CTES: dict[str, str] = {
-    "guests_raw": guests.GUESTS_RAW.format(customer="customer"),
+    "guests_raw": guests.GUESTS_RAW.format(customer="customer", orders="orders"),
     "party_members": guests.PARTY_MEMBERS.format(orders="orders"),
     "bookings": guests.BOOKINGS.format(orders="orders"),
     "transactions": guests.TRANSACTIONS.format(orders="orders"),
-    "guests_resolved": guests.TRUE_RESOLUTION.format(guests_raw="guests_raw"),
+    "guests_resolved": "SELECT record_id, golden_id FROM given_map",
     "members": "SELECT DISTINCT party_id, booking_id, golden_id FROM party_members JOIN guests_resolved USING (record_id)",
     "attended": """SELECT DISTINCT a.golden_id AS src, b.golden_id AS dst, 'attended_with' AS relationship
         FROM members a JOIN members b ON a.party_id = b.party_id AND a.golden_id < b.golden_id""",
@@ -291,6 +291,14 @@ def _quality(of: str) -> str:
         FROM (SELECT true_id, count(DISTINCT golden_id) AS n FROM guests_raw JOIN {of} USING (record_id) GROUP BY true_id)"""
 
 
+def _pair_quality(of: str) -> str:
+    return f"""SELECT round(hits / nullif(found, 0), 6) AS precision, round(hits / nullif(real, 0), 6) AS recall FROM (SELECT
+        (SELECT count(*) FROM guests_raw a JOIN guests_raw b ON a.true_id = b.true_id AND a.record_id < b.record_id
+         JOIN {of} g ON g.record_id = a.record_id JOIN {of} h ON h.record_id = b.record_id AND h.golden_id = g.golden_id) AS hits,
+        (SELECT count(*) FROM {of} g JOIN {of} h ON h.golden_id = g.golden_id AND g.record_id < h.record_id) AS found,
+        (SELECT count(*) FROM guests_raw a JOIN guests_raw b ON a.true_id = b.true_id AND a.record_id < b.record_id) AS real)"""
+
+
 def _em_rows() -> str:
     parts = []
     for session, (_, names) in SESSIONS.items():
@@ -313,6 +321,11 @@ FINAL: dict[str, str] = {
     "edges_paid": "SELECT * FROM paid",
     "edges_all": "SELECT * FROM edges",
     "triplets": "SELECT * FROM triplets",
+    "triplets_confidence": """SELECT g.record_id AS subject_id, g.golden_id AS object_id, 'kinweave' AS source_agent,
+          round(coalesce(b.best, CAST(0.95 AS DOUBLE)), 6) AS confidence
+        FROM guests_resolved g LEFT JOIN (SELECT id, max(match_probability) AS best FROM
+          (SELECT record_id_l AS id, match_probability FROM scored UNION ALL SELECT record_id_r, match_probability FROM scored) GROUP BY id) b
+        ON b.id = g.record_id""",
     "predicate_profile": "SELECT predicate, count(*) AS edges FROM triplets GROUP BY predicate ORDER BY edges DESC, predicate",
     "guest_names": "SELECT * FROM names",
     "edges_labeled": "SELECT * FROM labeled",
@@ -333,6 +346,10 @@ FINAL: dict[str, str] = {
     "motif": """SELECT a.src AS a_id, a.dst AS b_id, p.dst AS c_id FROM visited a JOIN paid_edges p ON p.src = a.dst
         WHERE a.src <> p.dst AND p.src IN (SELECT id FROM visit_vertices) AND p.dst IN (SELECT id FROM visit_vertices)""",
     "khop": "SELECT depth, count(*) AS guests_reached FROM walk GROUP BY depth ORDER BY depth",
+    "khop_paths": """SELECT depth, count(*) AS guests_reached FROM (SELECT * FROM walk
+          UNION SELECT 4, d.dst FROM from_seed a JOIN visited b ON b.src = a.dst JOIN visited c ON c.src = b.dst JOIN visited d ON d.src = c.dst
+          WHERE b.dst <> a.src AND c.dst <> a.src AND c.dst <> a.dst AND d.dst <> a.src AND d.dst <> a.dst AND d.dst <> b.dst)
+        GROUP BY depth ORDER BY depth""",
     "khop_distance": """SELECT depth, count(*) AS guests_reached FROM
         (SELECT guest_id, min(depth) AS depth FROM walk GROUP BY guest_id) GROUP BY depth ORDER BY depth""",
     "two_hop": "SELECT * FROM hops",
@@ -344,6 +361,8 @@ FINAL: dict[str, str] = {
         round(avg(total_spend_gbp / nullif(cohort_members, 0)), 2) AS avg_spend_per_member_gbp
         FROM cohort_spend GROUP BY segment ORDER BY segment""",
     "cohort_value": "SELECT cohort_id, segment, cohort_members, total_spend_gbp FROM cohort_spend",
+    "published_cohort_value": """SELECT cohort_id, segment, cohort_members, total_spend_gbp, n AS guests
+        FROM cohort_spend JOIN members_per_cohort USING (cohort_id)""",
     "metric_cohort_value": """SELECT segment, round(sum(total_spend_gbp), 2) AS total_spend_gbp,
         count(DISTINCT cohort_id) AS cohorts, CAST(sum(cohort_members) AS BIGINT) AS members FROM cohort_spend GROUP BY segment""",
     "run_summary": """SELECT 'raw_source_records' AS stage, count(*) AS rows FROM guests_raw
@@ -368,6 +387,7 @@ FINAL: dict[str, str] = {
     "er_clusters": "SELECT * FROM given_map",
     "er_compression": _compression("given_map"),
     "er_quality": _quality("given_map"),
+    "er_pair_quality": _pair_quality("given_map"),
     "er_em": _em_rows(),
     "er_learned_clusters": "SELECT * FROM learned_map",
     "er_learned_compression": _compression("learned_map"),

@@ -147,6 +147,41 @@ def test_bounds_leave_out_no_result(spark, seed, threshold, slice_rows):
     assert rows(found.select(*columns)) == rows(everything.select(*columns))
 
 
+def random_model(rnd, sour):
+    """A model with random level probabilities; with ``sour`` every level of the phone counts against a match."""
+    def shares(n):
+        x = [rnd.random() + 0.02 for _ in range(n)]
+        return [v / sum(x) for v in x]
+
+    m = {k: shares(len(v)) for k, v in model.GIVEN_MODEL.m.items()}
+    u = {k: shares(len(v)) for k, v in model.GIVEN_MODEL.u.items()}
+    if sour:
+        m["phone"], u["phone"] = [0.4, 0.6], [0.3, 0.7]
+    return model.MatchModel(rnd.choice([0.001, 0.05, 0.4]), m, u)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bounds_leave_out_no_result_of_any_model(spark, seed):
+    rnd = random.Random(seed)
+    records, tried = random_records(spark, 60, seed), random_model(rnd, sour=seed % 2 == 0)
+    threshold = rnd.choice([0.2, 0.6, 0.95])
+    everything = scoring.score_pairs(records, tried, threshold=None).where(F.col("match_probability") >= threshold)
+    found = scoring.score_pairs(records, tried, threshold=threshold, slice_rows=5)
+    columns = ["record_id_l", "record_id_r", "match_key", F.round("match_weight", 6)]
+    assert rows(found.select(*columns)) == rows(everything.select(*columns))
+
+
+def test_a_partner_without_the_common_value_is_found(spark):
+    """A phone that all share speaks against a match, so the best partner is the one without a phone."""
+    people = [(f"r{i:03d}", f"N{i}x", f"L{i}y", f"u{i}@x", "440", None, None) for i in range(101)]
+    records = spark.createDataFrame([*people, ("s000", "N0x", "L0y", "u0@x", None, None, None)], SCHEMA)
+    tried = model.MatchModel(model.GIVEN_MODEL.prior, {**model.GIVEN_MODEL.m, "phone": [0.4, 0.6]}, model.GIVEN_MODEL.u)
+    best = scoring.score_pairs(records, tried, threshold=None).where("record_id_r = 's000'").first()
+    threshold = best.match_probability - 1e-9
+    found = scoring.score_pairs(records, tried, threshold=threshold).select("record_id_l", "record_id_r")
+    assert ("r000", "s000") in rows(found)
+
+
 def test_hot_block_is_joined_on_more_than_its_value(spark):
     """A phone shared by 300 unrelated records makes few pairs, and none of the matches is missing."""
     people = [(f"r{i:04d}", f"N{i}x{i}", f"L{i}y{i}", f"u{i}@x", "440", f"A{i} {i}AA", f"19{i % 90 + 10}-01-01") for i in range(300)]
