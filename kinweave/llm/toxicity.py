@@ -20,10 +20,11 @@ from kinweave.session import ship_package
 
 SIZES = (4, 5, 6)
 BITS = 18
-#: Features in fewer training documents, or with a ratio within so many standard errors of 0, are left out.
-MIN_DOCS, MIN_ERRORS = 3, 4.0
+#: Features in fewer training documents, or with a ratio within so many standard errors of 0, are left out; of more
+#: than so many, those with the most standard errors stay.
+MIN_DOCS, MIN_ERRORS, MAX_FEATURES = 3, 4.0, 8_192
 #: About so many labelled documents, by a hash of their id, fit the weights; the ratios use all of them.
-FIT_ROWS = 20_000
+FIT_ROWS = 6_000
 #: A toxic document counts as so many others in the fit.
 TOXIC_WEIGHT = 3.0
 ROUNDS, STEP, RIDGE = 120, 0.1, 1e-3
@@ -63,16 +64,18 @@ def log_ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int)
     """Log of the ratio of the smoothed shares of documents with a feature; 0 for features left out."""
     ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((other + 1) / (n_other + 2))
     error = np.sqrt(1 / (toxic + 1) + 1 / (other + 1))
-    return np.where((toxic + other >= MIN_DOCS) & (np.abs(ratio) >= MIN_ERRORS * error), ratio, 0.0)
+    errors = np.where(toxic + other >= MIN_DOCS, np.abs(ratio) / error, 0.0)
+    least = max(MIN_ERRORS, np.sort(errors)[-MAX_FEATURES - 1] if len(errors) > MAX_FEATURES else 0.0)
+    return np.where(errors >= least, ratio, 0.0)
 
 
 def fit(features: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, prior: float) -> Model:
     """Logistic regression with a ridge on binary features times their ratios, by adaptive gradient steps."""
     weights, bias = np.zeros(len(ratios)), prior
     if len(labels) and 0 < labels.sum() < len(labels):
-        flat = np.concatenate(features).astype(np.int64)
-        row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-        value = ratios[flat]
+        flat = np.concatenate(features)
+        row = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+        value = ratios[flat].astype(np.float32)
         squares, bias_square = np.full(len(ratios), 1e-8), 1e-8
         counts = np.where(labels == 1, TOXIC_WEIGHT, 1.0)
         counts /= counts.sum()
