@@ -79,8 +79,11 @@ def log_ratios(wanted: DataFrame, by_gram: DataFrame, by_context: DataFrame) ->
         F.struct(F.lit(n).alias("n"), F.expr(f"right(g, {n})").alias("gram"), F.expr(f"left(right(g, {n}), {n - 1})").alias("context"))
         for n in range(1, CONTEXT + 2)
     ])
-    rows = wanted.select("g", F.explode(orders).alias("o")).select("g", "o.*")
-    rows = rows.join(by_gram, "gram", "left").join(by_context, "context", "left")
+    rows = wanted.select("g", F.explode(orders).alias("o")).select("g", "o.*").join(by_gram, "gram", "left")
+    # Every n-gram has the empty context; its counts are one row and go into the plan.
+    empty = by_context.where(F.col("context") == "").first()
+    first = rows.where("n = 1").withColumns({c: F.lit(empty[c] if empty else 0) for c in ("na", "ta", "nr", "tr")})
+    rows = first.unionByName(rows.where("n > 1").join(by_context, "context", "left").select(first.columns))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c)
     steps = F.array_sort(F.collect_list(F.struct("n", *[zero(c) for c in ("a", "na", "ta", "r", "nr", "tr")])))
 
@@ -121,7 +124,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: st
     )
     texts = open_.select("text").distinct().select("text", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("r")).unionByName(
         calibration
-    )
+    ).repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text")
     uses = texts.select(_key().alias("key"), "a", "r", F.explode(grams(F.col("text"))).alias("g"))
     ratios = cut(log_ratios(uses.select("g").distinct(), by_gram, by_context), "url-ratios")
     scored = cut(
