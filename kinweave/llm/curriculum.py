@@ -91,12 +91,12 @@ def mix(
     within = W.partitionBy("rank", "range").orderBy("key", "size", "tie").rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("first", F.col("range_start") + F.sum("size").over(within) - F.col("size"))
     want = F.round("target").cast("long")
-    rounds = F.when(F.col("source_size") > 0, F.floor(want / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    rounds = F.when(F.col("source_size") > 0, F.floor(want / F.nullif("source_size", F.lit(0)))).otherwise(F.lit(0)).cast("long")
     rest = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), want - rounds * F.col("source_size") - F.col("first")))
     rows = rows.withColumns({"want": want, "rounds": rounds, "rest": rest})
     times = F.when(F.col("size") > 0, F.col("rounds") + (F.col("rest") > 0).cast("long")).otherwise(F.lit(0)).cast("int")
     start = lambda p: due(
-        ((p * F.col("source_size") + F.col("first")) / F.col("want")).cast("double"), F.col("slope")
+        ((p * F.col("source_size") + F.col("first")) / F.nullif("want", F.lit(0))).cast("double"), F.col("slope")
     ) * F.col("total").cast("double")
     starts = F.when(times > 0, F.transform(F.sequence(F.lit(0), times - 1), start)).otherwise(F.array().cast("array<double>"))
     return rows.select(
@@ -119,7 +119,7 @@ def training_order(docs: DataFrame) -> DataFrame:
     Texts stay whole: a last, partial taking counts if it is at least half of the document.
     """
     mixed = mix(docs, docs.columns)
-    whole = F.round(F.col("taken") / F.col("size")).cast("int")
+    whole = F.round(F.col("taken") / F.nullif("size", F.lit(0))).cast("int")
     taken = mixed.select("doc", F.explode(F.slice("starts", 1, F.greatest(F.lit(0), F.coalesce(whole, F.lit(0))))).alias("at"))
     return taken.orderBy("at", F.xxhash64("doc")).select("doc.*")
 

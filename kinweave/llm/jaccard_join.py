@@ -317,13 +317,13 @@ def _sliced(leaves: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: ``(doc_id, class_id, n_links, set, text_key)``.
+    """One row per document: ``(doc_id, class_id, n_links, class_set, text_key)``.
 
     Two documents are linked if the Jaccard similarity of their sets of five-word shingles is at least
     ``similarity``; a text of fewer words has one shingle, of all of them. ``n_links`` counts the other documents
     linked to one, copies included. ``class_id`` is the smallest id in a document's connected component. A null or
-    empty text has no links and is its own class; ``set`` is a hash of the shingle set, null for those, and
-    ``text_key`` one of the text.
+    empty text has no links and is its own class. ``class_set`` is the smallest hash of a shingle set in the
+    component, null for those; it tells classes apart where ids repeat. ``text_key`` is a hash of the text.
     """
     ship_package(docs.sparkSession)
     for seed in range(3):
@@ -388,16 +388,19 @@ def link(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         ), "members",
     )
     named = cut(members.groupBy("component").agg(F.min("first_id").alias("class_id")), "classes")
-    classes = cut(members.join(named, "component").select(F.col("id").alias("set"), "class_id", "links"), "set-classes")
+    classes = cut(
+        members.join(named, "component").select(F.col("id").alias("set"), F.col("component").alias("class_set"), "class_id", "links"),
+        "set-classes",
+    )
     of_set = cut(sets.join(classes, "set", "left").select(
-        "set", F.coalesce("class_id", "first_id").alias("class_id"),
+        "set", F.coalesce("class_set", "set").alias("class_set"), F.coalesce("class_id", "first_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     ), "class-of-set")
     none = embedded.where(F.col("size") == 0).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "set", "text_key"
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("set").alias("class_set"), "text_key"
     )
     return some.select("doc_id", "set", "text_key").join(of_set, "set").select(
-        "doc_id", "class_id", "n_links", "set", "text_key"
+        "doc_id", "class_id", "n_links", "class_set", "text_key"
     ).unionByName(none)
 
 
@@ -433,7 +436,7 @@ def _shingles(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    return link(docs).drop("set", "text_key")
+    return link(docs).drop("class_set", "text_key")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -441,10 +444,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of several rows with that id the class keeps one. Documents without words all stay.
     """
-    found = link(docs).where(F.col("set").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    found = link(docs).where(F.col("class_set").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
     # Ids may repeat with other texts, so a document is named by its id and a hash of its text.
-    rows = found.groupBy("class_id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
-    chosen = cut(rows.groupBy("class_id").agg(F.min(F.struct("text_key", "rows")).alias("of")).select("class_id", "of.*"), "kept")
+    rows = found.groupBy("class_set", "class_id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
+    chosen = cut(
+        rows.groupBy("class_set", "class_id").agg(F.min(F.struct("text_key", "rows")).alias("of")).select("class_id", "of.*"), "kept"
+    )
     key = F.xxhash64(F.col("text").cast("string"))
     has_words = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(WORD)
     packed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), key.alias("key"), has_words.alias("words"))
