@@ -30,7 +30,7 @@ MAGIC = b"IDP1"
 # Ids in a block and, about, in a chunk.
 BLOCK, CHUNK = 8_192, 262_144
 # Words a worker remembers per generation.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 # New words in one call of the tokenizer.
 WORDS_TOGETHER = 2_000
 SCHEMA = "shard int, chunk int, n_ids long, doc_ids array<long>, doc_lengths array<long>, payload binary"
@@ -39,11 +39,10 @@ SCHEMA = "shard int, chunk int, n_ids long, doc_ids array<long>, doc_lengths arr
 def to_planes(ids: np.ndarray, n_planes: int, block: int = BLOCK) -> list[bytes]:
     """Bit ``p`` of all ids, for each ``p`` below ``n_planes``."""
     out: list[list[bytes]] = [[] for _ in range(n_planes)]
-    width = (n_planes + 7) // 8
+    places = np.arange(n_planes, dtype=np.uint16 if n_planes <= 16 else np.uint32)[:, None]
     for i in range(0, len(ids), block):
-        part = ids[i : i + block].astype("<u4")
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 4)[:, :width], axis=1, bitorder="little")
-        packed = np.packbits(np.ascontiguousarray(bits[:, :n_planes].T), axis=1, bitorder="little")
+        part = ids[i : i + block].astype(np.uint16 if n_planes <= 16 else np.uint32)
+        packed = np.packbits((part[None, :] >> places & 1).astype(np.uint8), axis=1, bitorder="little")
         for p in range(n_planes):
             out[p].append(packed[p].tobytes())
     return [b"".join(p) for p in out]
@@ -58,9 +57,10 @@ def from_planes(planes: list[bytes], n_ids: int, block: int = BLOCK) -> np.ndarr
         n = min(block, n_ids - i)
         size = (n + 7) // 8
         bits = np.unpackbits(np.stack([f[at : at + size] for f in flat]), axis=1, bitorder="little", count=n)
-        full = np.zeros((n, 32), np.uint8)
-        full[:, : len(planes)] = bits.T
-        ids[i : i + n] = np.packbits(full, axis=1, bitorder="little").view("<u4").ravel()
+        out = np.zeros(n, np.uint32)
+        for p, plane in enumerate(bits):
+            out |= plane.astype(np.uint32) << np.uint32(p)
+        ids[i : i + n] = out
         at += size
     return ids
 
@@ -88,28 +88,42 @@ def unpack(payload: bytes) -> np.ndarray:
     return from_planes(planes, n_ids, block)
 
 
+def _parted(word: str) -> tuple[str, str]:
+    """A word without a full stop or comma at its end, and that mark.
+
+    The tokenizer cuts there anyway if a letter or digit stands before, and makes all letters small.
+    """
+    mark = word[-1] if word[-1] in ".," and len(word) > 1 and word[-2].isalnum() else ""
+    base = word[:-1] if mark else word
+    return (base.lower() if base.isascii() else base), mark
+
+
 class WordEncoder:
     """Encodes whole texts with a tokenizer that drops white space; each distinct word is encoded once.
 
     The tokenizer works on the parts between white space independently, so the ids of a text are those of
-    its words in turn. Special tokens in a text are ordinary text.
+    its words in turn, a last full stop or comma apart. Special tokens in a text are ordinary text.
     """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.words = Generations(REMEMBERED)
+        self.marks = dict(zip(".,", self._encode_words([".", ","])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         split = [words_of(t) for t in texts]
         self.words.turn()
-        new = [w for w in set().union(*split).difference(self.words.young) if not self.words.revive(w)]
+        parts = {w: _parted(w) for w in set().union(*split)}
+        wanted = {base for base, _ in parts.values()}
+        new = [w for w in wanted.difference(self.words.young) if not self.words.revive(w)]
         for i in range(0, len(new), WORDS_TOGETHER):
             part = new[i : i + WORDS_TOGETHER]
             self.words.young.update(zip(part, self._encode_words(part)))
-        known = self.words.young.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        known = self.words.young
+        ids = {w: known[base] + self.marks[mark] if mark else known[base] for w, (base, mark) in parts.items()}
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, from one call on all of them; a token's place tells its word."""
@@ -134,8 +148,8 @@ def _encoder(definition: str) -> WordEncoder:
 
 def _text_blocks(batch: pa.RecordBatch, limit: int = 2_000_000) -> Iterable[tuple[list, list[str]]]:
     ids, texts, size = [], [], 0
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-        text = text.as_py() or ""
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        text = text or ""
         ids.append(doc_id)
         texts.append(text)
         size += len(text)
