@@ -61,6 +61,9 @@ def op8_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.verdicts(table(spark, sf_dir, "pages"))
 
 
+ORACLES["op8_url_model"] = url_model.ORACLE
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -165,4 +165,78 @@ def threshold(scored: DataFrame) -> float:
 
 
 def verdicts(pages: DataFrame) -> DataFrame:
-    return judge(pages)
+    """:func:`judge` without the scores."""
+    return judge(pages).drop("score")
+
+
+def _interpolated(n: int, side: str) -> str:
+    """SQL for the probability of the last character of ``g`` after ``n - 1`` characters, from the shorter one's."""
+    before = f"(SELECT 1.0::DOUBLE / {ALPHABET})" if n == 1 else f"p.p{side}"
+    return (
+        f"CASE WHEN coalesce(x.n{side} + x.t{side}, 0) > 0 THEN (coalesce(c.{side}, 0) + x.t{side} * {before})"
+        f" / CAST(x.n{side} + x.t{side} AS DOUBLE) ELSE {before} END AS p{side}"
+    )
+
+
+_ORDERS = ",\n".join(
+    f"""order{n} AS (
+    SELECT p.g, {_interpolated(n, "a")}, {_interpolated(n, "r")}
+    FROM {"wanted" if n == 1 else f"order{n - 1}"} p
+    LEFT JOIN counted c ON c.gram = right(p.g, {n}) LEFT JOIN contexts x ON x.context = left(right(p.g, {n}), {n - 1}))"""
+    for n in range(1, CONTEXT + 2)
+)
+
+ORACLE = rf"""
+WITH cut AS (
+    SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages),
+ruled AS (
+    SELECT *, host || path AS text, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+    FROM cut),
+decided AS (
+    SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' ELSE 'block' END AS said,
+           CAST('0x' || substr(md5(text), 1, 4) AS INTEGER) % {FOLDS} = 0 AS held
+    FROM ruled WHERE rule IS NOT NULL),
+taught AS (SELECT text, CAST(said = 'allow' AS INTEGER) AS accepted FROM decided WHERE NOT held),
+fives AS (
+    SELECT substr(repeat(chr(2), {CONTEXT}) || text || chr(3), i, {CONTEXT + 1}) AS g, accepted
+    FROM (SELECT text, accepted, unnest(range(1, length(text) + 2)) AS i FROM taught)),
+counted AS (
+    SELECT right(g, n) AS gram, sum(accepted) AS a, sum(1 - accepted) AS r
+    FROM fives, range(1, {CONTEXT + 2}) AS orders(n) GROUP BY 1),
+contexts AS (
+    SELECT left(gram, length(gram) - 1) AS context, sum(a) AS na, count(*) FILTER (a > 0) AS ta,
+           sum(r) AS nr, count(*) FILTER (r > 0) AS tr
+    FROM counted GROUP BY 1),
+texts AS (
+    SELECT text, 0 AS a, 0 AS r FROM ruled WHERE rule IS NULL GROUP BY text
+    UNION ALL SELECT text, sum(CAST(said = 'allow' AS INTEGER)), sum(CAST(said = 'block' AS INTEGER)) FROM decided WHERE held GROUP BY text),
+uses AS (
+    SELECT text, a, r, substr(repeat(chr(2), {CONTEXT}) || text || chr(3), i, {CONTEXT + 1}) AS g
+    FROM (SELECT text, a, r, unnest(range(1, length(text) + 2)) AS i FROM texts)),
+wanted AS (SELECT DISTINCT g FROM uses),
+{_ORDERS},
+scored AS (
+    SELECT text, max(a) AS a, max(r) AS r, round(sum(ln(pa) - ln(pr)) / count(*), {DIGITS}) AS score
+    FROM uses JOIN order{CONTEXT + 1} USING (g) GROUP BY text),
+grid AS (SELECT round(score, {GRID}) AS spot, sum(a) AS a, sum(r) AS r FROM scored WHERE a + r > 0 GROUP BY 1),
+rated AS (
+    SELECT spot, round(
+        CASE WHEN sum(a) OVER () > 0 THEN (sum(a) OVER () - coalesce(sum(a) OVER w, 0)) / CAST(sum(a) OVER () AS DOUBLE) ELSE 0.5 END +
+        CASE WHEN sum(r) OVER () > 0 THEN coalesce(sum(r) OVER w, 0) / CAST(sum(r) OVER () AS DOUBLE) ELSE 0.5 END, {DIGITS}) AS rate
+    FROM grid WINDOW w AS (ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+best AS (SELECT spot FROM rated ORDER BY rate DESC, abs(spot), spot DESC LIMIT 1),
+known AS (SELECT (SELECT sum(accepted) FROM taught) > 0 AND (SELECT sum(1 - accepted) FROM taught) > 0 AS both_sides)
+SELECT page_id, host, path, rule, said AS verdict FROM decided
+UNION ALL
+SELECT page_id, host, path, rule,
+       CASE WHEN NOT coalesce((SELECT both_sides FROM known), false)
+                 OR score >= coalesce((SELECT spot - 0.5::DOUBLE * 0.01::DOUBLE FROM best), 0) THEN 'allow' ELSE 'block' END
+FROM ruled JOIN (SELECT text, score FROM scored WHERE a + r = 0) USING (text) WHERE rule IS NULL
+"""
