@@ -12,7 +12,7 @@ from kinweave.operators.resolve.comparisons import with_gammas, with_term_freque
 from kinweave.operators.resolve.model import MatchModel, tf_columns, with_weights
 from kinweave.operators.resolve.scoring import score_known_pairs
 from kinweave.operators.skew import SLICE_ROWS
-from kinweave.session import cut
+from kinweave.session import cut, discarded
 
 
 def cluster_pairs(records: DataFrame, scored: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -38,36 +38,38 @@ def resolve(
     reaches the threshold, or if the profile is linked to another one, which links each of its copies.
     """
     rules = rules or BLOCKING_RULES
-    profiles = cut(
-        records.groupBy(*FIELDS).agg(F.min("record_id").alias("record_id"), F.count(F.lit(1)).alias("copies")),
-        "profiles",
-    )
-    known = cut(with_term_frequencies(profiles, model.comparisons, records), "known")
-    links = cut(
-        score_known_pairs(known.drop("copies"), model, rules, threshold, slice_rows, records).select(
-            F.col("record_id_l").alias("src"), F.col("record_id_r").alias("dst")
-        ),
-        "links",
-    )
-    blocked = reduce(
-        Column.__or__, [reduce(Column.__and__, [F.col(f"{c}_l").isNotNull() for c in rule]) for rule in rules]
-    )
-    twins = known.where(F.col("copies") > 1).select(
-        *[F.col(c).alias(f"{c}_{side}") for side in "lr" for c in ["record_id", *FIELDS]], *tf_columns(model)
-    ).where(blocked)
-    alike = with_weights(with_gammas(twins, model.comparisons, tuple(tf_columns(model))), model).where(
-        F.col("match_probability") >= threshold
-    )
-    joined = links.select(F.explode(F.array("src", "dst")).alias("id")).union(alike.select("record_id_l")).distinct()
-    groups = connected_components(profiles.select(F.col("record_id").alias("id")), links)
-    marked = groups.join(joined.withColumn("joined", F.lit(True)), "id", "left")
-    # Written, so that the adaptive skew join can split the records of a content with many copies.
-    by_content = cut(
-        profiles.join(marked, F.col("record_id") == F.col("id")).select(
-            *[F.col(c).alias(f"p_{c}") for c in FIELDS], "component", "joined"
-        ),
-        "by-content",
-    )
+    # Only the map from content to golden id is read by the result; what led to it goes.
+    with discarded(records.sparkSession):
+        profiles = cut(
+            records.groupBy(*FIELDS).agg(F.min("record_id").alias("record_id"), F.count(F.lit(1)).alias("copies")),
+            "profiles",
+        )
+        known = cut(with_term_frequencies(profiles, model.comparisons, records), "known")
+        links = cut(
+            score_known_pairs(known.drop("copies"), model, rules, threshold, slice_rows, records).select(
+                F.col("record_id_l").alias("src"), F.col("record_id_r").alias("dst")
+            ),
+            "links",
+        )
+        blocked = reduce(
+            Column.__or__, [reduce(Column.__and__, [F.col(f"{c}_l").isNotNull() for c in rule]) for rule in rules]
+        )
+        twins = known.where(F.col("copies") > 1).select(
+            *[F.col(c).alias(f"{c}_{side}") for side in "lr" for c in ["record_id", *FIELDS]], *tf_columns(model)
+        ).where(blocked)
+        alike = with_weights(with_gammas(twins, model.comparisons, tuple(tf_columns(model))), model).where(
+            F.col("match_probability") >= threshold
+        )
+        joined = links.select(F.explode(F.array("src", "dst")).alias("id")).union(alike.select("record_id_l")).distinct()
+        groups = connected_components(profiles.select(F.col("record_id").alias("id")), links)
+        marked = groups.join(joined.withColumn("joined", F.lit(True)), "id", "left")
+        # Written, so that the adaptive skew join can split the records of a content with many copies.
+        by_content = cut(
+            profiles.join(marked, F.col("record_id") == F.col("id")).select(
+                *[F.col(c).alias(f"p_{c}") for c in FIELDS], "component", "joined"
+            ),
+            "by-content", outlives=True,
+        )
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in FIELDS])
     return records.join(by_content, same).select(
         "record_id", F.when(F.col("joined"), F.col("component")).otherwise(F.col("record_id")).alias("golden_id")

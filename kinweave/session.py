@@ -8,6 +8,9 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
@@ -70,8 +73,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     return own
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
+
+
+def scratch_path(spark: SparkSession, name: str, outlives: bool = False) -> str:
+    """A new folder for a written intermediate table.
+
+    Inside a ``discarded`` block it goes with the block, or, with ``outlives``, with the block around that one.
+    """
+    path = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    scopes = _scopes.get()[:-1] if outlives else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def discarded(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside the block when it ends.
+
+    Whatever leaves the block must read none of them; its own input is cut with ``outlives``.
+    """
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in own:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_and_read(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -87,9 +118,9 @@ def write_and_read(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Cut the lineage of ``df`` at a table in the checkpoint folder."""
-    return write_and_read(df, scratch_path(df.sparkSession, name), partition_by)
+def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = (), outlives: bool = False) -> DataFrame:
+    """Cut the lineage of ``df`` at a table in the checkpoint folder; ``outlives`` as for ``scratch_path``."""
+    return write_and_read(df, scratch_path(df.sparkSession, name, outlives), partition_by)
 
 
 def observed(seen: Observation, written: DataFrame, *counts: str) -> list[int]:

@@ -1,11 +1,13 @@
 import itertools
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kinweave import session
 from kinweave.functions.similarity import jaro_winkler, jaro_winkler_batch
 from kinweave.operators.resolve import blocking, clustering, comparisons, model, scoring
 
@@ -160,7 +162,7 @@ def random_model(rnd, sour):
     return model.MatchModel(rnd.choice([0.001, 0.05, 0.4]), m, u)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_bounds_leave_out_no_result_of_any_model(spark, seed):
     rnd = random.Random(seed)
     records, tried = random_records(spark, 60, seed), random_model(rnd, sour=seed % 2 == 0)
@@ -213,6 +215,15 @@ def test_resolve_equals_clustering_every_scored_pair(spark, slice_rows):
     assert len(want) == records.count() and len({g for _, g in want}) < len(want)
 
 
+def test_resolving_leaves_one_table(spark):
+    root = Path(session.checkpoint_root(spark).removeprefix("file:"))
+    before = set(root.glob("*/*"))
+    found = clustering.resolve(random_records(spark, 40, seed=9), model.GIVEN_MODEL)
+    assert found.count() == 53
+    new = [d.name for d in set(root.glob("*/*")) - before]
+    assert len(new) == 1 and new[0].startswith("by-content")
+
+
 def test_copies_without_evidence_stay_apart(spark):
     lone = [(f"r{i}", "Ana", "Ito", None, None, None, None) for i in range(3)]
     records = spark.createDataFrame(lone, SCHEMA)
