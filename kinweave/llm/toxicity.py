@@ -1,9 +1,10 @@
 """Toxicity by a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Three passes. The first counts, over all labelled training documents, in how many toxic and other ones each hashed
-n-gram occurs; the ratio of the smoothed shares is the scale of its feature. The second takes the features of a
-bounded sample of the training documents to the driver, where logistic regression is fitted. The third scores all
-documents. What reaches the driver is bounded by the number of features and of sampled rows.
+The classifier is fitted on a bounded sample of the labelled training documents, so the sample's ids can be broadcast
+and no text is shuffled. One pass counts in how many toxic and other documents each hashed n-gram occurs; the
+ratio of the smoothed shares is the scale of its feature. A second pass takes the features of fewer documents to the
+driver for the logistic regression. A third scores all documents. What reaches the driver is bounded by the number of
+features and of sampled rows.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ BITS = 18
 #: Features in fewer training documents, or with a ratio within so many standard errors of 0, are left out; of more
 #: than so many, those with the most standard errors stay.
 MIN_DOCS, MIN_ERRORS, MAX_FEATURES = 3, 4.0, 8_192
-#: About so many labelled documents, by a hash of their id, fit the weights; the ratios use all of them.
-FIT_ROWS = 6_000
+#: About so many labelled documents, drawn by a hash of their id, give the ratios; about so many of them the weights.
+RATIO_ROWS, FIT_ROWS = 20_000, 6_000
 #: A toxic document counts as so many others in the fit.
 TOXIC_WEIGHT = 3.0
 ROUNDS, STEP, RIDGE = 120, 0.1, 1e-3
@@ -95,11 +96,17 @@ def fold(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5, F.lit(0))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, ratio_rows: int = RATIO_ROWS, fit_rows: int = FIT_ROWS) -> Model:
     """A model from the labelled documents outside fold 0. Documents without a label take no part."""
     ship_package(docs.sparkSession)
-    known = labels.where(F.col("toxic").isNotNull()).select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", F.col("text").cast("string")).where(fold() != 0).join(known, "doc_id").select("doc_id", "text", "toxic")
+    known = labels.where(F.col("toxic").isNotNull() & (fold() != 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    below = lambda rows, of: draw < F.lit(min(1.0, rows / max(1.0, of)) * 1_000_000)
+    # The sample's size is a parameter, so its ids may be broadcast.
+    n_known = known.count()
+    ratio_rows = min(ratio_rows, n_known)
+    drawn = known.where(below(ratio_rows, n_known))
+    rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic")
     width = 1 << BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,8 +131,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     n_other, n_toxic = totals[:, width]
     ratios = log_ratios(totals[1, :width], totals[0, :width], n_toxic, n_other)
 
-    share = min(1.0, fit_rows / max(1.0, n_other + n_toxic))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(share * 1_000_000))
+    # Of the documents drawn those with the smallest hashes.
+    fewer = min(1.0, fit_rows / max(1.0, float(n_other + n_toxic)))
+    sample = rows.where(below(ratio_rows * fewer, n_known))
     used = ratios != 0
 
     def features():
