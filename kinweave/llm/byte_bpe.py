@@ -25,7 +25,7 @@ from kinweave.llm.common import Generations, by_batch
 LONG_BYTES = 1_000
 # Token-position rows in one statement, and pieces and chunks a worker remembers per generation.
 ROWS_PER_STATEMENT = 1_000_000
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 
 ENCODE = """
 WITH RECURSIVE state(piece, ids) AS (
@@ -122,7 +122,7 @@ class Codec:
         ]
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '400MB'")
+        self.db.execute("SET memory_limit = '250MB'")
         self._table("merges", pa.table({
             "pair": pa.array([p for p, _ in pairs], pa.int64()), "merged": pa.array([m for _, m in pairs], pa.int32())
         }))

@@ -56,7 +56,7 @@ class Generations:
 
 
 class _WordHashes(dict):
-    LIMIT = 1 << 19
+    LIMIT = 1 << 17
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.LIMIT:

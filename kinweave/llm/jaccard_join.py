@@ -256,11 +256,24 @@ def _share_earlier(g: dict, rows: np.ndarray) -> np.ndarray | None:
     before = [lists[r][lists[r] < path] for r in rows]
     if not any(map(len, before)):
         return None
-    values, at = np.unique(np.concatenate(before), return_inverse=True)
-    seen = np.zeros((len(g["path"]), len(values)), np.float32)
-    seen[np.repeat(rows, [len(x) for x in before]), at] = 1
-    seen = seen[:, seen.sum(axis=0) > 1]
-    return seen @ seen.T > 0
+    values, at, count = np.unique(np.concatenate(before), return_inverse=True, return_counts=True)
+    shared = count > 1
+    row, at = np.repeat(rows, [len(x) for x in before])[shared[at]], (np.cumsum(shared) - 1)[at[shared[at]]]
+    return _common(row, at, len(g["path"]), int(shared.sum())) > 0
+
+
+def _common(row: np.ndarray, at: np.ndarray, n_rows: int, n_values: int) -> np.ndarray:
+    """How many values each two rows share; ``row`` has value ``at``. Works on so many values at a time."""
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    common = np.zeros((n_rows, n_rows), np.float32)
+    width = max(1, 4_000_000 // n_rows)
+    for start in range(0, n_values, width):
+        a, b = np.searchsorted(at, [start, start + width])
+        part = np.zeros((n_rows, min(width, n_values - start)), np.float32)
+        part[row[a:b], at[a:b] - start] = 1
+        common += part @ part.T
+    return common
 
 
 def overlaps(shingles, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -268,20 +281,12 @@ def overlaps(shingles, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     used = np.unique(np.concatenate([i, j]))
     if len(i) <= 4 * len(used):
         return np.array([len(np.intersect1d(shingles[a], shingles[b], assume_unique=True)) for a, b in zip(i, j)], np.int64)
-    values, at = np.unique(np.concatenate([shingles[r] for r in used]), return_inverse=True)
-    row = np.repeat(np.arange(len(used)), [len(shingles[r]) for r in used])
+    at = np.unique(np.concatenate([shingles[r] for r in used]), return_inverse=True)[1].astype(np.int32)
+    row = np.repeat(np.arange(len(used), dtype=np.int32), [len(shingles[r]) for r in used])
     shared = np.bincount(at) > 1
-    number = np.cumsum(shared) - 1
-    row, at = row[shared[at]], number[at[shared[at]]]
-    order = np.argsort(at, kind="stable")
-    row, at = row[order], at[order]
-    common = np.zeros((len(used), len(used)), np.float32)
-    width = max(1, 16_000_000 // len(used))
-    for start in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(at, [start, start + width])
-        part = np.zeros((len(used), width), np.float32)
-        part[row[a:b], at[a:b] - start] = 1
-        common += part @ part.T
+    kept = shared[at]
+    row, at = row[kept], (np.cumsum(shared) - 1)[at[kept]]
+    common = _common(row, at, len(used), int(shared.sum()))
     back = np.searchsorted(used, np.arange(used[-1] + 1))
     return common[back[i], back[j]].astype(np.int64)
 
