@@ -5,7 +5,8 @@ around its own projection in each array; the windows of all arrays widen togethe
 buckets are centred on the query and rehashed virtually. A vector collides once per window it is in; vectors
 in ``COLLISIONS`` of the windows or more are candidates, and once a block has given enough of them they are verified
 on the original vectors. Largest inner products become smallest distances by one extra coordinate that brings all
-vectors to the same length.
+vectors of a block to the same length. The vectors of a block are of similar length, so that none squeezes the others
+together; lengths that few vectors have share a block in which all are verified.
 
 Queries, a stated set, meet the vectors in blocks; a task holds one block of each.
 """
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from kinweave.session import cut, ship_package
 
@@ -31,6 +32,8 @@ FIRST, GROWTH = 0.38, 1.07
 #: Steps of a sorted array at which a window can begin and end.
 STEPS = 256
 BLOCK_ROWS, QUERY_ROWS = 8_192, 4_096
+#: The longest vector of a range of lengths, against the shortest; lengths beyond so many ranges from 1 share the last.
+RATIO, RANGES = 1.1, 8_192
 
 
 def directions(dims: int, n: int = PROJECTIONS, seed: int = SEED) -> np.ndarray:
@@ -92,6 +95,30 @@ def _valid(vectors: str):
     return F.col(vectors).isNotNull() & F.forall(vectors, fine) & F.exists(vectors, lambda x: x != 0)
 
 
+def _range(vectors: str):
+    """The number of the range of lengths that a vector is in; 0 is that around 1."""
+    length = F.sqrt(F.aggregate(vectors, F.lit(0.0), lambda a, x: a + x * x))
+    number = F.least(F.greatest(F.round(F.ln(length) / math.log(RATIO)), F.lit(-1.0 * RANGES)), F.lit(1.0 * RANGES))
+    return F.coalesce(number, F.lit(-1.0 * RANGES)).cast("int")
+
+
+def layout(rows: dict[int, int], k: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """``(first range, first block, blocks)``, the last two by range from the first on, for rows by range.
+
+    Neighbouring ranges share a block while all of its vectors would be verified.
+    """
+    low, whole = min(rows, default=0), int(TIMES * k / (1 - VERIFIED))
+    first, many = (np.zeros(max(rows, default=0) - low + 1, np.int32) for _ in range(2))
+    at, together, size = 0, [], 0
+    for number in [*sorted(rows), None]:
+        if together and (number is None or size + rows[number] > whole):
+            first[together], many[together] = at, math.ceil(size / BLOCK_ROWS)
+            at, together, size = at + math.ceil(size / BLOCK_ROWS), [], 0
+        if number is not None:
+            together, size = [*together, number - low], size + rows[number]
+    return low, first, many
+
+
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -106,11 +133,13 @@ def search(
         F.col("id").isNotNull() & _valid("v")
     ).distinct()
     base, asked = cut(cast(vectors), "vectors"), cut(cast(queries), "query-vectors")
-    blocks = max(1, math.ceil(base.count() / BLOCK_ROWS))
+    low, first, many = layout({r["range"]: r["count"] for r in base.groupBy(_range("v").alias("range")).count().collect()}, k)
+    blocks = max(1, int((first + many).max()))
     groups = max(1, math.ceil(asked.count() / QUERY_ROWS))
-    of = lambda n, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(n)).cast("int")
+    of = lambda n, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), n if isinstance(n, Column) else F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    base = base.withColumn("block", of(blocks, 1)).withColumn("part", every(groups))
+    of_range = lambda numbers: F.element_at(F.lit(numbers), _range("v") - low + 1)
+    base = base.withColumn("block", of_range(first) + of(of_range(many), 1)).withColumn("part", every(groups))
     asked = asked.withColumn("part", of(groups, 2)).withColumn("block", every(blocks))
 
     def meet(key: tuple, these: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:

@@ -139,3 +139,28 @@ def test_few_vectors_and_none(spark):
     assert [tuple(r) for r in collision_ann.search(few, few.where("vec_id = 0")).orderBy("rank").collect()] == [(0, 1, 1, 0.0), (0, 2, 2, 0.0)]
     assert collision_ann.twentieth(few.limit(0)).count() == 0
     assert collision_ann.twentieth(few.where("vec_id = 0")).count() == 0
+
+
+@pytest.mark.parametrize("lengths", ["log-normal", "one long"])
+def test_neighbours_of_vectors_of_different_lengths(spark, lengths):
+    rnd = np.random.default_rng(2)
+    data = rnd.standard_normal((40, 32))[rnd.integers(0, 40, 8_000)] + 2.5 * rnd.standard_normal((8_000, 32))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    data *= np.exp(0.2 * rnd.standard_normal(8_000))[:, None] if lengths == "log-normal" else np.where(np.arange(8_000) == 7, 10.0, 1.0)[:, None]
+    frame = spark.createDataFrame(list(enumerate(data.tolist())), "vec_id long, embedding array<double>")
+    found = {}
+    for r in collision_ann.search(frame, frame.where("vec_id % 200 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 8_000, 200):
+        score = data @ data[q]
+        score[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-score)[:20].tolist()))
+    assert hits / (20 * 40) >= 0.95
+
+
+def test_ranges_of_lengths_share_blocks_only_if_all_are_verified(monkeypatch):
+    monkeypatch.setattr(collision_ann, "BLOCK_ROWS", 1_000)
+    low, first, many = collision_ann.layout({-2: 100, -1: 200, 0: 2_500, 3: 50, 4: 400}, 20)
+    assert (low, first.tolist(), many.tolist()) == (-2, [0, 0, 1, 0, 0, 4, 5], [1, 1, 3, 0, 0, 1, 1])
+    assert collision_ann.layout({}, 20)[1:] == (np.zeros(1), np.zeros(1))
