@@ -1,14 +1,17 @@
 """Licenses in texts: an inverted index of template fingerprints finds candidates, banded alignment confirms them.
 
-Templates are winnowed: of the hashes of ``GRAM`` consecutive words in every window of ``WINDOW`` the smallest is a
-fingerprint. The index maps fingerprints to places in templates. A text's grams are all looked up, so a run of
-``GRAM + WINDOW - 1`` words of a template, or a whole shorter template, is always hit. Hits of a text that agree on where a template would begin are one candidate; the template is aligned with
+Long templates are winnowed: of the hashes of ``GRAM`` consecutive words in every window of ``WINDOW`` the smallest is
+a fingerprint. The index maps fingerprints to places in templates. A text's grams are all looked up, so a run of
+``GRAM + WINDOW - 1`` words of a template is always hit. Templates of up to ``SHORT`` words have single words as
+fingerprints, one more than an alignment may leave unmatched, so one of them is in every alignment that is accepted.
+Hits of a text that agree on where a template would begin are one candidate; the template is aligned with
 the words around it in a band. The index is small and bounded and goes to the tasks with the plan, so one pass over
 the documents does it all, without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping
 
@@ -21,6 +24,8 @@ from kinweave.llm.common import by_batch
 GRAM, WINDOW = 3, 4
 #: Share of a template's words that an alignment must match, and words by which it may be shifted.
 COVERAGE, BAND = 0.8, 12
+#: Words of the longest templates that are found by single words.
+SHORT = 50
 #: Words in all templates together; more are an error, as the index goes to every task.
 MAX_WORDS = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -123,10 +128,16 @@ def band_of(length: int) -> int:
     return min(BAND, max(1, length // 3))
 
 
+def anchors(split: list[str], coverage: float) -> list[int]:
+    """Places of the longest words of a template, one more than may be unmatched at a coverage."""
+    spare = len(split) - math.ceil(coverage * len(split))
+    return sorted(range(len(split)), key=lambda i: (-len(split[i]), i))[: spare + 1]
+
+
 class Index:
-    """Templates by number, and where in which of them each fingerprint is."""
+    """Templates by number, and where in which of them each fingerprint is, for alignments of a coverage."""
 
-    def __init__(self, templates: Mapping[str, str]):
+    def __init__(self, templates: Mapping[str, str], coverage: float = COVERAGE):
         self.names = sorted(templates)
         split = [words(templates[name]) for name in self.names]
         if sum(map(len, split)) > MAX_WORDS:
@@ -134,26 +145,48 @@ class Index:
         self.numbers = {w: i + 1 for i, w in enumerate(sorted({w for ws in split for w in ws}))}
         self.templates = [np.array([self.numbers[w] for w in ws], np.int32) for ws in split]
         self.places: dict[int, list[tuple[int, int]]] = {}
+        self.anchors: dict[int, list[tuple[int, int]]] = {}
         for t, ids in enumerate(self.templates):
             if len(ids) < GRAM:
                 raise ValueError(f"template {self.names[t]!r} has fewer than {GRAM} words")
-            for h, at in zip(*fingerprints(ids)):
-                self.places.setdefault(int(h), []).append((t, int(at)))
+            if len(ids) <= SHORT:
+                for at in anchors(split[t], coverage):
+                    self.anchors.setdefault(int(ids[at]), []).append((t, at))
+            else:
+                for h, at in zip(*fingerprints(ids)):
+                    self.places.setdefault(int(h), []).append((t, int(at)))
+        # Different words of each template, and how many of them an accepted alignment has at least.
+        self.needed = [
+            (frozenset(ids.tolist()), len(set(ids.tolist())) - len(ids) + math.ceil(coverage * len(ids))) for ids in self.templates
+        ]
+        self._look_up()
+
+    def _look_up(self) -> None:
         self.hashes = np.array(sorted(self.places), np.uint64)
+        self.anchored = np.zeros(len(self.numbers) + 1, bool)
+        self.anchored[list(self.anchors)] = True
         self.vocabulary = _Vocabulary(self.numbers)
 
     def __reduce__(self):
-        return Index._of, (self.names, self.templates, self.numbers, self.places, self.hashes)
+        return Index._of, (self.names, self.templates, self.numbers, self.places, self.anchors, self.needed)
 
     @classmethod
-    def _of(cls, names, templates, numbers, places, hashes) -> Index:
+    def _of(cls, names, templates, numbers, places, anchors, needed) -> Index:
         self = cls.__new__(cls)
-        self.names, self.templates, self.numbers, self.places, self.hashes = names, templates, numbers, places, hashes
-        self.vocabulary = _Vocabulary(numbers)
+        self.names, self.templates, self.numbers, self.places, self.anchors, self.needed = names, templates, numbers, places, anchors, needed
+        self._look_up()
         return self
 
+    def band(self, t: int) -> int:
+        """Words by which an alignment may leave the place a candidate begins at.
+
+        A short template's only hit can be at either end of the shifts, so it may leave it by twice as many.
+        """
+        length = len(self.templates[t])
+        return band_of(length) * (2 if length <= SHORT else 1)
+
     def candidates(self, ids: np.ndarray) -> list[tuple[int, int]]:
-        """``(template, place)``: where in a text templates may begin. Nearby places are one."""
+        """``(template, place)``: where in a text templates may begin. For long ones, nearby places are one."""
         found, at = grams(ids)
         hit = np.isin(found, self.hashes)
         begins: dict[int, set[int]] = {}
@@ -167,6 +200,13 @@ class Index:
                 if last is None or begin - last > band_of(len(self.templates[t])):
                     out.append((t, begin))
                     last = begin
+        single = np.flatnonzero(self.anchored[ids])
+        short = {(t, place - at) for place, w in zip(single.tolist(), ids[single].tolist()) for t, at in self.anchors[w]}
+        for t, begin in sorted(short):
+            different, least = self.needed[t]
+            around = ids[max(0, begin - self.band(t)) : begin + len(self.templates[t]) + self.band(t)]
+            if len(different.intersection(around.tolist())) >= least:
+                out.append((t, begin))
         return out
 
 
@@ -215,7 +255,7 @@ def find(index: Index, text: str, coverage: float = COVERAGE) -> list[tuple[str,
     ids = np.fromiter(map(index.vocabulary.__getitem__, _TOKEN.findall(text)), np.int32)
     found = []
     for t, begin in index.candidates(ids):
-        matched, first, last = align(index.templates[t], ids, begin, band_of(len(index.templates[t])))
+        matched, first, last = align(index.templates[t], ids, begin, index.band(t))
         if matched >= coverage * len(index.templates[t]):
             found.append((matched, t, first, last))
     taken: list[tuple[int, int, int, int]] = []
@@ -239,7 +279,7 @@ def scan(
     ``coverage`` is the matched share of the template's words. Words are runs of letters and digits in any case. A
     null or empty text has none; repeated rows give repeated rows.
     """
-    index = Index(templates)
+    index = Index(templates, coverage)
 
     def make():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:

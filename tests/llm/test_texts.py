@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import pickle
 import re
 
 import numpy as np
@@ -105,6 +106,28 @@ def test_licenses_with_edits_repeats_and_overlaps():
         license_scan.Index({"short": "two words"})
 
 
+@pytest.mark.parametrize("name", sorted(license_scan.TEMPLATES))
+def test_licenses_with_one_word_changed(name):
+    index = license_scan.Index(license_scan.TEMPLATES)
+    words = license_scan.words(license_scan.TEMPLATES[name])
+    for i in range(len(words)):
+        for text, matched in (
+            (words[:i] + ["zzz"] + words[i + 1 :], len(words) - 1), (words[:i] + words[i + 1 :], len(words) - 1),
+            (words[:i] + ["zzz"] + words[i:], len(words)),
+        ):
+            if matched >= license_scan.COVERAGE * len(words):
+                found = license_scan.find(index, f"Some plain text {' '.join(text)} and so on")
+                # A changed template can be another one, word for word.
+                assert any(f[1] == matched and (f[0] == name or f[1] == f[2]) for f in found), (text, found)
+
+
+def test_short_license_with_a_word_in_every_gap():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    assert license_scan.find(index, "We all the rights are reserved.") == [("all-rights-reserved", 3, 3, 3, 30)]
+    assert license_scan.find(index, "Released under an MIT License")[0][:3] == ("mit-short", 4, 5)
+    assert pickle.loads(pickle.dumps(index)).candidates(np.array([0, index.numbers["reserved"]], np.int32)) == []
+
+
 def test_license_scan_of_awkward_rows(spark):
     found = license_scan.scan(edge.documents(spark)).collect()
     assert [(r.doc_id, r.license, r.coverage, r.span_start, r.span_end) for r in found] == [(12, "all-rights-reserved", 1.0, 0, 19)]
