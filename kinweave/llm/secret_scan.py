@@ -76,6 +76,33 @@ def _neighbours(a: str, b: str) -> bool:
     return (a != b and abs(x - u) <= 1 and abs(y - v) <= 1) or False
 
 
+class _Run:
+    """The places in a run where its last segment, of three characters or more, can still begin at least cost."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+
+    def cheapest(self, best: list[float], end: int, run: int, choices: int) -> float:
+        """The cost up to ``end`` if a segment of the ``run`` characters before it is the last; called for every end in turn.
+
+        A later start that costs no more replaces earlier ones. As segments grow the advantage of a later start
+        shrinks, so one that is behind an earlier start stays behind.
+        """
+        starts = self.starts
+        if run < 3:
+            starts.clear()
+            return math.inf
+        if run == 3:
+            starts.clear()
+        while starts and best[starts[-1]] >= best[end - 3]:
+            starts.pop()
+        starts.append(end - 3)
+        costs = [best[start] + math.log10(choices * (end - start)) for start in starts]
+        least = min(costs)
+        del starts[costs.index(least) + 1 :]
+        return least
+
+
 def guess_cost(value: str) -> float:
     """Powers of ten of guesses of the cheapest segmentation of ``value``; 0 for an empty one."""
     n = len(value)
@@ -94,6 +121,7 @@ def guess_cost(value: str) -> float:
         for i in range(n):
             if value[i].isdigit() and (m := pattern.match(value, i)):
                 dates.setdefault(m.end(), set()).add(i)
+    repeats, walks = _Run(), _Run()
     for end in range(1, n + 1):
         c = value[end - 1]
         least = best[end - 1] + math.log10(_class_size(c))
@@ -107,17 +135,8 @@ def guess_cost(value: str) -> float:
                 least = min(least, best[start] + math.log10(rank + 1) + math.log10(1 + variants) + 0.3 * odd)
         for start in dates.get(end, ()):
             least = min(least, best[start] + math.log10(366 * 120 if end - start > 4 else 120) + 0.3)
-        # The longest run is cheapest to state; a shorter one starts where some other segment ends.
-        for size in range(3, same[end - 1] + 1):
-            least = min(least, best[end - size] + math.log10(_class_size(c) * size))
-            if size >= 64:
-                least = min(least, best[end - same[end - 1]] + math.log10(_class_size(c) * same[end - 1]))
-                break
-        for size in range(3, walk[end - 1] + 1):
-            least = min(least, best[end - size] + math.log10(47 * size) + 0.6)
-            if size >= 64:
-                least = min(least, best[end - walk[end - 1]] + math.log10(47 * walk[end - 1]) + 0.6)
-                break
+        least = min(least, repeats.cheapest(best, end, same[end - 1], _class_size(c)))
+        least = min(least, walks.cheapest(best, end, walk[end - 1], 47) + 0.6)
         best[end] = least
     return best[n]
 

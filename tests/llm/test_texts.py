@@ -38,6 +38,39 @@ def test_guessing_is_priced_by_the_cheapest_segmentation():
     assert cost("x" * 20_000) < 10
 
 
+def cost_by_hand(value):
+    """The cheapest cut into single characters, words, repeats and walks, all lengths tried; for small letters."""
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        options = [best[end - 1] + np.log10(26)]
+        repeat = walk = True
+        for start in range(end - 2, -1, -1):
+            a, b = value[start : start + 2]
+            repeat = repeat and a == b
+            walk = walk and (secret_scan._neighbours(a, b) or abs(ord(a) - ord(b)) == 1)
+            if end - start >= 3 and repeat:
+                options.append(best[start] + np.log10(26 * (end - start)))
+            if end - start >= 3 and walk:
+                options.append(best[start] + np.log10(47 * (end - start)) + 0.6)
+            if rank := secret_scan._RANK.get(value[start:end]):
+                options.append(best[start] + np.log10(rank + 1) + np.log10(2))
+        best.append(min(options))
+    return best[-1]
+
+
+def test_segments_of_long_runs_begin_anywhere():
+    cost = secret_scan.guess_cost
+    rnd = np.random.default_rng(4)
+    values = ["password" + "d" * 150, "password" + "d" * 500, "monkey" + "y" * 66, "welcome" + "ew" * 80, "apple" + "ed" * 40 + "d" * 90]
+    for _ in range(40):
+        pieces = ["password", "hello", "x", "d" * rnd.integers(1, 120), "we" * rnd.integers(1, 60), "abc", "q"]
+        values.append("".join(pieces[k] for k in rnd.integers(0, len(pieces), 5)))
+    for value in values:
+        assert cost(value) == pytest.approx(cost_by_hand(value), abs=1e-9), value
+    assert cost(values[0]) < 4.3 and secret_scan.guess_spans(f"password: {values[0]}") == []
+    assert cost("we" * 10_000) < 10
+
+
 def test_context_values_that_are_hard_to_guess():
     text = "pwd: Xq7$kLw0pZ9v and passphrase = password and client_secret='zT8!vQ2@mN4#' plain words"
     spans = secret_scan.guess_spans(text)
