@@ -335,10 +335,10 @@ def link(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         embedded = cut(_embedded(docs, similarity, seed), "embedded")
         some = embedded.where(F.col("size") > 0)
         sets = cut(some.groupBy("set").agg(
-            F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"),
-            F.max("sketch0").alias("sketch0"), F.max("sketch1").alias("sketch1"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("copies"),
+            F.max("size").alias("size"), F.max("sketch0").alias("sketch0"), F.max("sketch1").alias("sketch1"),
             (F.min("check") != F.max("check")).alias("collides"),
-        ), "sets")
+        ).withColumns({"first_id": F.col("first.doc_id"), "first_key": F.col("first.text_key")}).drop("first"), "sets")
         if sets.where("collides").isEmpty():
             break
     else:
@@ -367,7 +367,7 @@ def link(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     grouped = lambda df: df.repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi")
     needed = cut(grouped(rows).mapInArrow(wanted, "path long, lo long, hi long, slice long, set long"), "meetings")
-    shingled = cut(_shingles(docs, needed.select("set").distinct().join(sets.select("set", "first_id"), "set"), seed), "shingles")
+    shingled = cut(_shingles(docs, needed.select("set").distinct().join(sets.select("set", "first_id", "first_key"), "set"), seed), "shingles")
     full = needed.join(known.select("set", "size", "copies", "sketch0", "sketch1", "leaves"), "set").join(shingled, "set")
     full = full.select("path", "lo", "hi", "slice", "set", "size", "copies", "sketch0", "sketch1", "leaves", "shingles")
 
@@ -416,7 +416,7 @@ def _integers(parts: list[np.ndarray], names: tuple[str, ...]) -> pa.RecordBatch
 def _shingles(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     """``(set, shingles)`` of the wanted sets, from the text of one document of each.
 
-    Ids may repeat, so the text found under an id is used only if it has the wanted set.
+    Ids may repeat, so a text is found by its id and hash, and used only if it has the wanted set.
     """
 
     def make():
@@ -433,8 +433,9 @@ def _shingles(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
 
         return run
 
-    texts = docs.select(F.col("doc_id"), F.col("text").cast("string"))
-    rows = wanted.join(texts, F.col("first_id").eqNullSafe(F.col("doc_id"))).select("set", "text")
+    texts = docs.select(F.col("doc_id"), F.col("text").cast("string")).withColumn("text_key", F.xxhash64("text"))
+    same = F.col("first_id").eqNullSafe(F.col("doc_id")) & (F.col("first_key") == F.col("text_key"))
+    rows = wanted.join(texts, same).select("set", "text")
     found = by_batch(rows, make, "set long, shingles array<long>")
     # Repeated rows give a set several times.
     return found.groupBy("set").agg(F.first("shingles").alias("shingles"))

@@ -101,6 +101,22 @@ def test_repeated_row_of_the_kept_document(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 5]
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_of_one_id_are_not_paired(spark, monkeypatch, doc_id):
+    fetched, by_batch = [], jaccard_join.by_batch
+
+    def counted(df, make, schema):
+        if "shingles" in schema:
+            fetched.append(df.count())
+        return by_batch(df, make, schema)
+
+    monkeypatch.setattr(jaccard_join, "by_batch", counted)
+    rows = [(doc_id, text) for _, text in documents_with_copies(spark, 40)[0][:40]]
+    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found), key=str) == by_hand(rows)
+    assert len(fetched) == 1 and 1 < fetched[0] <= len(rows)
+
+
 def vectors(spark, n=900, dims=16):
     rnd = np.random.default_rng(1)
     centers = rnd.standard_normal((8, dims))
