@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
@@ -73,7 +73,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return own
 
 
-_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
+_scopes: ContextVar[tuple[list[Callable[[], None]], ...]] = ContextVar("scratch scopes", default=())
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_path(spark: SparkSession, name: str, outlives: bool = False) -> str:
@@ -84,7 +89,7 @@ def scratch_path(spark: SparkSession, name: str, outlives: bool = False) -> str:
     path = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     scopes = _scopes.get()[:-1] if outlives else _scopes.get()
     if scopes:
-        scopes[-1].append(path)
+        scopes[-1].append(lambda: _forget(spark, path))
     return path
 
 
@@ -94,15 +99,14 @@ def discarded(spark: SparkSession) -> Iterator[None]:
 
     Whatever leaves the block must read none of them; its own input is cut with ``outlives``.
     """
-    own: list[str] = []
+    own: list[Callable[[], None]] = []
     token = _scopes.set((*_scopes.get(), own))
     try:
         yield
     finally:
         _scopes.reset(token)
-        for path in own:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        for forget in own:
+            forget()
 
 
 def write_and_read(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -123,6 +127,23 @@ def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = (), ou
     return write_and_read(df, scratch_path(df.sparkSession, name, outlives), partition_by)
 
 
+def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` hashed and sorted by ``keys`` into ``buckets`` files and return the scan of the table.
+
+    Two such tables of equal keys and bucket numbers are joined on the keys, or grouped by them, without an exchange.
+    The files lie in the checkpoint folder; the table's entry in the catalog goes with the ``discarded`` block around it.
+    """
+    spark = df.sparkSession
+    path, table = scratch_path(spark, name), f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    if scopes := _scopes.get():
+        scopes[-1].append(lambda: spark.sql(f"DROP TABLE IF EXISTS {table}"))
+    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+    return spark.table(table).select(*df.columns)
+
+
 def observed(seen: Observation, written: DataFrame, *counts: str) -> list[int]:
     """Counts that the job writing ``written`` took on the way.
 
