@@ -127,9 +127,13 @@ def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = (), ou
     return write_and_read(df, scratch_path(df.sparkSession, name, outlives), partition_by)
 
 
-def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def bucketed(
+    df: DataFrame, name: str, keys: list[str], buckets: int, partition_by: tuple[str, ...] = (), placed: bool = False
+) -> DataFrame:
     """Write ``df`` hashed and sorted by ``keys`` into ``buckets`` files and return the scan of the table.
 
+    ``placed`` says that its partitions are such buckets already.
+
     Two such tables of equal keys and bucket numbers are joined on the keys, or grouped by them, without an exchange.
     The files lie in the checkpoint folder; the table's entry in the catalog goes with the ``discarded`` block around it.
     """
@@ -137,7 +141,8 @@ def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, partition_
     path, table = scratch_path(spark, name), f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
     if scopes := _scopes.get():
         scopes[-1].append(lambda: spark.sql(f"DROP TABLE IF EXISTS {table}"))
-    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    writer = (df if placed else df.repartition(buckets, *keys)).write.format("parquet").option("path", path)
+    writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
