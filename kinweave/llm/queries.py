@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kinweave.llm import (
-    byte_bpe, collision_ann, curriculum, jaccard_join, license_scan, line_rules, secret_scan, token_files, toxicity, url_model,
+    byte_bpe, collision_ann, curriculum, jaccard_join, license_scan, line_rules, line_runs, secret_scan, token_files, toxicity, url_model,
 )
 from kinweave.llm.common import table
 
@@ -84,6 +84,14 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.per_document(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_line_runs"] = line_runs.ORACLE
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
