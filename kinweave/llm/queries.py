@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kinweave.llm import (
-    byte_bpe, collision_ann, curriculum, jaccard_join, license_scan, line_rules, line_runs, secret_scan, token_files, toxicity, url_model,
+    byte_bpe, collision_ann, curriculum, importance, jaccard_join, license_scan, line_rules, line_runs, secret_scan, token_files, toxicity, url_model,
 )
 from kinweave.llm.common import table
 
@@ -92,6 +92,14 @@ def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op11_line_runs"] = line_runs.ORACLE
 
 
+@query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.per_document(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_importance"] = importance.ORACLE
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
