@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kinweave.llm import (
-    byte_bpe, collision_ann, curriculum, importance, jaccard_join, license_scan, line_rules, line_runs, secret_scan, token_files, toxicity, url_model,
+    byte_bpe, collision_ann, cover_quantize, curriculum, importance, jaccard_join, license_scan, line_rules, line_runs,
+    secret_scan, token_files, toxicity, url_model,
 )
 from kinweave.llm.common import table
 
@@ -100,6 +101,14 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op12_importance"] = importance.ORACLE
 
 
+@query
+def op13_cover_quantize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_quantize.per_vector(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_cover_quantize"] = cover_quantize.ORACLE
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
