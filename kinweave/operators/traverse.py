@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from kinweave.operators.skew import SLICE_ROWS, sliced_join
-from kinweave.session import cut
+from kinweave.session import LoopState, cut
 
 
 def top_vertex(degree: DataFrame, vertex: str = "guest_id") -> DataFrame:
@@ -16,55 +16,57 @@ def top_vertex(degree: DataFrame, vertex: str = "guest_id") -> DataFrame:
 def reach_by_paths(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> DataFrame:
     """``(depth, guest_id)``: guests at the end of some simple path of that length from the seed.
 
-    A guest appears once per depth at which such a path exists. Up to three hops a path is not carried
-    along: whether a step closes a cycle can be told from the smallest and the largest predecessor on
-    the way, so each level holds one row per guest instead of one per path. Deeper searches carry paths.
+    A guest appears once per depth at which such a path exists. No level carries paths. Of all sets of guests
+    on the way to a guest, a level keeps a few that represent the others: if some path can be continued by the
+    steps that are left, one through a kept set can. Their number depends on ``max_hops`` alone, so a level's rows
+    are linear in the guests it reaches, and the candidates of the next in its edges.
     """
-    links = edges.select("src", "dst")
-    # One row, so the join filters the scan.
-    first = links.join(seed, F.col("src") == F.col("seed")).where(F.col("dst") != F.col("seed")).select(
-        "seed", F.col("dst").alias("guest_id")
-    ).distinct()
-    first = cut(first, "hop")
-    levels = [first.select(F.lit(1).alias("depth"), "guest_id")]
-    if max_hops > 3:
-        return _reach_with_paths(links, first, levels, max_hops)
-    if max_hops >= 2:
-        second = cut(
-            links.join(first, F.col("src") == F.col("guest_id"))
-            .where((F.col("dst") != F.col("seed")) & (F.col("dst") != F.col("src")))
-            .groupBy("seed", F.col("dst").alias("guest_id"))
-            .agg(F.min("src").alias("via_low"), F.max("src").alias("via_high")),
-            "hop",
-        )
-        levels.append(second.select(F.lit(2).alias("depth"), "guest_id"))
-    if max_hops == 3:
-        third = (
-            links.join(second, F.col("src") == F.col("guest_id"))
-            .where((F.col("dst") != F.col("seed")) & (F.col("dst") != F.col("src")))
-            .where((F.col("via_low") != F.col("dst")) | (F.col("via_high") != F.col("dst")))
-            .select(F.lit(3).alias("depth"), F.col("dst").alias("guest_id"))
-            .distinct()
-        )
-        levels.append(third)
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.union(level)
+    onto = (F.col("dst") != F.col("src")) & (F.col("dst") != seed.select("seed").scalar())
+    links = cut(edges.select("src", "dst").where(onto).distinct(), "links")
+    # The seed is one row, so the join filters the scan.
+    level = cut(links.join(seed, F.col("src") == F.col("seed")).select(
+        F.col("dst").alias("guest_id"), F.array().cast(f"array<{_type(links, 'src')}>").alias("via")
+    ), "hop")
+    out = level.select(F.lit(1).alias("depth"), "guest_id")
+    for depth in range(2, max_hops + 1):
+        onward = links.join(level, F.col("src") == F.col("guest_id")).where(~F.array_contains("via", F.col("dst")))
+        if depth == max_hops:
+            return out.union(onward.select(F.lit(depth).alias("depth"), F.col("dst").alias("guest_id")).distinct())
+        onward = cut(onward.select(
+            F.col("dst").alias("guest_id"), F.array_sort(F.array_append("via", F.col("src"))).alias("via")
+        ).distinct(), "ways")
+        level = cut(representatives(onward, max_hops - depth), "hop")
+        out = out.union(level.select(F.lit(depth).alias("depth"), "guest_id").distinct())
     return out
 
 
-def _reach_with_paths(links: DataFrame, first: DataFrame, levels: list[DataFrame], max_hops: int) -> DataFrame:
-    reach = first.select("guest_id", F.array("seed", "guest_id").alias("path"))
-    out = levels[0]
-    for depth in range(2, max_hops + 1):
-        reach = cut(
-            links.join(reach, F.col("src") == F.col("guest_id"))
-            .where(~F.array_contains("path", F.col("dst")))
-            .select(F.col("dst").alias("guest_id"), F.array_append("path", F.col("dst")).alias("path")).distinct(),
-            "paths",
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def representatives(ways: DataFrame, left: int) -> DataFrame:
+    """For each guest a few of its sets ``(guest_id, via)`` that stand for all: whichever ``left`` guests are to be
+    avoided, if some set avoids them, a kept one does.
+
+    The smallest set is kept; each of its members may be among those to be avoided, so for each the smallest set
+    without it is kept, and so on, ``left`` times. Sets of ``p`` members leave at most ``1 + p + ... + p ** left``
+    per guest. ``ways`` is a written table of distinct sorted sets, read once per step and pre-aggregated.
+    """
+    kept = cut(ways.groupBy("guest_id").agg(F.min("via").alias("via")), "kept-ways")
+    found, latest = kept, kept.withColumn("without", F.slice("via", 1, 0))
+    for step in range(left):
+        avoided = F.array_sort(F.array_append("without", F.col("member")))
+        nodes = cut(latest.select("guest_id", "without", F.explode("via").alias("member")).select(
+            F.col("guest_id").alias("at"), avoided.alias("without")
+        ).distinct(), "avoided")
+        if nodes.isEmpty():
+            break
+        latest = cut(
+            ways.join(nodes, (F.col("guest_id") == F.col("at")) & ~F.arrays_overlap("via", "without"))
+            .groupBy("guest_id", "without").agg(F.min("via").alias("via")), "kept-ways",
         )
-        out = out.union(reach.select(F.lit(depth).alias("depth"), "guest_id").distinct())
-    return out
+        found = found.union(latest.select("guest_id", "via"))
+    return found.distinct()
 
 
 def reach_by_distance(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> DataFrame:
@@ -107,3 +109,34 @@ def two_hop(edges: DataFrame, seeds: DataFrame | None = None, slice_rows: int =
 
 def hop_histogram(hops: DataFrame) -> DataFrame:
     return hops.groupBy("hops").agg(F.count(F.lit(1)).alias("pairs")).orderBy("hops")
+
+
+def sketch_error(lg_k: int) -> float:
+    """The relative standard error of a ball's size, as estimated from a sketch of ``2 ** lg_k`` registers."""
+    return 1.04 / 2 ** (lg_k / 2)
+
+
+def sketched_hop_histogram(edges: DataFrame, max_hops: int = 2, lg_k: int = 12) -> DataFrame:
+    """``(hops, pairs)``: about how many ordered pairs of different guests are so many hops apart, without listing any.
+
+    Every vertex has a sketch of the distinct vertices within reach, at first of itself; a round merges into it the
+    sketches of those its edges lead to, so a round costs one message per edge, whatever the number of pairs. Summed over the
+    vertices, the growth of the estimates is the number of pairs at that distance. An estimate is off by a
+    standard error of ``sketch_error(lg_k)`` of a ball; a depth's pairs by at most about three times that share of all pairs up
+    to that depth. Balls of few vertices against the registers (below ``2 ** (lg_k - 4)``) are practically exact.
+    """
+    links = cut(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct(), "links")
+    state = LoopState(edges.sparkSession, "balls")
+    vertices = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    balls = state.advance(vertices.groupBy("id").agg(F.hll_sketch_agg("id", F.lit(lg_k)).alias("ball")))
+    within = lambda hops, df: df.agg(F.lit(hops).alias("hops"), F.sum(F.hll_sketch_estimate("ball")).alias("within"))
+    totals = [cut(within(0, balls), "within")]
+    for hops in range(1, max_hops + 1):
+        heard = links.join(balls.withColumnRenamed("id", "dst"), "dst").select(F.col("src").alias("id"), "ball")
+        balls = state.advance(heard.unionByName(balls).groupBy("id").agg(F.hll_union_agg("ball").alias("ball")))
+        totals.append(cut(within(hops, balls), "within"))
+    sums = totals[0]
+    for total in totals[1:]:
+        sums = sums.unionByName(total)
+    grown = F.col("within") - F.lag("within").over(W.orderBy("hops"))  # one row per depth
+    return sums.select("hops", grown.alias("pairs")).where("pairs > 0").orderBy("hops")

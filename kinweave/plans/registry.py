@@ -203,6 +203,14 @@ def khop_paths(s):
     )
 
 
+@query
+def khop_paths_deep(s):
+    """Guests at the end of simple paths of up to six edges."""
+    return traverse.guests_per_depth(
+        traverse.reach_by_paths(edges_of(s["gold_triplets"], "VISITED_WITH"), s.most_connected_guest(), max_hops=6)
+    )
+
+
 @query
 def khop_distance(s):
     return traverse.guests_per_depth(
@@ -220,6 +228,12 @@ def two_hop_histogram(s):
     return traverse.hop_histogram(s["guest_2hop"])
 
 
+@query
+def hop_histogram_sketched(s):
+    """Pairs of guests by distance, up to three hops, from sketches."""
+    return traverse.sketched_hop_histogram(edges_of(s["gold_triplets"], "VISITED_WITH"), max_hops=3, lg_k=13)
+
+
 # Value
 
 @query

@@ -89,6 +89,11 @@ CTES: dict[str, str] = {
         UNION SELECT 2, b.dst FROM from_seed a JOIN visited b ON b.src = a.dst WHERE b.dst <> a.src
         UNION SELECT 3, c.dst FROM from_seed a JOIN visited b ON b.src = a.dst JOIN visited c ON c.src = b.dst
           WHERE b.dst <> a.src AND c.dst <> a.src AND c.dst <> a.dst""",
+    "paths(depth, guest, path)": """SELECT 1, dst, [src, dst] FROM from_seed
+        UNION ALL SELECT depth + 1, e.dst, list_append(path, e.dst) FROM paths p JOIN visited e ON e.src = p.guest
+          WHERE depth < 6 AND NOT list_contains(path, e.dst)""",
+    "apart(hops, src, dst)": """SELECT 0, id, id FROM visit_vertices
+        UNION SELECT hops + 1, a.src, e.dst FROM apart a JOIN visited e ON e.src = a.dst WHERE hops < 3""",
     "undirected": "SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM visited",
     "corners": """SELECT unnest([x.a, x.b, y.b]) AS id FROM undirected x JOIN undirected y ON x.b = y.a
         JOIN undirected z ON z.a = x.a AND z.b = y.b""",
@@ -350,6 +355,9 @@ FINAL: dict[str, str] = {
           UNION SELECT 4, d.dst FROM from_seed a JOIN visited b ON b.src = a.dst JOIN visited c ON c.src = b.dst JOIN visited d ON d.src = c.dst
           WHERE b.dst <> a.src AND c.dst <> a.src AND c.dst <> a.dst AND d.dst <> a.src AND d.dst <> a.dst AND d.dst <> b.dst)
         GROUP BY depth ORDER BY depth""",
+    "khop_paths_deep": "SELECT depth, count(DISTINCT guest) AS guests_reached FROM paths GROUP BY depth ORDER BY depth",
+    "hop_histogram_sketched": """SELECT hops, count(*) AS pairs FROM (
+          SELECT src, dst, min(hops) AS hops FROM apart GROUP BY src, dst) WHERE hops > 0 GROUP BY hops ORDER BY hops""",
     "khop_distance": """SELECT depth, count(*) AS guests_reached FROM
         (SELECT guest_id, min(depth) AS depth FROM walk GROUP BY guest_id) GROUP BY depth ORDER BY depth""",
     "two_hop": "SELECT * FROM hops",

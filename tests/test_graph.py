@@ -239,3 +239,88 @@ def test_two_hop(spark, slice_rows):
     seeds = spark.createDataFrame([(edges[0][0],)], "seed long")
     part = {(r[0], r[1]): r[2] for r in traverse.two_hop(g.edges, seeds, slice_rows).collect()}
     assert part == {k: v for k, v in want.items() if k[0] == edges[0][0]}
+
+
+def dense_edges():
+    """Two cliques that meet in one guest, a ring through both, and parallel and looping edges."""
+    cliques = [(a, b) for group in (range(7), range(6, 13)) for a in group for b in group if a != b]
+    return cliques + [(i, (i + 1) % 13) for i in range(13)] + [(3, 3), (12, 13), (13, 14), (14, 0), (0, 12)]
+
+
+@pytest.mark.parametrize("hops", [5, 6])
+def test_simple_paths_on_a_dense_graph(spark, hops, monkeypatch):
+    edges, rows = dense_edges(), []
+    kept = traverse.representatives
+    monkeypatch.setattr(traverse, "representatives", lambda ways, left: rows.append(kept(ways, left)) or rows[-1])
+    g = make(spark, range(15), edges, "long")
+    got = {tuple(r) for r in traverse.reach_by_paths(g.edges, spark.createDataFrame([(0,)], "seed long"), hops).collect()}
+    assert got == simple_path_ends(edges, 0, hops)
+    for depth, level in enumerate(rows, 2):
+        p, left = depth - 1, hops - depth
+        assert level.groupBy("guest_id").count().agg(F.max("count")).first()[0] <= sum(p**j for j in range(left + 1))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_kept_sets_stand_for_all(spark, seed):
+    """Whichever few guests are to be avoided: if a set avoids them, a kept one does."""
+    rnd = random.Random(seed)
+    sets = {(g, tuple(sorted(rnd.sample(range(8), 3)))) for g in range(4) for _ in range(25)}
+    ways = spark.createDataFrame([(g, list(s)) for g, s in sets], "guest_id long, via array<long>")
+    for left in (0, 1, 2, 3):
+        kept = {(r.guest_id, tuple(r.via)) for r in traverse.representatives(ways, left).collect()}
+        assert kept <= sets
+        for g in range(4):
+            for avoid in itertools.combinations(range(8), left):
+                free = lambda of: any(h == g and not set(s) & set(avoid) for h, s in of)  # noqa: B023, E731
+                assert free(kept) == free(sets)
+
+
+def pairs_by_distance(edges, hops):
+    out = {}
+    for v in {x for e in edges for x in e}:
+        seen = frontier = {v}
+        for d in range(1, hops + 1):
+            frontier = {b for a, b in edges if a in frontier} - seen
+            seen = seen | frontier
+            out[d] = out.get(d, 0) + len(frontier)
+    return {d: n for d, n in out.items() if n}
+
+
+@pytest.mark.parametrize("lg_k", [6, 8, 12])
+def test_sketched_histogram_is_within_its_error(spark, lg_k):
+    rnd = random.Random(lg_k)
+    edges = [(rnd.randrange(250), rnd.randrange(250)) for _ in range(700)] + [(1, 1), (1, 2), (1, 2)]
+    g = make(spark, range(250), edges, "long")
+    want = pairs_by_distance(edges, 4)
+    got = as_dict(traverse.sketched_hop_histogram(g.edges, 4, lg_k))
+    upto = 250
+    for d, n in want.items():
+        upto += n
+        assert abs(got[d] - n) <= 3 * traverse.sketch_error(lg_k) * upto
+    if lg_k == 12:
+        assert got == want
+    exact = as_dict(traverse.hop_histogram(traverse.two_hop(g.edges)))
+    assert exact == {d: want[d] for d in (1, 2)}
+
+
+def test_sketched_histogram_of_no_edges(spark):
+    g = make(spark, [1], [], "long")
+    assert traverse.sketched_hop_histogram(g.edges).count() == 0
+
+
+def test_sketched_histogram_lists_no_pairs(spark):
+    """A star of 300 guests has 90,000 pairs two hops apart; no table of the search has more rows than its edges."""
+    edges = [(0, i) for i in range(1, 301)] + [(i, 0) for i in range(1, 301)]
+    sizes = []
+    state = traverse.LoopState.advance
+
+    class Counted(traverse.LoopState):
+        def advance(self, df, name=""):
+            written = state(self, df, name)
+            sizes.append(written.count())
+            return written
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(traverse, "LoopState", Counted)
+        got = as_dict(traverse.sketched_hop_histogram(make(spark, range(301), edges, "long").edges, 2))
+    assert got == {1: 600, 2: 300 * 299} and max(sizes) == 301
