@@ -248,7 +248,7 @@ def pass_holders(s):
 
 @query
 def pass_holders_murmur(s):
-    """The sample by Spark's own hash, which other engines do not have."""
+    """The sample by Spark's own hash."""
     return value.pass_holders(s["guest_cohorts"])
 
 
@@ -267,25 +267,53 @@ def cohort_value(s):
     return s.spark.sql(value.COHORT_VALUE_QUERY, cohort_spend=s["cohort_spend"])
 
 
-@query
-def published_cohort_value(s):
-    """Cohort value from a catalog schema: tables written and checked, the documented view over them read back."""
+def _published(s):
+    """The tables written to a catalog schema and checked, with the documented view over them."""
     here = s.spark.catalog.currentDatabase()
     catalog.use_schema(s.spark, "kinweave_published")
     try:
         catalog.save_table(s["cohort_spend"], "cohort_spend", "Spend of each cohort.", {"segment": "With or without a pass holder."})
         catalog.save_table(s["guest_cohorts"], "guest_cohorts", "Activity cohort of each golden guest.")
         catalog.require_tables(s.spark, ("cohort_spend", "guest_cohorts"))
-        catalog.create_view(
+        return catalog.create_view(
             s.spark, "v_cohort_value", value.COHORT_VALUE_QUERY.format(cohort_spend="kinweave_published.cohort_spend"),
             value.COHORT_VALUE_COMMENT, value.COHORT_VALUE_COLUMNS,
         )
-        sizes = s.spark.table("guest_cohorts").groupBy("cohort_id").agg(F.count(F.lit(1)).alias("guests"))
-        return s.spark.table("v_cohort_value").join(sizes, "cohort_id")
     finally:
         s.spark.catalog.setCurrentDatabase(here)
 
 
+@query
+def published_cohort_value(s):
+    """Cohort value from a catalog schema: tables written and checked, the documented view over them read back."""
+    view = _published(s)
+    sizes = s.spark.table("kinweave_published.guest_cohorts").groupBy("cohort_id").agg(F.count(F.lit(1)).alias("guests"))
+    return view.join(sizes, "cohort_id")
+
+
+@query
+def published_comments(s):
+    """Each column of the documented view with its comment, the view's, and how many values are known and different."""
+    view = _published(s)
+    counts = view.agg(*[f(c).alias(f"{c}_{n}") for c in view.columns for n, f in (("known", F.count), ("different", F.countDistinct))])
+    of_view, of_column = catalog.comments(s.spark, "kinweave_published.v_cohort_value")
+    rows = F.array(*[
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(of_column.get(c)).alias("column_comment"), F.lit(of_view).alias("view_comment"),
+            F.col(f"{c}_known").alias("known"), F.col(f"{c}_different").alias("different"),
+        ) for c in view.columns
+    ])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
+@query
+def predicate_glossary(s):
+    """The edge table's predicates with their meaning, from a hand-made table, and their number."""
+    glossary = catalog.table_from_rows(s.spark, relations.GLOSSARY, "predicate string, meaning string")
+    counts = s["gold_triplets"].groupBy("predicate").agg(F.count(F.lit(1)).alias("edges"))
+    return counts.join(F.broadcast(glossary), "predicate")
+
+
 @query
 def metric_cohort_value(s):
     found = metrics.cohort_value_metrics(s["cohort_spend"]).query()

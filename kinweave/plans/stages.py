@@ -99,13 +99,23 @@ _STAGES: dict[str, Callable[[Stages], DataFrame]] = {
     "resolved_learned": lambda s: clustering.resolve(s.records, s.training().model),
 }
 
-_open: dict[tuple[str, str], tuple[tuple[str, ...], Stages]] = {}
+_open: dict[tuple[str, str], tuple[tuple[tuple[str, int, int], ...], Stages]] = {}
+
+
+def file_states(df: DataFrame) -> list[tuple[str, int, int]]:
+    """Name, length and time of change of each file of a scan."""
+    spark, out = df.sparkSession, []
+    for name in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        state = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((name, state.getLen(), state.getModificationTime()))
+    return out
 
 
 def stages(spark: SparkSession, sf_dir: str) -> Stages:
     """The stage tables of this application over one input folder, made anew when its files have changed."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    files = tuple(sorted(f for t in ("customer", "orders") for f in spark.read.parquet(f"{key[1]}/{t}.parquet").inputFiles()))
+    files = tuple(sorted(x for t in ("customer", "orders") for x in file_states(spark.read.parquet(f"{key[1]}/{t}.parquet"))))
     if key not in _open or _open[key][0] != files:
         _open[key] = (files, Stages(spark, key[1]))
     return _open[key][1]

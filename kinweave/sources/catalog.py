@@ -43,7 +43,7 @@ def use_schema(spark: SparkSession, schema: str, catalog: str | None = None) ->
     spark.catalog.setCurrentDatabase(schema)
 
 
-def table_from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType) -> DataFrame:
+def table_from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
     """Small hand-made tables with a declared schema."""
     return spark.createDataFrame(list(rows), schema)
 
@@ -78,6 +78,12 @@ def create_view(
     return spark.table(name)
 
 
+def comments(spark: SparkSession, name: str) -> tuple[str | None, dict[str, str]]:
+    """The comment of a table or view, and those of its columns, as the catalog has them."""
+    of_columns = {c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
+    return spark.catalog.getTable(name).description, of_columns
+
+
 def drop_view(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP VIEW IF EXISTS {_quoted(name)}")
 

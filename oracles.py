@@ -9,6 +9,7 @@ import re
 
 from kinweave.operators.resolve.comparisons import guest_comparisons
 from kinweave.operators.resolve.model import FLOOR, GIVEN_MODEL, starting_m
+from kinweave.plans.value import COHORT_VALUE_COLUMNS, COHORT_VALUE_COMMENT
 from kinweave.sources import guests
 
 COMPARISONS = guest_comparisons()
@@ -29,6 +30,28 @@ def similarity(a: str, b: str) -> str:
     return f"jaro_winkler_similarity({one_byte(f'least({a}, {b})')}, {one_byte(f'greatest({a}, {b})')})"
 
 
+def _low(expr: str) -> str:
+    return f"(({expr}) & 4294967295::UBIGINT)"
+
+
+def _turned(expr: str, bits: int) -> str:
+    return f"({_low(f'{expr} << {bits}')} | ({expr} >> {32 - bits}))"
+
+
+def murmur_step(h: str, k: str) -> str:
+    """SQL for the state after one more word."""
+    mixed = _low(f"{_turned(_low(f'{k} * 3432918353::UBIGINT'), 15)} * 461845907::UBIGINT")
+    return _low(f"{_turned(f'xor({h}, {mixed})', 13)} * 5::UBIGINT + 3864292196::UBIGINT")
+
+
+def murmur_end(h: str, length: str) -> str:
+    """SQL for the hash from the last state and the number of bytes."""
+    shifted = lambda x, bits: f"list_transform([{x}], lambda y: xor(y, y >> {bits}))[1]"
+    h = shifted(f"xor({h}, CAST({length} AS UBIGINT))", 16)
+    h = shifted(_low(f"{h} * 2246822507::UBIGINT"), 13)
+    return shifted(_low(f"{h} * 3266489909::UBIGINT"), 16)
+
+
 CTES: dict[str, str] = {
     "guests_raw": guests.GUESTS_RAW.format(customer="customer", orders="orders"),
     "party_members": guests.PARTY_MEMBERS.format(orders="orders"),
@@ -73,6 +96,16 @@ CTES: dict[str, str] = {
     "txn": """SELECT t.txn_id, t.amount_gbp, c.cohort_id, r.golden_id
         FROM transactions t JOIN guests_resolved r USING (record_id) JOIN cohorts c ON c.id = r.golden_id""",
     "pass_holders": """SELECT id AS golden_id FROM cohorts WHERE CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 100 < 5""",
+    # Murmur3 of the bytes of an id with seed 42: whole words little-endian, then the bytes left, each a word with its sign.
+    "murmur_words": """SELECT id, n, list_transform(range(n // 4 + n % 4), lambda i: CASE WHEN i < n // 4
+            THEN CAST('0x' || x[8 * i + 7:8 * i + 8] || x[8 * i + 5:8 * i + 6] || x[8 * i + 3:8 * i + 4] || x[8 * i + 1:8 * i + 2] AS UBIGINT)
+            ELSE CAST('0x' || if(x[2 * (i + 3 * (n // 4)) + 1:2 * (i + 3 * (n // 4)) + 1] >= '8', 'ffffff', '')
+              || x[2 * (i + 3 * (n // 4)) + 1:2 * (i + 3 * (n // 4)) + 2] AS UBIGINT) END) AS words
+        FROM (SELECT id, lower(hex(encode(id))) AS x, octet_length(encode(id)) AS n FROM cohorts)""",
+    "murmur_mixed": f"""SELECT id, {murmur_end('list_reduce(list_prepend(42::UBIGINT, words), lambda h, k: ' + murmur_step('h', 'k') + ')', 'n')} AS h
+        FROM murmur_words""",
+    "murmur_holders": """SELECT id AS golden_id FROM murmur_mixed
+        WHERE abs(CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 ELSE CAST(h AS BIGINT) END) % 100 < 5""",
     "members_per_cohort": "SELECT cohort_id, count(*) AS n FROM cohorts GROUP BY cohort_id",
     "spend_per_cohort": "SELECT cohort_id, sum(amount_gbp) AS spend FROM txn GROUP BY cohort_id",
     "passes_per_cohort": """SELECT cohort_id, count(*) AS passes FROM cohorts
@@ -364,6 +397,14 @@ FINAL: dict[str, str] = {
     "two_hop_histogram": "SELECT hops, count(*) AS pairs FROM hops GROUP BY hops ORDER BY hops",
     "txn_cohort": "SELECT * FROM txn",
     "pass_holders": "SELECT * FROM pass_holders",
+    "pass_holders_murmur": "SELECT * FROM murmur_holders",
+    "predicate_glossary": """SELECT predicate, meaning, count(*) AS edges FROM triplets
+        JOIN (VALUES ('VISITED_WITH', 'shared a party with'), ('PAID_FOR', 'paid a booking of'), ('RESOLVES_TO', 'is a record of'))
+        AS glossary(predicate, meaning) USING (predicate) GROUP BY predicate, meaning""",
+    "published_comments": "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{column}' AS column_name, '{text}' AS column_comment, '{COHORT_VALUE_COMMENT}' AS view_comment, count({column}) AS known, "
+        f"count(DISTINCT {column}) AS different FROM cohort_spend" for column, text in COHORT_VALUE_COLUMNS.items()
+    ) + ")",
     "cohort_spend": "SELECT * FROM cohort_spend",
     "segment_summary": """SELECT segment, count(*) AS cohorts, round(avg(total_spend_gbp), 2) AS avg_cohort_spend_gbp,
         round(avg(total_spend_gbp / nullif(cohort_members, 0)), 2) AS avg_spend_per_member_gbp
