@@ -18,12 +18,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 from tokenizers import Tokenizer
 
-from kinweave.llm.common import Generations, by_batch, words_of
+from kinweave.llm.common import Generations, by_batch
 from kinweave.session import scratch_path, ship_package
 
 MAGIC = b"IDP1"
@@ -91,39 +92,59 @@ def unpack(payload: bytes) -> np.ndarray:
 def _parted(word: str) -> tuple[str, str]:
     """A word without a full stop or comma at its end, and that mark.
 
-    The tokenizer cuts there anyway if a letter or digit stands before, and makes all letters small.
+    The tokenizer cuts there anyway if a letter or digit stands before, and makes all letters small except in special
+    tokens, which hold a bar.
     """
     mark = word[-1] if word[-1] in ".," and len(word) > 1 and word[-2].isalnum() else ""
     base = word[:-1] if mark else word
-    return (base.lower() if base.isascii() else base), mark
+    return (base.lower() if base.isascii() and "|" not in base else base), mark
 
 
 class WordEncoder:
-    """Encodes whole texts with a tokenizer that drops white space; each distinct word is encoded once.
+    """Encodes whole texts with a tokenizer that drops white space, as its plain call does; each distinct word is encoded once.
 
-    The tokenizer works on the parts between white space independently, so the ids of a text are those of
-    its words in turn, a last full stop or comma apart. Special tokens in a text are ordinary text.
+    The tokenizer works on the parts between ASCII white space independently, so the ids of a text are those of its words in
+    turn, a last full stop or comma apart. That holds for a tokenizer whose pre-tokenizer cuts letters, digits and signs apart, drops white
+    space and makes letters small; another one is refused unless a probe gives its own ids. Texts are split, and their words told apart, in
+    Arrow; Python sees each distinct word of a batch once, and ids are taken for all words at once.
     """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.words = Generations(REMEMBERED)
         self.marks = dict(zip(".,", self._encode_words([".", ","])))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        split = [words_of(t) for t in texts]
+        probe = "Don't, say: A1b2, \x0b ÉCOLE. x.y,\t<|Endoftext|>. 3,5.\r\n ßtraße, 日本."
+        if self.one(probe) != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+            raise ValueError("this tokenizer does not work on words between white space independently")
+
+    def one(self, text: str) -> list[int]:
+        return self(pa.array([text]))[0].tolist()
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and the number of ids of each. Null texts are empty."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        words = split.flatten().dictionary_encode()
+        known = self._known(words.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        table = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(np.frombuffer(b"".join(known), "<u4"))
+        )
+        at = words.indices.to_numpy()
+        upto = np.concatenate([[0], np.cumsum(lengths[at])])
+        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return table.take(words.indices).flatten().to_numpy(), np.diff(upto[ends])
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian unsigned 32-bit integers."""
         self.words.turn()
-        parts = {w: _parted(w) for w in set().union(*split)}
-        wanted = {base for base, _ in parts.values()}
+        parts = [_parted(w) if w else ("", "") for w in words]
+        wanted = {base for base, _ in parts if base}
         new = [w for w in wanted.difference(self.words.young) if not self.words.revive(w)]
         for i in range(0, len(new), WORDS_TOGETHER):
             part = new[i : i + WORDS_TOGETHER]
             self.words.young.update(zip(part, self._encode_words(part)))
         known = self.words.young
-        ids = {w: known[base] + self.marks[mark] if mark else known[base] for w, (base, mark) in parts.items()}
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
+        return [known[base] + self.marks[mark] if mark else known[base] if base else b"" for base, mark in parts]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, from one call on all of them; a token's place tells its word."""
@@ -146,18 +167,13 @@ def _encoder(definition: str) -> WordEncoder:
     return _encoders[key]
 
 
-def _text_blocks(batch: pa.RecordBatch, limit: int = 2_000_000) -> Iterable[tuple[list, list[str]]]:
-    ids, texts, size = [], [], 0
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        text = text or ""
-        ids.append(doc_id)
-        texts.append(text)
-        size += len(text)
-        if size >= limit:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+def _text_blocks(batch: pa.RecordBatch, limit: int = 4_000_000) -> Iterable[pa.RecordBatch]:
+    """Slices of a batch of about ``limit`` bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    block = np.cumsum(sizes) // limit
+    starts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:]):
+        yield batch.slice(a, b - a)
 
 
 def write(
@@ -166,47 +182,50 @@ def write(
 ) -> None:
     """Encode every whole text, append ``end_id`` to each, and write files in ascending document id below ``path``.
 
-    A null text counts as empty, a null id comes first, repeated ids stand side by side.
+    A null text counts as empty, a null id comes first, repeated ids stand side by side. Ids are cast to long. Rows of one id are
+    range-partitioned by a hash of their text, so none but equal rows must share a task.
     """
     ship_package(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as f:
         definition = f.read()
     if len(definition) > 64 << 20:
         raise ValueError(f"{tokenizer} has more than 64 MiB")
-    end = end_id.to_bytes(4, "little")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard, number = _encoder(definition), TaskContext.get().partitionId(), 0
         doc_ids, parts, size = [], [], 0
 
         def made() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)], pa.int64()),
                     pa.array([doc_ids], pa.list_(pa.int64())),
-                    pa.array([[len(p) // 4 for p in parts]], pa.list_(pa.int64())),
+                    pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
                     pa.array([pack(ids, n_planes, block)], pa.binary()),
                 ],
                 names=["shard", "chunk", "n_ids", "doc_ids", "doc_lengths", "payload"],
             )
 
         for batch in batches:
-            for keys, texts in _text_blocks(batch):
-                for key, ids in zip(keys, encode(texts)):
+            for some in _text_blocks(batch):
+                ids, lengths = encode(some.column(1))
+                ends = np.cumsum(lengths)
+                ids = np.insert(ids, ends, end_id)
+                ends += np.arange(1, len(ends) + 1)
+                for key, begin, end in zip(some.column(0).to_pylist(), (ends - lengths - 1).tolist(), ends.tolist()):
                     doc_ids.append(key)
-                    parts.append(ids + end)
-                    size += len(parts[-1]) // 4
+                    parts.append(ids[begin:end])
+                    size += end - begin
                     if size >= chunk:
                         yield made()
                         doc_ids, parts, size, number = [], [], 0, number + 1
         if doc_ids:
             yield made()
 
-    # The second key settles the order of rows with the same id, so a task that runs again writes the same.
+    # The hash settles the order of rows with the same id, so a task that runs again writes the same.
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+        .withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").drop("hash")
     )
     written = ordered.mapInArrow(run, SCHEMA)
     written.write.mode("overwrite").parquet(f"{path}/chunks")

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -79,24 +80,33 @@ def test_planes_round_trip(n):
 
 def test_words_are_encoded_as_in_the_whole_text():
     reference = Tokenizer.from_file(WORDS)
-    reference.encode_special_tokens = True
     with open(WORDS, encoding="utf-8") as f:
         own = token_files.WordEncoder(f.read())
     rnd = random.Random(2)
-    texts = ["".join(rnd.choice([*ODD, "\x0b", "\r"]) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
-    for text, ids in zip(texts, own(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids, repr(text)
+    special = ["<|startoftext|>", "<|endoftext|>", "<|EndOfText|>", "a<|endoftext|>.", "<|", "|>", "hi <|endoftext|> yo", "\x1c", "\xa0", "\u2028"]
+    texts = ["".join(rnd.choice([*ODD, *special, "\x0b", "\r"]) for _ in range(rnd.randint(0, 60))) for _ in range(600)]
+    texts += [None, "", " ", *special]
+    ids, lengths = own(pa.array(texts))
+    for text, found in zip(texts, np.split(ids, np.cumsum(lengths))):
+        assert found.tolist() == reference.encode(text or "", add_special_tokens=False).ids, repr(text)
+    assert own.one("hi <|endoftext|> yo") == [1883, 49407, 3497]
+
+
+def test_other_tokenizers_are_refused():
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f, pytest.raises(ValueError):
+        token_files.WordEncoder(f.read())
 
 
 def test_files_hold_every_document_in_order(spark, tmp_path):
     reference = Tokenizer.from_file(WORDS)
-    reference.encode_special_tokens = True
-    docs = edge.documents(spark)
+    more = [(50, "hi <|endoftext|> yo <|STARTOFTEXT|>", "en", "s", 1), (51, "<|startoftext|>,", "en", "s", 1)]
+    rows = edge.rows() + more + [(None, f"null id {i}", "en", "s", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA).repartition(3)
     token_files.write(docs, str(tmp_path), WORDS, 2, 16, chunk=500)
     found = sorted(token_files.read(spark, str(tmp_path)).collect(), key=lambda r: r.start)
-    assert [r.doc_id for r in found] == sorted((r[0] for r in edge.rows()), key=lambda i: -1 if i is None else i)
+    assert [r.doc_id for r in found] == sorted((r[0] for r in rows), key=lambda i: -1 if i is None else i)
     start, texts = 0, {}
-    for doc_id, text, *_ in edge.rows():
+    for doc_id, text, *_ in rows:
         texts.setdefault(doc_id, []).append([*reference.encode(text or "", add_special_tokens=False).ids, 2])
     for r in found:
         ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
