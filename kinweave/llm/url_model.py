@@ -1,6 +1,7 @@
 """URL filter: host and path rules first, then the likelihood ratio of two character language models.
 
-The URLs that the rules decide teach two variable-order Markov models, one of accepted and one of rejected URLs.
+The URLs that the rules decide teach two variable-order Markov models, one of accepted and one of rejected URLs; the models
+see whole URLs, a null one as empty.
 Their counts stand in one table of n-grams with a column per model. A URL without a rule is judged by the mean
 difference, per character, of the logarithms of its probabilities, against a threshold calibrated on a fold of the
 decided URLs that taught nothing. Probabilities are computed once per distinct n-gram. DataFrame functions only.
@@ -8,11 +9,12 @@ decided URLs that taught nothing. Probabilities are computed once per distinct n
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, Observation, functions as F, Window as W
 
-from kinweave.session import cut
+from kinweave.session import cut, observed
 
 #: Characters of context of the longest n-grams, and symbols a character is drawn from before anything is known.
 CONTEXT, ALPHABET = 4, 256
@@ -22,6 +24,8 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 FOLDS = 5
 #: Scores are rounded to this many digits where the threshold is sought, and to more where they are compared.
 GRID, DIGITS = 2, 9
+#: Different URLs that one task cuts into n-grams.
+TEXTS_PER_TASK = 2_000
 _BEGIN, _END = "\x02", "\x03"
 
 
@@ -102,6 +106,14 @@ def _key() -> Column:
     return F.struct(F.xxhash64("text").alias("x"), F.md5("text").alias("m"))
 
 
+def spread(texts: DataFrame, n: int) -> DataFrame:
+    """``n`` texts dealt evenly to as many tasks as cutting them into n-grams is worth.
+
+    By a hash of their own, so that the exchange is not taken for one that is there already.
+    """
+    return texts.repartition(max(1, math.ceil(n / TEXTS_PER_TASK)), F.xxhash64("text", F.lit(1)))
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``(id, host, path, rule, verdict, score)`` for every row; ``score`` is null where a rule decides.
 
@@ -109,9 +121,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: st
     allowed.
     """
     host, path = parts(F.col(url_col).cast("string"))
-    rows = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
+    rows = pages.select(F.col(id_col), host.alias("host"), path.alias("path"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("text"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.select(id_col, "host", "path", rule.alias("rule"), verdict.alias("decided"), F.concat("host", "path").alias("text"))
+    rows = rows.select(id_col, "host", "path", rule.alias("rule"), verdict.alias("decided"), "text")
     decided = rows.where(F.col("decided").isNotNull())
     open_ = rows.where(F.col("decided").isNull()).withColumn("key", _key())
 
@@ -122,10 +134,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: st
     calibration = taught.where(F.col("fold")).groupBy("text").agg(
         F.sum("accepted").alias("a"), F.sum(1 - F.col("accepted")).alias("r")
     )
-    texts = open_.select("text").distinct().select("text", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("r")).unionByName(
+    seen = Observation()
+    texts = cut(open_.select("text").distinct().select("text", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("r")).unionByName(
         calibration
-    ).repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text")
-    uses = texts.select(_key().alias("key"), "a", "r", F.explode(grams(F.col("text"))).alias("g"))
+    ).observe(seen, F.count(F.lit(1)).alias("n")), "url-texts")
+    uses = spread(texts, observed(seen, texts, "n")[0]).select(_key().alias("key"), "a", "r", F.explode(grams(F.col("text"))).alias("g"))
     ratios = cut(log_ratios(uses.select("g").distinct(), by_gram, by_context), "url-ratios")
     scored = cut(
         uses.join(ratios, "g").groupBy("key").agg(
@@ -190,10 +203,10 @@ ORACLE = rf"""
 WITH cut AS (
     SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path, coalesce(url, '') AS text
     FROM pages),
 ruled AS (
-    SELECT *, host || path AS text, CASE
+    SELECT *, CASE
         WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
         WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
         WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'

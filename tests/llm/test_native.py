@@ -171,7 +171,7 @@ def test_urls_by_rule_and_by_model(spark):
     taught = []
     for _, url in rows:
         host, path, rule = url_by_hand(url)
-        text = host + path
+        text = url or ""
         if rule and int(__import__("hashlib").md5(text.encode()).hexdigest()[:4], 16) % url_model.FOLDS:
             taught.append((text, int(rule[1] == "allow")))
     assert {a for _, a in taught} == {0, 1}
@@ -183,8 +183,8 @@ def test_urls_by_rule_and_by_model(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule[0] if rule else None)
         if rule:
             assert r.verdict == rule[1] and r.score is None
-        elif len(host + path) < 100:
-            assert r.score == pytest.approx(ratio_by_hand(host + path, taught), abs=1e-8)
+        elif len(url := hand[r.page_id][0] or "") < 100:
+            assert r.score == pytest.approx(ratio_by_hand(url, taught), abs=1e-8)
     undecided = [(r.score, r.verdict) for r in found if r.rule is None]
     allowed, blocked = [s for s, v in undecided if v == "allow"], [s for s, v in undecided if v == "block"]
     assert {v for _, v in undecided} <= {"allow", "block"} and (not allowed or not blocked or min(allowed) > max(blocked))
@@ -193,6 +193,21 @@ def test_urls_by_rule_and_by_model(spark):
     assert {r.page_id: r.verdict for r in url_model.judge(one_sided).collect()} == {1: "block", 2: "allow"}
 
 
+def test_query_and_fragment_are_scored(spark):
+    """URLs that differ after the path only, and URLs without a host, have scores of their own."""
+    rows = [(i, f"http://{'ab'[i % 2]}x{i}.{'net' if i % 2 else 'org'}/{'q?bad=1' if i % 2 else 'fr/x?good=2'}#{i}") for i in range(40)]
+    rows += [(100, "http://c.io/x?bad=1"), (101, "http://c.io/x?good=2"), (102, "no scheme"), (103, None)]
+    found = {r.page_id: r.score for r in url_model.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert found[101] > found[100] and len({found[i] for i in (100, 101, 102, 103)}) == 4
+
+
+def test_texts_are_spread_before_they_are_cut(spark):
+    texts = spark.createDataFrame([(f"u{i}",) for i in range(50)], "text string").distinct()
+    cut = url_model.spread(texts, 5 * url_model.TEXTS_PER_TASK).select(F.explode(url_model.grams(F.col("text"))).alias("g"))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Generate(?s:.*)Exchange hashpartitioning\(xxhash64\(text.*REPARTITION_BY_NUM", plan)
+
+
 def test_native_plans_have_no_python(spark):
     docs, pages = edge.documents(spark), spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     for df in (curriculum.per_document(docs), line_rules.verdicts(docs), url_model.judge(pages)):
