@@ -126,7 +126,8 @@ def search(
 
     A query's candidates are all vectors under another id. Null and zero vectors and those with a null or
     non-finite component take no part. Rows with the same id are told apart by their vectors, so a repeated row
-    counts once. All vectors must be of one length.
+    counts once; an id is found once per query id, with the best score of any of its vectors and the query's. All vectors
+    must be of one length.
     """
     ship_package(vectors.sparkSession)
     cast = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(
@@ -143,7 +144,7 @@ def search(
     asked = asked.withColumn("part", of(groups, 2)).withColumn("block", every(blocks))
 
     def meet(key: tuple, these: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        asking, near, scores = [], [], []
         if len(these) and len(those):
             ids, data = these["id"].to_numpy(), np.stack(these["v"].to_numpy())
             index = Index(data)
@@ -152,14 +153,20 @@ def search(
                 found = index.candidates(query / np.sqrt((query * query).sum()), k)
                 found = found[ids[found] != query_id]
                 score = data[found] @ query
-                best = np.lexsort((ids[found], -score))[:k]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[found[best]], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                best = found[order := np.lexsort((ids[found], -score))]
+                # The first row of each id is its best.
+                first = np.sort(np.unique(ids[best], return_index=True)[1])[:k]
+                asking.append(np.full(len(first), query_id))
+                near.append(ids[best[first]])
+                scores.append(score[order[first]])
+        flat = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        return pd.DataFrame({"query_id": flat(asking, np.int64), "vec_id": flat(near, np.int64), "score": flat(scores, np.float64)})
 
     met = base.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(
         meet, "query_id long, vec_id long, score double"
     )
     nearest = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    met = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return met.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -12,12 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from kinweave.session import ship_package
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of an Arrow batch that a worker gets, unless the session asks for fewer.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, as texts may be very long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(name)).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def by_batch(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]]], schema: str
 ) -> DataFrame:
@@ -26,6 +35,7 @@ def by_batch(
     The package goes to the workers first, so ``make`` may live in any of its modules.
     """
     ship_package(df.sparkSession)
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()

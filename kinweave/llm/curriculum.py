@@ -3,10 +3,10 @@
 Each source's share of all words follows from its weight, bounded by how often its documents may repeat. Over the
 course of training a source's rate changes linearly; integrating it gives the cumulative demand for its words, and
 inverting that gives the training position at which each of its documents is due. Within a source, documents are
-taken in the order of a hash of their id, as often as the target asks for.
+taken in the order of a hash of their id and text, as often as the target asks for.
 
-Running sums over a source are taken in two steps, per hash range and within a range, so no task ever holds a whole
-source. Only DataFrame functions are used.
+Running sums over a source are taken in two steps, per hash range and within a range. Rows that are alike in all that is carried are
+one counted row in them, and rows without words stay outside, so no task ever holds a whole source or id. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -63,46 +63,53 @@ def mix(
 ) -> DataFrame:
     """One row per document: ``(doc, size, source_size, target, taken, starts)``.
 
-    ``doc`` holds the columns named in ``carry``. A source's documents stand in a circle, in hash order; the mix
-    takes ``target`` words, rounded, from its start, so a document may be taken several times and the last one in
-    part. ``taken`` counts a document's words with repeats, ``starts`` are the training positions, in words of
-    the whole mix, at which it is due. Documents without words take no part; a null text has none. Ids may be null
-    or repeat.
+    ``doc`` holds the columns named in ``carry``, which are moved several times and so had better be narrow. A source's documents stand
+    in a circle, in hash order; the mix takes ``target`` words, rounded, from its start, so a document may be taken several
+    times and the last one in part. ``taken`` counts a document's words with repeats, ``starts`` are the training
+    positions, in words of the whole mix, at which it is due. Documents without words take no part; a null text has none. Ids may
+    be null or repeat.
     """
-    rows = docs.select(
-        F.struct(*carry).alias("doc"), F.col(source_col).alias("source"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).alias("key"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(*carry).alias("tie"),
-    )
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), text))
+    size = F.regexp_count(text, F.lit(WORD)).cast("long")
+    # The texts are read once; sizes and places are narrow.
+    rows = cut(docs.select(F.struct(*carry).alias("doc"), F.col(source_col).alias("_source"), key.alias("key"), size.alias("size")), "sizes")
     # Written, so that its size is known and the join below is a broadcast only if it is small.
-    shares = cut(targets(rows.select("source", "size"), weights, slopes, cap).withColumn(
+    shares = cut(targets(rows.select(F.col("_source").alias("source"), "size"), weights, slopes, cap).withColumn(
         "total", F.sum("source_size").over(W.partitionBy())
     ), "shares")
-    per_range = F.ceil(F.col("n") / F.lit(float(ROWS_PER_RANGE)))
+    of_source = ["rank", "source_size", "target", "slope", "total"]
+    known = rows.join(shares, F.col("_source").eqNullSafe(F.col("source"))).select("doc", "key", "size", "n", *of_source)
+    # Rows alike are one row with their number, per partition of the scan.
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    rows = rows.withColumnRenamed("source", "_source").join(shares, F.col("_source").eqNullSafe(F.col("source"))).select(
-        "doc", "size", "key", "tie", "rank", "source_size", "target", "slope", "total",
-        F.floor(place * per_range).cast("long").alias("range"),
-    )
-    per = rows.groupBy("rank", "range").agg(F.sum("size").alias("words"))
+    kinds = known.where("size > 0").withColumn("part", F.spark_partition_id()).groupBy("doc", "key", "size", "part", "n", *of_source).agg(
+        F.count(F.lit(1)).alias("copies")
+    ).withColumn("range", F.floor(place * F.ceil(F.col("n") / F.lit(float(ROWS_PER_RANGE)))).cast("long"))
+    kinds = cut(kinds, "kinds")
+    words = F.col("size") * F.col("copies")
+    per = kinds.groupBy("rank", "range").agg(F.sum(words).alias("words"))
     before = (F.sum("words").over(W.partitionBy("rank").orderBy("range")) - F.col("words")).alias("range_start")
-    rows = rows.join(per.select("rank", "range", before), ["rank", "range"])
-    within = W.partitionBy("rank", "range").orderBy("key", "size", "tie").rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.withColumn("first", F.col("range_start") + F.sum("size").over(within) - F.col("size"))
+    placed = kinds.join(per.select("rank", "range", before), ["rank", "range"])
+    within = W.partitionBy("rank", "range").orderBy("key", "size", F.xxhash64("doc"), "part").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = placed.withColumn("first", F.col("range_start") + F.sum(words).over(within) - words).drop("range_start")
+    # Each of the rows alike stands behind the one before; many of them are first dealt to other tasks.
+    alike = placed.where("copies > 1").repartition("key", "part")
+    alike = alike.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    single = placed.where("copies = 1").unionByName(alike.withColumn("first", F.col("first") + F.col("nth") * F.col("size")).drop("nth"))
     want = F.round("target").cast("long")
-    rounds = F.when(F.col("source_size") > 0, F.floor(want / F.nullif("source_size", F.lit(0)))).otherwise(F.lit(0)).cast("long")
+    rounds = F.floor(want / F.col("source_size")).cast("long")
     rest = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), want - rounds * F.col("source_size") - F.col("first")))
-    rows = rows.withColumns({"want": want, "rounds": rounds, "rest": rest})
-    times = F.when(F.col("size") > 0, F.col("rounds") + (F.col("rest") > 0).cast("long")).otherwise(F.lit(0)).cast("int")
+    single = single.withColumns({"want": want, "rounds": rounds, "rest": rest})
+    times = (F.col("rounds") + (F.col("rest") > 0).cast("long")).cast("int")
     start = lambda p: due(
         ((p * F.col("source_size") + F.col("first")) / F.nullif("want", F.lit(0))).cast("double"), F.col("slope")
     ) * F.col("total").cast("double")
-    starts = F.when(times > 0, F.transform(F.sequence(F.lit(0), times - 1), start)).otherwise(F.array().cast("array<double>"))
-    return rows.select(
-        "doc", "size", "source_size", "target", (F.col("size") * F.col("rounds") + F.col("rest")).alias("taken"),
-        starts.alias("starts"),
-    )
+    none = F.array().cast("array<double>")
+    starts = F.when(times > 0, F.transform(F.sequence(F.lit(0), times - 1), start)).otherwise(none)
+    out = ["doc", "size", "source_size", "target"]
+    return single.select(
+        *out, (F.col("size") * F.col("rounds") + F.col("rest")).alias("taken"), starts.alias("starts")
+    ).unionByName(known.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken"), none.alias("starts")))
 
 
 def per_document(docs: DataFrame) -> DataFrame:
@@ -118,15 +125,21 @@ def training_order(docs: DataFrame) -> DataFrame:
 
     Texts stay whole: a last, partial taking counts if it is at least half of the document.
     """
-    mixed = mix(docs, docs.columns)
-    whole = F.round(F.col("taken") / F.nullif("size", F.lit(0))).cast("int")
-    taken = mixed.select("doc", F.explode(F.slice("starts", 1, F.greatest(F.lit(0), F.coalesce(whole, F.lit(0))))).alias("at"))
-    return taken.orderBy("at", F.xxhash64("doc")).select("doc.*")
+    row = ["_h1", "_h2"]
+    known = docs.select("*", F.xxhash64(*docs.columns).alias("_h1"), F.xxhash64(F.lit(1), *docs.columns).alias("_h2"))
+    # Positions are found on hashes of the rows; the rows themselves come in once, at the end.
+    mixed = cut(mix(known, row).where("taken > 0"), "mixed")
+    whole = F.round(F.col("taken") / F.col("size")).cast("int")
+    taken = cut(mixed.select("doc.*", F.explode(F.slice("starts", 1, whole)).alias("_at")), "takings")
+    repeated = cut(mixed.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc.*"), "repeated-rows")
+    if not repeated.isEmpty():
+        known = known.join(repeated, row, "left_anti").unionByName(known.join(repeated, row, "left_semi").dropDuplicates(row))
+    return known.join(taken, row).orderBy("_at", *row).select(*docs.columns)
 
 
 ORACLE = r"""
 WITH d AS (
-    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key,
+    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')) AS key,
            CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
     FROM documents),
 per AS (

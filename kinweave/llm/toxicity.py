@@ -97,9 +97,14 @@ def fold(id_col: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, ratio_rows: int = RATIO_ROWS, fit_rows: int = FIT_ROWS) -> Model:
-    """A model from the labelled documents outside fold 0. Documents without a label take no part."""
+    """A model from the labelled documents outside fold 0. Documents without a label take no part.
+
+    Of several labels of one id the larger counts, so the sample holds an id once.
+    """
     ship_package(docs.sparkSession)
-    known = labels.where(F.col("toxic").isNotNull() & (fold() != 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = labels.where(F.col("toxic").isNotNull() & (fold() != 0)).groupBy("doc_id").agg(
+        F.max(F.col("toxic").cast("int")).alias("toxic")
+    )
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     below = lambda rows, of: draw < F.lit(min(1.0, rows / max(1.0, of)) * 1_000_000)
     # The sample's size is a parameter, so its ids may be broadcast.
