@@ -123,6 +123,7 @@ class Codec:
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
         self.db.execute("SET memory_limit = '250MB'")
+        self.db.execute("SET temp_directory = ''")  # statements are small; nothing is spilled to a worker's folder
         self._table("merges", pa.table({
             "pair": pa.array([p for p, _ in pairs], pa.int64()), "merged": pa.array([m for _, m in pairs], pa.int32())
         }))

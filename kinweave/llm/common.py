@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -20,6 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def returning_memory(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving freed memory back when a task ends: workers live on and stand beside the next stage's memory."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return task
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, as texts may be very long."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -44,7 +61,7 @@ def by_batch(
                 out = fn(batch)
                 yield from [out] if isinstance(out, pa.RecordBatch) else out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(returning_memory(run), schema)
 
 
 class Generations:

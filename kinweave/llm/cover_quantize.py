@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kinweave.llm.common import by_batch
+from kinweave.llm.common import by_batch, returning_memory
 from kinweave.session import cut, discarded, ship_package
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
@@ -175,7 +175,7 @@ def sums(trees: DataFrame, books: np.ndarray) -> DataFrame:
         columns = [pa.array(c.astype(np.int32)) for c in columns] + [pa.array(np.repeat(n[part, entry], each)), pa.array(total[part, entry].ravel())]
         yield pa.RecordBatch.from_arrays(columns, names=["part", "entry", "at", "n", "total"])
 
-    met = trees.select("trees").mapInArrow(run, "part int, entry int, at int, n long, total long")
+    met = trees.select("trees").mapInArrow(returning_memory(run), "part int, entry int, at int, n long, total long")
     return met.groupBy("part", "entry", "at").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from kinweave.llm.common import WORD, by_batch, shingle_hashes
+from kinweave.llm.common import WORD, by_batch, returning_memory, shingle_hashes
 from kinweave.operators.components import connected_components
 from kinweave.session import cut, ship_package
 
@@ -366,7 +366,7 @@ def link(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             yield _integers(out, ("path", "lo", "hi", "slice", "set"))
 
     grouped = lambda df: df.repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi")
-    needed = cut(grouped(rows).mapInArrow(wanted, "path long, lo long, hi long, slice long, set long"), "meetings")
+    needed = cut(grouped(rows).mapInArrow(returning_memory(wanted), "path long, lo long, hi long, slice long, set long"), "meetings")
     shingled = cut(_shingles(docs, needed.select("set").distinct().join(sets.select("set", "first_id", "first_key"), "set"), seed), "shingles")
     full = needed.join(known.select("set", "size", "copies", "sketch0", "sketch1", "leaves"), "set").join(shingled, "set")
     full = full.select("path", "lo", "hi", "slice", "set", "size", "copies", "sketch0", "sketch1", "leaves", "shingles")
@@ -384,7 +384,7 @@ def link(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if out:
             yield _integers(out, ("set", "links", "low"))
 
-    linked = cut(grouped(full).mapInArrow(compared, "set long, links long, low long"), "links")
+    linked = cut(grouped(full).mapInArrow(returning_memory(compared), "set long, links long, low long"), "links")
     edges = linked.where(F.col("set") != F.col("low")).select(F.col("set").alias("src"), F.col("low").alias("dst"))
     members = connected_components(linked.select(F.col("set").alias("id")).distinct(), edges)
     members = cut(

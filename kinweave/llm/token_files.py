@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 from tokenizers import Tokenizer
 
-from kinweave.llm.common import Generations, by_batch
+from kinweave.llm.common import Generations, by_batch, returning_memory, small_batches
 from kinweave.session import scratch_path, ship_package
 
 MAGIC = b"IDP1"
@@ -89,15 +89,17 @@ def unpack(payload: bytes) -> np.ndarray:
     return from_planes(planes, n_ids, block)
 
 
-def _parted(word: str) -> tuple[str, str]:
-    """A word without a full stop or comma at its end, and that mark.
+def _parted(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words without a full stop or comma at their end, and which it was: 1 a stop, 2 a comma, 0 none was cut off.
 
     The tokenizer cuts there anyway if a letter or digit stands before, and makes all letters small except in special
     tokens, which hold a bar.
     """
-    mark = word[-1] if word[-1] in ".," and len(word) > 1 and word[-2].isalnum() else ""
-    base = word[:-1] if mark else word
-    return (base.lower() if base.isascii() and "|" not in base else base), mark
+    marked = pc.match_substring_regex(words, r"[0-9A-Za-z][.,]\z")
+    marks = np.where(marked.to_numpy(zero_copy_only=False), np.where(pc.ends_with(words, ".").to_numpy(zero_copy_only=False), 1, 2), 0)
+    base = pc.replace_substring_regex(words, r"([0-9A-Za-z])[.,]\z", r"\1")
+    plain = pc.and_(pc.string_is_ascii(base), pc.invert(pc.match_substring(base, "|")))
+    return pc.if_else(plain, pc.ascii_lower(base), base), marks
 
 
 class WordEncoder:
@@ -112,9 +114,9 @@ class WordEncoder:
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.words = Generations(REMEMBERED)
-        self.marks = dict(zip(".,", self._encode_words([".", ","])))
+        self.marks = np.frombuffer(b"".join(self._encode_words([".", ","])), "<u4")
         probe = "Don't, say: A1b2, \x0b ÉCOLE. x.y,\t<|Endoftext|>. 3,5.\r\n ßtraße, 日本."
-        if self.one(probe) != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+        if len(self.marks) != 2 or self.one(probe) != self.tokenizer.encode(probe, add_special_tokens=False).ids:
             raise ValueError("this tokenizer does not work on words between white space independently")
 
     def one(self, text: str) -> list[int]:
@@ -124,27 +126,28 @@ class WordEncoder:
         """The ids of all texts one after the other, and the number of ids of each. Null texts are empty."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
         words = split.flatten().dictionary_encode()
-        known = self._known(words.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        base, mark = _parted(words.dictionary)
+        base = base.dictionary_encode()
+        known = self._known(base.dictionary.to_pylist())
         table = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(np.frombuffer(b"".join(known), "<u4"))
+            pa.array(np.cumsum([0, *(len(k) // 4 for k in known)]), pa.int32()), pa.array(np.frombuffer(b"".join(known), "<u4"))
         )
-        at = words.indices.to_numpy()
-        upto = np.concatenate([[0], np.cumsum(lengths[at])])
-        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
-        return table.take(words.indices).flatten().to_numpy(), np.diff(upto[ends])
+        at, mark = base.indices.take(words.indices), mark[words.indices.to_numpy()]
+        lengths = table.value_lengths().take(at).to_numpy()
+        marked = np.flatnonzero(mark)
+        ids = np.insert(table.take(at).flatten().to_numpy(), np.cumsum(lengths)[marked], self.marks[mark[marked] - 1])
+        upto = np.concatenate([[0], np.cumsum(lengths + (mark > 0))])
+        return ids, np.diff(upto[split.offsets.to_numpy() - split.offsets[0].as_py()])
 
     def _known(self, words: list[str]) -> list[bytes]:
         """The ids of each word, as little-endian unsigned 32-bit integers."""
         self.words.turn()
-        parts = [_parted(w) if w else ("", "") for w in words]
-        wanted = {base for base, _ in parts if base}
-        new = [w for w in wanted.difference(self.words.young) if not self.words.revive(w)]
+        known = self.words.young
+        new = [w for w in words if w and w not in known and not self.words.revive(w)]
         for i in range(0, len(new), WORDS_TOGETHER):
             part = new[i : i + WORDS_TOGETHER]
-            self.words.young.update(zip(part, self._encode_words(part)))
-        known = self.words.young
-        return [known[base] + self.marks[mark] if mark else known[base] if base else b"" for base, mark in parts]
+            known.update(zip(part, self._encode_words(part)))
+        return [known[w] if w else b"" for w in words]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, from one call on all of them; a token's place tells its word."""
@@ -167,7 +170,7 @@ def _encoder(definition: str) -> WordEncoder:
     return _encoders[key]
 
 
-def _text_blocks(batch: pa.RecordBatch, limit: int = 4_000_000) -> Iterable[pa.RecordBatch]:
+def _text_blocks(batch: pa.RecordBatch, limit: int = 8_000_000) -> Iterable[pa.RecordBatch]:
     """Slices of a batch of about ``limit`` bytes of text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
     block = np.cumsum(sizes) // limit
@@ -227,7 +230,8 @@ def write(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         .withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").drop("hash")
     )
-    written = ordered.mapInArrow(run, SCHEMA)
+    small_batches(docs.sparkSession)
+    written = ordered.mapInArrow(returning_memory(run), SCHEMA)
     written.write.mode("overwrite").parquet(f"{path}/chunks")
     chunks = docs.sparkSession.read.schema(SCHEMA).parquet(f"{path}/chunks")
     index = chunks.select("shard", "chunk", "n_ids", F.size("doc_ids").alias("n_docs"))

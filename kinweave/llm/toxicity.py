@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kinweave.llm.common import by_batch
+from kinweave.llm.common import by_batch, returning_memory
 from kinweave.session import ship_package
 
 SIZES = (4, 5, 6)
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, ratio_rows: int = RATIO_ROWS, fit_
             [pa.array(used, pa.int64()), pa.array(totals[1, used]), pa.array(totals[0, used])], names=["feature", "toxic", "other"]
         )
 
-    counts = rows.select("text", "toxic").mapInArrow(count, "feature long, toxic long, other long")
+    counts = rows.select("text", "toxic").mapInArrow(returning_memory(count), "feature long, toxic long, other long")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
     totals = np.zeros((2, width + 1))
     at = counts.column("feature").to_numpy()
