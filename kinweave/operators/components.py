@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from kinweave.session import LoopState, observed
+from kinweave.session import LoopState, cut, discarded, observed
 
 
 def _lowest(pairs: DataFrame, state: LoopState) -> tuple[DataFrame, int]:
@@ -60,3 +60,30 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     return vertices.select("id").join(
         pairs.select(F.col("hi").alias("id"), "lo"), "id", "left"
     ).select("id", F.coalesce("lo", "id").alias("component"))
+
+
+def extended_components(labels: DataFrame, vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """``(id, component)`` after new vertices and edges have come to a labelled graph, as a run over everything would give it.
+
+    New edges are looked up in the labels and become links between whole components; only the graph of the components they
+    touch is contracted, and only members of those that take another's name are relabelled. Names are stable: a component keeps
+    the smallest id it had until it is joined to one with a smaller, whose name it takes. An end of an edge that no vertex has come
+    for yet is labelled too, so batches may come in any order. ``labels`` is a written table, at first an empty one.
+    """
+    spark = edges.sparkSession
+    with discarded(spark):
+        ends = edges.select("src", "dst").where(F.col("src") != F.col("dst"))
+        named = ends.select(F.explode(F.array("src", "dst")).alias("id")).unionByName(vertices.select("id")).distinct()
+        mine = labels.select("id", "component")
+        of = cut(named.join(mine, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("component").isNull().alias("new")), "named")
+        side = lambda name: of.select(F.col("id").alias(name), F.col("component").alias(f"{name}_in"))
+        links = cut(
+            ends.join(side("src"), "src").join(side("dst"), "dst").where(F.col("src_in") != F.col("dst_in"))
+            .select(F.col("src_in").alias("src"), F.col("dst_in").alias("dst")).distinct(), "component-links",
+        )
+        touched = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+        moved = cut(connected_components(touched, links, max_rounds).where(F.col("id") != F.col("component")).select(
+            F.col("id").alias("component"), F.col("component").alias("joined")
+        ), "moved")
+        both = mine.unionByName(of.where("new").select("id", "component"))
+        return cut(both.join(moved, "component", "left").select("id", F.coalesce("joined", "component").alias("component")), "labels", outlives=True)

@@ -1,14 +1,14 @@
-"""Edge layout that iterative vertex jobs join against in every round."""
+"""Edge layout that iterative vertex jobs join against in every round: a table bucketed by source."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from kinweave.operators.skew import BROADCAST_ROWS
-from kinweave.session import cut, observed
+from kinweave.session import bucketed, cut, observed
 
 # A vertex with more outgoing edges than this has them spread over several partitions.
 SLICE_EDGES = 500_000
@@ -17,9 +17,10 @@ EDGES_PER_PARTITION = 2_000_000
 
 
 class SpreadEdges:
-    """Edges partitioned by source once, so that a round shuffles vertex state and messages only.
+    """Edges written once as a table bucketed by source, so that a round shuffles vertex state and messages only.
 
-    The edges of a hub are cut into slices and its state row is copied to each slice.
+    A lost executor loses none of it. The number of buckets follows the number of edges. The edges of a hub are cut into slices, parallel
+    ones apart too, and its state row is copied to each slice. ``release`` drops the table.
     """
 
     def __init__(self, edges: DataFrame, out_degree: DataFrame, slice_edges: int = SLICE_EDGES):
@@ -40,11 +41,14 @@ class SpreadEdges:
             if n_hot <= BROADCAST_ROWS:
                 self._hot = F.broadcast(self._hot)
             slices = F.coalesce("_slices", F.lit(1))
+            # Of many edges between two guests each goes where its place in the scan says.
+            number = F.when(F.col("_slices").isNotNull(), F.monotonically_increasing_id())
             edges = edges.join(self._hot, F.col("src") == F.col("_hub"), "left").select(
-                *edges.columns, F.pmod(F.xxhash64("dst"), slices).cast("int").alias("_slice")
+                *edges.columns, F.pmod(F.xxhash64("dst", number), slices).cast("int").alias("_slice")
             )
             self._keys.append("_slice")
-        self._edges = edges.repartition(parts, *self._keys).persist(StorageLevel.MEMORY_AND_DISK)
+        self._forget: list[Callable[[], None]] = []
+        self._edges = bucketed(edges, "spread-edges", self._keys, parts, owner=self._forget)
 
     def meet(self, state: DataFrame) -> DataFrame:
         """Join ``state(id, ...)`` to the edges that leave each vertex."""
@@ -57,4 +61,6 @@ class SpreadEdges:
         return self._edges.join(state, self._keys)
 
     def release(self) -> None:
-        self._edges.unpersist()
+        for forget in self._forget:
+            forget()
+        self._forget.clear()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinweave.functions.similarity import jaro_winkler
 from kinweave.operators import centrality as ranking, relations, traverse
+from kinweave.operators.components import extended_components
 from kinweave.operators.graph import degrees, edges_of, find_motif, triangle_count, Graph
 from kinweave.operators.resolve import blocking, clustering, comparisons, model
 from kinweave.plans import metrics, questions, value
@@ -137,6 +138,18 @@ def cohorts(s):
     return s["guest_cohorts"]
 
 
+@query
+def cohorts_in_batches(s):
+    """The cohorts when guests and links come in three batches, each added to the labels of those before."""
+    links = relations.party_links(s["members_golden"], relations.payers_golden(s["bookings"], s["guests_resolved"]))
+    links = links.withColumn("batch", F.pmod(F.xxhash64("src", "dst"), F.lit(3)))
+    guests = s["guests_resolved"].select(F.col("golden_id").alias("id")).distinct().withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(3)))
+    labels = guests.limit(0).select("id", F.col("id").alias("component"))
+    for batch in range(3):
+        labels = extended_components(labels, *(df.where(F.col("batch") == batch) for df in (guests, links)))
+    return labels.withColumnRenamed("component", "cohort_id")
+
+
 @query
 def top_cohorts(s):
     return value.cohort_sizes(s["guest_cohorts"])

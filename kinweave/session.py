@@ -81,12 +81,16 @@ def _forget(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _new_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def scratch_path(spark: SparkSession, name: str, outlives: bool = False) -> str:
     """A new folder for a written intermediate table.
 
     Inside a ``discarded`` block it goes with the block, or, with ``outlives``, with the block around that one.
     """
-    path = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = _new_path(spark, name)
     scopes = _scopes.get()[:-1] if outlives else _scopes.get()
     if scopes:
         scopes[-1].append(lambda: _forget(spark, path))
@@ -128,19 +132,24 @@ def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = (), ou
 
 
 def bucketed(
-    df: DataFrame, name: str, keys: list[str], buckets: int, partition_by: tuple[str, ...] = (), placed: bool = False
+    df: DataFrame, name: str, keys: list[str], buckets: int, partition_by: tuple[str, ...] = (), placed: bool = False,
+    owner: list[Callable[[], None]] | None = None,
 ) -> DataFrame:
     """Write ``df`` hashed and sorted by ``keys`` into ``buckets`` files and return the scan of the table.
 
-    ``placed`` says that its partitions are such buckets already.
+    ``placed`` says that its partitions are such buckets already. With an ``owner`` the table stays until what is added to that
+    list is called, whatever block is around.
 
     Two such tables of equal keys and bucket numbers are joined on the keys, or grouped by them, without an exchange.
     The files lie in the checkpoint folder; the table's entry in the catalog goes with the ``discarded`` block around it.
     """
     spark = df.sparkSession
-    path, table = scratch_path(spark, name), f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    if scopes := _scopes.get():
-        scopes[-1].append(lambda: spark.sql(f"DROP TABLE IF EXISTS {table}"))
+    path, table = _new_path(spark, name), f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    scopes = _scopes.get()
+    if owner is None and scopes:
+        owner = scopes[-1]
+    if owner is not None:
+        owner += [lambda: spark.sql(f"DROP TABLE IF EXISTS {table}"), lambda: _forget(spark, path)]
     writer = (df if placed else df.repartition(buckets, *keys)).write.format("parquet").option("path", path)
     writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     if partition_by:

@@ -388,6 +388,7 @@ FINAL: dict[str, str] = {
           UNION SELECT 4, d.dst FROM from_seed a JOIN visited b ON b.src = a.dst JOIN visited c ON c.src = b.dst JOIN visited d ON d.src = c.dst
           WHERE b.dst <> a.src AND c.dst <> a.src AND c.dst <> a.dst AND d.dst <> a.src AND d.dst <> a.dst AND d.dst <> b.dst)
         GROUP BY depth ORDER BY depth""",
+    "cohorts_in_batches": "SELECT id, cohort_id FROM cohorts",
     "khop_paths_deep": "SELECT depth, count(DISTINCT guest) AS guests_reached FROM paths GROUP BY depth ORDER BY depth",
     "hop_histogram_sketched": """SELECT hops, count(*) AS pairs FROM (
           SELECT src, dst, min(hops) AS hops FROM apart GROUP BY src, dst) WHERE hops > 0 GROUP BY hops ORDER BY hops""",

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from kinweave.operators import centrality, traverse
-from kinweave.operators.components import connected_components
+from kinweave.operators.components import connected_components, extended_components
 from kinweave.operators.graph import Graph, degrees, find_motif, triangle_count, vertices_of
 
 GRAPHS = {
@@ -324,3 +324,53 @@ def test_sketched_histogram_lists_no_pairs(spark):
         patch.setattr(traverse, "LoopState", Counted)
         got = as_dict(traverse.sketched_hop_histogram(make(spark, range(301), edges, "long").edges, 2))
     assert got == {1: 600, 2: 300 * 299} and max(sizes) == 301
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_of_batches_equal_a_full_run(spark, seed):
+    """Vertices, edges, loops and repeats in three batches, ends before their vertices; untouched names stay."""
+    rnd = random.Random(seed)
+    vertices = list(range(60))
+    edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(3, 3), (1, 2), (1, 2)]
+    labels = spark.createDataFrame([], "id long, component long")
+    so_far = set()
+    for batch in range(3):
+        g = make(spark, vertices[batch::3], edges[batch::3], "long")
+        before = as_dict(labels)
+        labels = extended_components(labels, g.vertices, g.edges)
+        so_far |= set(vertices[batch::3]) | {x for e in edges[batch::3] for x in e}
+        want = union_find(sorted(so_far), [e for b in range(batch + 1) for e in edges[b::3]])
+        got = as_dict(labels)
+        assert got == want and all(got[v] <= c for v, c in before.items())
+    assert as_dict(extended_components(labels, g.vertices.limit(0), g.edges.limit(0))) == got
+
+
+def test_edge_side_of_a_round_is_not_shuffled(spark):
+    """The join of edges and state shuffles the state only; released edges leave no table."""
+    from kinweave.operators.spread_edges import SpreadEdges
+
+    g = make(spark, range(40), [(i % 7, i) for i in range(200)], "long")
+    for slice_edges in (1_000, 5):
+        layout = SpreadEdges(g.edges, g.edges.groupBy("src").agg(F.count("dst").alias("out_degree")), slice_edges)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            met = layout.meet(g.vertices)
+            plan = met._jdf.queryExecution().executedPlan().toString()
+            join = plan[plan.index("SortMergeJoin") :]
+            edge_side = join[: join.index("spread_edges")]
+            assert "Exchange" not in edge_side and "Bucketed: true" in plan
+            assert met.count() == 200
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        layout.release()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("spread_edges")]
+
+
+def test_parallel_edges_of_a_hub_are_spread(spark):
+    from kinweave.operators.spread_edges import SpreadEdges
+
+    g = make(spark, range(2), [(0, 1)] * 400, "long")
+    layout = SpreadEdges(g.edges.repartition(4), g.edges.groupBy("src").agg(F.count("dst").alias("out_degree")), 50)
+    sizes = [r["count"] for r in layout._edges.groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 400 and layout.meet(g.vertices).count() == 400
+    layout.release()
