@@ -6,15 +6,15 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from kinweave.functions.buckets import stable_bucket
 from kinweave.operators.resolve.blocking import count_rule_pairs, rule_name, rule_pairs
 from kinweave.operators.resolve.comparisons import (
     Comparison, guest_comparisons, level_counts, pattern_counts, with_gammas,
 )
-from kinweave.operators.skew import SLICE_ROWS
-from kinweave.session import cut
+from kinweave.operators.skew import BROADCAST_ROWS, SLICE_ROWS
+from kinweave.session import cut, observed
 
 FLOOR = 1e-6
 # Random pairs that one task compares.
@@ -62,21 +62,27 @@ def estimate_prior(records: DataFrame, rules: list[tuple[str, ...]] | None = Non
 
 
 def sample_random_pairs(
-    records: DataFrame, max_pairs: int = 1_000_000, slice_rows: int = SLICE_ROWS
+    records: DataFrame, max_pairs: int = 1_000_000, slice_rows: int | None = None
 ) -> DataFrame:
     """About ``max_pairs`` pairs drawn evenly from all pairs, or all of them if there are fewer.
 
     Records fall into hash buckets, and records of one bucket are paired. The number of buckets grows
     with the square of the records, so the sample is one equi-join whose size stays the same. Only ids are
-    joined; the fields are then fetched for the ids drawn, at most two for each pair.
+    joined; the fields are then fetched for the ids drawn, at most two for each pair. The buckets are even, being
+    hashes of ids, so none needs slicing unless ``slice_rows`` says so.
     """
     n = records.count()
     all_pairs = n * (n - 1) / 2
     drawn = records.select("record_id", stable_bucket_wide("record_id", max(1, math.ceil(all_pairs / max_pairs))).alias("bucket"))
     ids = cut(rule_pairs(drawn, ("bucket",), slice_rows).select("record_id_l", "record_id_r"), "drawn-pairs")
-    wanted = ids.select(F.explode(F.array("record_id_l", "record_id_r")).alias("record_id")).distinct()
-    # The sample bounds the ids, so finding their records shuffles no record.
-    found = cut(records.join(F.broadcast(wanted), "record_id", "left_semi"), "drawn-records")
+    seen = Observation()
+    wanted = cut(
+        ids.select(F.explode(F.array("record_id_l", "record_id_r")).alias("record_id")).distinct().observe(seen, F.count(F.lit(1)).alias("n")),
+        "drawn-ids",
+    )
+    # Few enough ids go to the records; more of them meet the records in a shuffle.
+    few = observed(seen, wanted, "n")[0] <= BROADCAST_ROWS
+    found = cut(records.join(F.broadcast(wanted) if few else wanted, "record_id", "left_semi"), "drawn-records")
     for side in "lr":
         ids = ids.join(found.select(*[F.col(c).alias(f"{c}_{side}") for c in records.columns]), f"record_id_{side}")
     return ids.repartition(max(1, math.ceil(min(all_pairs, max_pairs) / PAIRS_PER_TASK)))
@@ -178,14 +184,16 @@ def train(
     max_pairs: int = 1_000_000,
     rounds: int = 25,
     slice_rows: int = SLICE_ROWS,
+    levels: DataFrame | None = None,
 ) -> Training:
     """Estimate prior, ``u`` and ``m``; a session per training rule leaves out the comparisons that use its
-    columns, and each comparison's ``m`` is averaged over the sessions that could fit it."""
+    columns, and each comparison's ``m`` is averaged over the sessions that could fit it. ``levels`` are the rows of
+    ``estimate_u`` where they are known already."""
     comparisons = comparisons or guest_comparisons()
     prior = estimate_prior(records, prior_rules, recall).first()["prior"]
     u = {c.name: [FLOOR] * (c.top + 1) for c in comparisons}
     # At most one row per comparison and level.
-    for row in estimate_u(records, comparisons, max_pairs).collect():
+    for row in (estimate_u(records, comparisons, max_pairs) if levels is None else levels).collect():
         u[row["comparison"]][row["level"]] = min(max(row["u_prob"], FLOOR), 1 - FLOOR)
 
     sessions = {}

@@ -54,13 +54,12 @@ def representatives(ways: DataFrame, left: int) -> DataFrame:
     """
     kept = cut(ways.groupBy("guest_id").agg(F.min("via").alias("via")), "kept-ways")
     found, latest = kept, kept.withColumn("without", F.slice("via", 1, 0))
-    for step in range(left):
+    for _ in range(left):
         avoided = F.array_sort(F.array_append("without", F.col("member")))
-        nodes = cut(latest.select("guest_id", "without", F.explode("via").alias("member")).select(
+        # The same guests to be avoided may come in another order, which costs a comparison and changes nothing.
+        nodes = latest.select("guest_id", "without", F.explode("via").alias("member")).select(
             F.col("guest_id").alias("at"), avoided.alias("without")
-        ).distinct(), "avoided")
-        if nodes.isEmpty():
-            break
+        )
         latest = cut(
             ways.join(nodes, (F.col("guest_id") == F.col("at")) & ~F.arrays_overlap("via", "without"))
             .groupBy("guest_id", "without").agg(F.min("via").alias("via")), "kept-ways",

@@ -381,8 +381,7 @@ def er_prior(s):
 
 @query
 def er_u_probs(s):
-    found = model.estimate_u(s.records, comparisons.guest_comparisons())
-    return found.withColumn("u_prob", F.round("u_prob", 9))
+    return s["u_levels"].withColumn("u_prob", F.round("u_prob", 9))
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kinweave.operators import centrality, relations, traverse
 from kinweave.operators.components import connected_components
 from kinweave.operators.graph import Graph, edges_of
-from kinweave.operators.resolve import blocking, clustering, model, scoring
+from kinweave.operators.resolve import blocking, clustering, comparisons, model, scoring
 from kinweave.plans import value
 from kinweave.session import cut
 from kinweave.sources import guests
@@ -48,7 +48,7 @@ class Stages:
 
     def training(self) -> model.Training:
         if self._training is None:
-            self._training = model.train(self.records)
+            self._training = model.train(self.records, levels=self["u_levels"])
         return self._training
 
     def most_connected_guest(self) -> DataFrame:
@@ -95,6 +95,7 @@ _STAGES: dict[str, Callable[[Stages], DataFrame]] = {
     "guest_2hop": lambda s: traverse.two_hop(edges_of(s["gold_triplets"], "VISITED_WITH")),
     "guest_communities": lambda s: centrality.label_propagation(s.visit_graph()),
     "visit_influence": lambda s: centrality.pagerank(s.visit_graph()),
+    "u_levels": lambda s: model.estimate_u(s.records, comparisons.guest_comparisons()),
     "scored_pairs": lambda s: scoring.score_pairs(s.records, model.GIVEN_MODEL),
     "resolved_learned": lambda s: clustering.resolve(s.records, s.training().model),
 }
