@@ -180,3 +180,11 @@ def test_ranges_of_lengths_share_blocks_only_if_all_are_verified(monkeypatch):
     low, first, many = collision_ann.layout({-2: 100, -1: 200, 0: 2_500, 3: 50, 4: 400}, 20)
     assert (low, first.tolist(), many.tolist()) == (-2, [0, 0, 1, 0, 0, 4, 5], [1, 1, 3, 0, 0, 1, 1])
     assert collision_ann.layout({}, 20)[1:] == (np.zeros(1), np.zeros(1))
+
+
+def test_an_id_is_found_once_per_query_id(spark):
+    """Rows of one id with different vectors: the best score of any counts, ranks go on without repeats."""
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [0.9, 0.1]), (1, [0.1, 0.5]), (2, [0.2, 0.8]), (3, [0.5, 0.5]), (3, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = [(r["rank"], r.vec_id, round(r.score, 4)) for r in collision_ann.twentieth(df).orderBy("rank").collect()]
+    assert found == [(1, 1, 0.9), (2, 2, 0.8), (3, 3, 0.5)]
