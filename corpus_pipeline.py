@@ -28,7 +28,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secret_scan.redacted(docs)
+    known = secret_scan.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return secret_scan.redacted(docs, ranks=secret_scan.ranked(known, secret_scan.learned(docs)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,9 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    known = secret_scan.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return secret_scan.scan(docs, ranks=secret_scan.ranked(known, secret_scan.learned(docs)))
 
 
 @query

@@ -1,9 +1,11 @@
+import functools
 import hashlib
 import itertools
 import pickle
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 import edge
@@ -38,11 +40,20 @@ def test_guessing_is_priced_by_the_cheapest_segmentation():
     assert cost("x" * 20_000) < 10
 
 
+@functools.cache
 def cost_by_hand(value):
-    """The cheapest cut into single characters, words, repeats and walks, all lengths tried; for small letters."""
+    """The cheapest cut into single characters, words, repeats of characters and blocks, and walks, all lengths tried; for small letters."""
     best = [0.0]
+    repeated = [[] for _ in range(len(value) + 1)]
+    for start in range(len(value)):
+        for size in range(2, 65):
+            block, times = value[start : start + size], 2
+            while len(block) == size and value.startswith(block, start + size * (times - 1)):
+                repeated[start + size * times].append((start, block, times))
+                times += 1
     for end in range(1, len(value) + 1):
         options = [best[end - 1] + np.log10(26)]
+        options += [best[start] + cost_by_hand(block) + np.log10(times) for start, block, times in repeated[end]]
         repeat = walk = True
         for start in range(end - 2, -1, -1):
             a, b = value[start : start + 2]
@@ -71,6 +82,35 @@ def test_segments_of_long_runs_begin_anywhere():
     assert cost("we" * 10_000) < 10
 
 
+def test_blocks_that_repeat_are_cheap():
+    rnd = np.random.default_rng(7)
+    values = ["abcabc", "foobarfoobar", "zxqvzxqvzxqv", "xxyxxyxxyq", "qabababababw", "aabbaabbaabb", "kqkqkqzkqkqkqz"]
+    values += ["".join(rnd.choice(list("qkz"), rnd.integers(4, 14))) for _ in range(60)]
+    for value in values:
+        assert secret_scan.guess_cost(value) == pytest.approx(cost_by_hand(value), abs=1e-9), value
+    assert secret_scan.guess_cost("zqxj7" * 4000) < 12
+
+
+def test_dictionary_of_ranked_words(spark):
+    known = secret_scan.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert known.index("the") < known.index("elephant") and len(known) == len(set(known)) and all(map(str.isalpha, known))
+    ranks = secret_scan.ranked(known)
+    easy = ("elephant", "elephantmountain", "abc123abc123", "foobarfoobar", "Elephant1990", "01022024", "010224")
+    assert all(secret_scan.guess_cost(value, ranks) < secret_scan.THRESHOLD + 1 for value in easy)
+    assert all(secret_scan.guess_cost(value, ranks) < secret_scan.THRESHOLD for value in easy[:1] + easy[2:])
+    assert secret_scan.guess_cost("Xq7$kLw0pZ9v", ranks) > 12 and secret_scan.guess_cost("zT8!vQ2@mN4#", ranks) > 12
+    rows = [(i, f"Vrelgon vrelgon, drass pwd=quonzilber token: quonzilber {'narf' if i < 4 else 'x'}") for i in range(9)]
+    docs = spark.createDataFrame([*rows, (None, None), (10, ""), (11, "y" * 30 + " \u00e9t\u00e9s")], "doc_id long, text string")
+    assert secret_scan.learned(docs) == ["drass", "vrelgon"]
+    assert secret_scan.learned(docs, least_docs=4) == ["drass", "vrelgon", "narf"]
+    assert secret_scan.learned(docs, size=1) == ["drass"] and secret_scan.learned(docs.limit(0)) == []
+    assert secret_scan.learned(docs, least_docs=1)[-1] == "\u00e9t\u00e9s"
+    ranks = secret_scan.ranked(["vrelgon", "drass"], ["drass"])
+    assert ranks["drass"] == 1 and ranks["vrelgon"] == 1 and ranks["password"] == 1
+    found = secret_scan.scan(spark.createDataFrame([(1, "pwd=vrelgondrass")], "doc_id long, text string"), ranks=ranks).collect()[0]
+    assert found.n_guess == 0 and secret_scan.guess_spans("pwd=vrelgondrass")
+
+
 def test_context_values_that_are_hard_to_guess():
     text = "pwd: Xq7$kLw0pZ9v and passphrase = password and client_secret='zT8!vQ2@mN4#' plain words"
     spans = secret_scan.guess_spans(text)
