@@ -9,7 +9,8 @@ the target probability. Nodes are rows of a table, a level is a shuffle of (path
 
 A pair that meets in several leaves belongs to the first of them, so leaves are worked off independently: bit
 sketches leave out pairs that are far from the threshold, then the sets left in a leaf are compared exactly. A leaf
-of very many sets is cut into slices, and each two slices meet in a task. Pairs never become rows: a task returns,
+of very many sets is cut into slices, and each two slices meet in a task; such leaves of different runs that hold
+nearly the same sets are merged before. Pairs never become rows: a task returns,
 per set, its number of links and the smallest set it is connected to.
 """
 
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.llm.common import WORD, by_batch, returning_memory, shingle_hashes
 from kinweave.operators.components import connected_components
@@ -168,7 +169,39 @@ def _leaves(docs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             ), "tokens",
         )
         nodes = _next_level(open_.join(tokens, "set").select("path", "set", "tokens"), similarity)
-    return cut(found.select("path", "set", "n"), "leaves")
+    return merged(cut(found.select("path", "set", "n"), "leaves"))
+
+
+def _sliced_rows(n: str) -> Column:
+    return F.col(n) * F.ceil(F.col(n) / F.lit(float(SLICE)))
+
+
+def merged(leaves: DataFrame) -> DataFrame:
+    """The leaves, with those that would be sliced merged where one larger leaf costs fewer rows than they do.
+
+    A dense group of very many sets is found by every run and every token its sets share, each time nearly whole. A set names the
+    first of its large leaves, and leaves whose sets mostly name the same one become one leaf of all their sets. A merged leaf
+    has all pairs of its parts, so none is lost, and a pair is still compared once.
+    """
+    large = leaves.where(F.col("n") > SLICE)
+    if large.isEmpty():
+        return leaves
+    large = cut(large, "large-leaves")
+    first = cut(large.groupBy("set").agg(F.min("path").alias("first")), "first-leaves")
+    named = large.join(first, "set").groupBy("path", "n", "first").agg(F.count(F.lit(1)).alias("sets"))
+    onto = cut(
+        named.groupBy("path", "n").agg(F.max_by("first", F.struct("sets", F.bitwise_not(F.col("first")))).alias("onto")), "merged-leaves"
+    )
+    union = cut(large.join(onto.select("path", "onto"), "path").select("onto", "set").distinct(), "merged-sets")
+    apart = onto.groupBy("onto").agg(F.sum(_sliced_rows("n")).alias("apart"))
+    cheaper = cut(
+        union.groupBy("onto").agg(F.count(F.lit(1)).alias("all")).join(apart, "onto").where(_sliced_rows("all") < F.col("apart")),
+        "cheaper-leaves",
+    )
+    replaced = onto.join(cheaper, "onto", "left_semi").select("path")
+    joint = union.join(cheaper.select("onto", "all"), "onto").select(F.col("onto").alias("path"), "set", F.col("all").alias("n"))
+    kept = leaves.where(F.col("n") <= SLICE).unionByName(large.join(replaced, "path", "left_anti"))
+    return cut(kept.select("path", "set", "n").unionByName(joint), "leaves")
 
 
 def _next_level(rows: DataFrame, similarity: float) -> DataFrame:

@@ -77,6 +77,37 @@ def test_links_and_classes_equal_all_pairs(spark, monkeypatch):
     assert found == by_hand(rows)
 
 
+def test_large_leaves_of_the_same_sets_are_merged(spark, monkeypatch):
+    """Two clusters found by several runs each, and a leaf that shares sets with both but costs less alone."""
+    monkeypatch.setattr(jaccard_join, "SLICE", 10)
+    rnd = random.Random(1)
+    held = {p: set(rnd.sample(range(60), 50)) for p in (3, 5, 7, -4)} | {p: set(rnd.sample(range(100, 150), 40)) for p in (1, 9)}
+    held |= {20: set(range(5)), 21: set(range(140, 260))}
+    leaves = spark.createDataFrame([(p, s, len(sets)) for p, sets in held.items() for s in sets], "path long, set long, n long")
+    found = {}
+    for r in jaccard_join.merged(leaves).collect():
+        found.setdefault((r.path, r.n), set()).add(r.set)
+    assert all(n == len(sets) for (_, n), sets in found.items())
+    assert all(any(sets <= whole for whole in found.values()) for sets in held.values())
+    assert {p for p, _ in found} == {-4, 1, 20, 21}
+    nothing = leaves.limit(0)
+    assert jaccard_join.merged(nothing).count() == 0
+
+
+def test_sliced_rows_of_near_copies_found_by_all_runs(spark, monkeypatch):
+    """One large group makes about as many rows as its slices need once, not once per run and token."""
+    monkeypatch.setattr(jaccard_join, "SLICE", 20)
+    monkeypatch.setattr(jaccard_join, "SMALL", 10)
+    _, docs = documents_with_copies(spark, 150)
+    made, sliced = [], jaccard_join._sliced
+    monkeypatch.setattr(jaccard_join, "_sliced", lambda leaves: made.append((leaves, sliced(leaves))) or made[-1][1])
+    jaccard_join.near_duplicates(docs).count()
+    leaves, rows = made[0]
+    large = leaves.where("n > 20").select("path", "n").distinct().collect()
+    assert rows.where(F.col("set").isin([r.set for r in leaves.where("n > 20").select("set").distinct().collect()])).count() < 20 * 150 * 8
+    assert sum(r.n > 100 for r in large) <= 2
+
+
 def test_join_of_awkward_rows(spark):
     docs = edge.documents(spark)
     rows = [(r[0], r[1]) for r in edge.rows()]
