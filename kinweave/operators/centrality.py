@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kinweave.operators.graph import Graph, degrees
 from kinweave.operators.spread_edges import SLICE_EDGES, SpreadEdges
+from kinweave.resume import Rounds
 from kinweave.session import LoopState, cut
 
 
@@ -16,12 +17,14 @@ def pagerank(
     normalized: bool = True,
     cut_every: int = 5,
     slice_edges: int = SLICE_EDGES,
+    kept: Rounds | None = None,
 ) -> DataFrame:
     """``(id, pagerank)`` after a fixed number of rounds from rank 1.
 
     A round is ``reset + (1 - reset) * sum(rank / out_degree)`` over incoming edges, parallel edges each
     counted. ``normalized`` scales the ranks to sum to the number of vertices, which matters when
-    vertices without outgoing edges lose rank.
+    vertices without outgoing edges lose rank. With ``kept`` the ranks lie in a lasting folder each time they are cut, and
+    rounds done by a driver that ended are not done again.
     """
     vertices = cut(graph.vertices.select("id"), "vertices")
     links = graph.edges.select("src", "dst")
@@ -31,14 +34,15 @@ def pagerank(
     state = LoopState(graph.edges.sparkSession, "pagerank")
 
     silent = vertices.select("id", F.lit(0.0).alias("gain"))
-    ranks = vertices.select("id", F.lit(1.0).alias("pagerank"))
-    for done in range(1, iterations + 1):
+    start = kept.step if kept else 0
+    ranks = kept.tables()["ranks"] if start else vertices.select("id", F.lit(1.0).alias("pagerank"))
+    for done in range(start + 1, iterations + 1):
         gains = layout.meet(ranks).select(F.col("dst").alias("id"), (F.col("pagerank") * F.col("share")).alias("gain"))
         ranks = gains.unionByName(silent).groupBy("id").agg(
             (F.lit(reset) + F.lit(1 - reset) * F.sum("gain")).alias("pagerank")
         )
         if done % cut_every == 0 or done == iterations:
-            ranks = state.advance(ranks)
+            ranks = kept.finish(done, ranks=ranks)["ranks"] if kept else state.advance(ranks)
     layout.release()
     if normalized:
         total = ranks.agg((F.count(F.lit(1)) / F.sum("pagerank")).alias("scale"))
@@ -47,12 +51,12 @@ def pagerank(
 
 
 def label_propagation(
-    graph: Graph, rounds: int = 5, cut_every: int = 5, slice_edges: int = SLICE_EDGES
+    graph: Graph, rounds: int = 5, cut_every: int = 5, slice_edges: int = SLICE_EDGES, kept: Rounds | None = None
 ) -> DataFrame:
     """``(id, label)`` after a fixed number of rounds of adopting the most frequent neighbour label.
 
     Labels travel both ways along every edge. Of equally frequent labels the smallest wins. A vertex that
-    hears nothing keeps its own id.
+    hears nothing keeps its own id. ``kept`` as for ``pagerank``.
     """
     links = graph.edges.select("src", "dst")
     both = links.select(
@@ -64,14 +68,15 @@ def label_propagation(
     state = LoopState(graph.edges.sparkSession, "labels")
 
     silent = vertices.select("id", F.col("id").alias("label"), F.lit(0).cast("long").alias("votes"))
-    labels = vertices.select("id", F.col("id").alias("label"))
-    for done in range(1, rounds + 1):
+    start = kept.step if kept else 0
+    labels = kept.tables()["labels"] if start else vertices.select("id", F.col("id").alias("label"))
+    for done in range(start + 1, rounds + 1):
         votes = layout.meet(labels).groupBy(F.col("dst").alias("id"), "label").agg(F.sum("weight").alias("votes"))
         labels = votes.unionByName(silent).groupBy("id").agg(
             F.min(F.struct((-F.col("votes")).alias("rank"), "label")).alias("best")
         ).select("id", F.col("best.label").alias("label"))
         if done % cut_every == 0 or done == rounds:
-            labels = state.advance(labels)
+            labels = kept.finish(done, labels=labels)["labels"] if kept else state.advance(labels)
     layout.release()
     return vertices.join(labels, "id")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from kinweave.resume import Rounds
 from kinweave.session import LoopState, cut, discarded, observed
 
 
@@ -30,16 +31,20 @@ def _small_star(pairs: DataFrame, low: DataFrame) -> DataFrame:
     )
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(
+    vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, rounds: Rounds | None = None
+) -> DataFrame:
     """``(id, component)`` for every vertex; the component is named by its smallest member id.
 
     The edge list shrinks towards one star per component. A half round joins the edges to the table of
     smallest neighbours, one row per node; that table is written first, so the join is between two scans
     and the adaptive skew join can split the edges of a star's centre. The loop ends when every node hangs
-    on one node that hangs on none, which the jobs that write the round's tables report on the way.
+    on one node that hangs on none, which the jobs that write the round's tables report on the way. With ``rounds`` a
+    round's edges lie in a lasting folder, and a loop that ended early goes on from there.
     """
     state = LoopState(edges.sparkSession, "components")
-    pairs = state.advance(
+    kept = (lambda df: rounds.finish(pairs=df)["pairs"]) if rounds else state.advance
+    pairs = rounds.tables()["pairs"] if rounds and rounds.done else kept(
         edges.where(F.col("src") != F.col("dst"))
         .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
         .distinct()
@@ -54,7 +59,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         pairs = state.advance(star.select("hi", F.coalesce("lowest", "lo").alias("lo")))
         if observed(hanging, pairs, "pairs", "deep") == [nodes, 0]:
             break
-        pairs = state.advance(_small_star(pairs, _lowest(pairs, state)[0]))
+        pairs = kept(_small_star(pairs, _lowest(pairs, state)[0]))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return vertices.select("id").join(

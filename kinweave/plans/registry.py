@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinweave.functions.similarity import jaro_winkler
 from kinweave.operators import centrality as ranking, relations, traverse
-from kinweave.operators.components import extended_components
+from kinweave.operators.components import connected_components, extended_components
 from kinweave.operators.graph import degrees, edges_of, find_motif, triangle_count, Graph
 from kinweave.operators.resolve import blocking, clustering, comparisons, model
 from kinweave.plans import metrics, questions, value
 from kinweave.plans.stages import PASS_METHOD, Stages, stages
-from kinweave.session import ship_package
-from kinweave.sources import catalog
+from kinweave.resume import Rounds
+from kinweave.session import scratch_path, ship_package
+from kinweave.sources import catalog, versions
 
 QUERIES: dict[str, Callable[[Stages], DataFrame]] = {}
 
@@ -150,6 +152,18 @@ def cohorts_in_batches(s):
     return labels.withColumnRenamed("component", "cohort_id")
 
 
+@query
+def cohorts_resumed(s):
+    """The cohorts by a loop that ends after its first round and is taken up again from what it left in a folder."""
+    links = relations.party_links(s["members_golden"], relations.payers_golden(s["bookings"], s["guests_resolved"]))
+    guests = s["guests_resolved"].select(F.col("golden_id").alias("id")).distinct()
+    folder = scratch_path(s.spark, "lasting-rounds")
+    with suppress(RuntimeError):
+        connected_components(guests, links, max_rounds=1, rounds=Rounds(s.spark, folder, "cohorts"))
+    found = connected_components(guests, links, rounds=Rounds(s.spark, folder, "cohorts"))
+    return found.withColumnRenamed("component", "cohort_id")
+
+
 @query
 def top_cohorts(s):
     return value.cohort_sizes(s["guest_cohorts"])
@@ -304,6 +318,20 @@ def published_cohort_value(s):
     return view.join(sizes, "cohort_id")
 
 
+@query
+def replaced_cohort_spend(s):
+    """Cohort spend replaced by a table with a further column: a reader from before has the old rows, one from after the new."""
+    here, name = s.spark.catalog.currentDatabase(), "kinweave_published.cohort_report"
+    catalog.use_schema(s.spark, "kinweave_published")
+    s.spark.catalog.setCurrentDatabase(here)
+    spend = s["cohort_spend"]
+    early = versions.replace_table(spend.select("cohort_id", F.col("cohort_members").alias("members")), name)
+    late = versions.replace_table(
+        spend.select("cohort_id", F.col("cohort_members").alias("members"), "total_spend_gbp"), name, "Spend of each cohort.",
+    )
+    return early.withColumnRenamed("members", "members_before").join(late, "cohort_id")
+
+
 @query
 def published_comments(s):
     """Each column of the documented view with its comment, the view's, and how many values are known and different."""

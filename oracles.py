@@ -389,6 +389,7 @@ FINAL: dict[str, str] = {
           WHERE b.dst <> a.src AND c.dst <> a.src AND c.dst <> a.dst AND d.dst <> a.src AND d.dst <> a.dst AND d.dst <> b.dst)
         GROUP BY depth ORDER BY depth""",
     "cohorts_in_batches": "SELECT id, cohort_id FROM cohorts",
+    "cohorts_resumed": "SELECT id, cohort_id FROM cohorts",
     "khop_paths_deep": "SELECT depth, count(DISTINCT guest) AS guests_reached FROM paths GROUP BY depth ORDER BY depth",
     "hop_histogram_sketched": """SELECT hops, count(*) AS pairs FROM (
           SELECT src, dst, min(hops) AS hops FROM apart GROUP BY src, dst) WHERE hops > 0 GROUP BY hops ORDER BY hops""",
@@ -402,6 +403,8 @@ FINAL: dict[str, str] = {
     "predicate_glossary": """SELECT predicate, meaning, count(*) AS edges FROM triplets
         JOIN (VALUES ('VISITED_WITH', 'shared a party with'), ('PAID_FOR', 'paid a booking of'), ('RESOLVES_TO', 'is a record of'))
         AS glossary(predicate, meaning) USING (predicate) GROUP BY predicate, meaning""",
+    "replaced_cohort_spend": """SELECT cohort_id, cohort_members AS members_before, cohort_members AS members, total_spend_gbp
+        FROM cohort_spend""",
     "published_comments": "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{column}' AS column_name, '{text}' AS column_comment, '{COHORT_VALUE_COMMENT}' AS view_comment, count({column}) AS known, "
         f"count(DISTINCT {column}) AS different FROM cohort_spend" for column, text in COHORT_VALUE_COLUMNS.items()
