@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kinweave.llm.common import by_batch
+from kinweave.session import cut, discarded
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -110,7 +111,10 @@ def learned(docs: DataFrame, text_col: str = "text", size: int = LEARNED, least_
         low = F.regexp_replace(low, pattern.pattern, " ")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(low, F.lit(r"(\p{L}{3,})"), 1))).alias("word"))
     counted = words.where(F.length("word") <= _LONGEST).groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
-    return [r.word for r in counted.where(F.col("docs") >= least_docs).orderBy(F.desc("docs"), "word").limit(size).collect()]
+    with discarded(docs.sparkSession):
+        # Every partition sends its best ``size`` words, so there are a few, whatever the input.
+        common = cut(counted.where(F.col("docs") >= least_docs), "common-words").coalesce(8)
+        return [r.word for r in common.orderBy(F.desc("docs"), "word").limit(size).collect()]
 
 
 def ranked(*lists: Iterable[str]) -> dict[str, int]:
