@@ -21,7 +21,8 @@ class Comparison:
     """``levels`` are named from the closest down and leave out the null and the last, "all other" level.
 
     ``shared`` gives for each of these levels what two records at that level have in common, as
-    expressions over one record that are equal on both sides; empty where nothing need be equal.
+    expressions over one record that are equal on both sides; empty where nothing need be equal. ``similar`` gives
+    expressions whose Jaro-Winkler similarity is at least the number beside them, where nothing need be equal.
     """
 
     name: str
@@ -30,6 +31,7 @@ class Comparison:
     conditions: Callable[[], list[Column]]
     shared: Callable[[], list[tuple[Column, ...]]]
     term_frequency: bool = False
+    similar: Callable[[], list[tuple[tuple[Column, float], ...]]] | None = None
 
     @property
     def top(self) -> int:
@@ -65,8 +67,11 @@ def forename_surname(first: str, last: str, close: tuple[float, ...] = (0.92, 0.
         f, l = F.col(first), F.col(last)
         return [(f, l), (F.least(f, l), F.greatest(f, l)), *[() for _ in close], (l,), (f,)]
 
+    def similar() -> list[tuple[tuple[Column, float], ...]]:
+        return [(), (), *[((F.col(first), t), (F.col(last), t)) for t in close], (), ()]
+
     names = ("both exact", "swapped", *[f"both similar {t}" for t in close], "surname exact", "forename exact")
-    return Comparison("name", (first, last), names, conditions, shared)
+    return Comparison("name", (first, last), names, conditions, shared, similar=similar)
 
 
 def email(column: str, close: float = 0.88) -> Comparison:
@@ -78,8 +83,12 @@ def email(column: str, close: float = 0.88) -> Comparison:
     def shared() -> list[tuple[Column, ...]]:
         return [(F.col(column),), (F.substring_index(F.col(column), "@", 1),), (), ()]
 
+    def similar() -> list[tuple[tuple[Column, float], ...]]:
+        whole = F.col(column)
+        return [(), (), ((whole, close),), ((F.substring_index(whole, "@", 1), close),)]
+
     levels = ("exact", "same user", f"similar {close}", f"similar user {close}")
-    return Comparison(column, (column,), levels, conditions, shared)
+    return Comparison(column, (column,), levels, conditions, shared, similar=similar)
 
 
 def postcode(column: str, graded: bool = True) -> Comparison:

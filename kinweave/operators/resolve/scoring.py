@@ -6,8 +6,8 @@ Two bounds that follow from the model's weights leave pairs out beforehand:
 * a record that would stay below the threshold even if all its known fields agreed with another record
   is in no result;
 * in a blocking value shared by very many records, every pair that reaches the threshold must agree on
-  something besides that value. What it is follows from the level combinations that reach the threshold,
-  and the block is joined on that as well instead of with itself.
+  something besides that value, or be similar in it. What it is follows from the level combinations that reach
+  the threshold, and the block is joined on that as well instead of with itself.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kinweave.operators.resolve.alike import alike_pairs
 from kinweave.operators.resolve.blocking import BLOCKING_RULES, agree, candidate_pairs, rule_name, rule_pairs
 from kinweave.operators.resolve.comparisons import Comparison, with_gammas, with_term_frequencies
 from kinweave.operators.resolve.model import MatchModel, level_bits, prior_bits, tf_columns, with_weights
@@ -54,12 +55,13 @@ def best_case(model: MatchModel, rule: tuple[str, ...]) -> Column:
 
 
 def refinements(
-    model: MatchModel, rule: tuple[str, ...], threshold: float, least_tf: float
+    model: MatchModel, rule: tuple[str, ...], threshold: float, least_tf: float, similar: bool = False
 ) -> list[tuple[Comparison, int]] | None:
     """Levels of which every pair reaching the threshold under the rule has at least one.
 
     ``least_tf`` bounds from below the frequency of the blocking value. None if some combination of levels
-    reaches the threshold although it makes nothing but the blocking value equal.
+    reaches the threshold although it makes nothing but the blocking value equal. With ``similar``, a combination that
+    makes nothing equal may make something similar instead.
     """
     options = []
     for c in model.comparisons:
@@ -74,15 +76,16 @@ def refinements(
             # Sharing only columns of the rule refines nothing.
             if equal and len(c.columns) > 1:
                 equal = not _only_rule_columns(c, level, rule)
-            choices.append((bits, (c.name, level) if equal else None))
+            close = similar and not _fixed_by(rule, c) and _similar_parts(c, level)
+            choices.append((bits, (c.name, level) if equal else None, (c.name, level) if close else None))
         options.append(choices)
     reaching = []
     for combination in itertools.product(*options):
-        if prior_bits(model) + sum(bits for bits, _ in combination) >= _threshold_bits(threshold):
-            equal = {key for _, key in combination if key}
-            if not equal:
+        if prior_bits(model) + sum(bits for bits, _, _ in combination) >= _threshold_bits(threshold):
+            needed = {key for _, key, _ in combination if key} or {key for _, _, key in combination if key}
+            if not needed:
                 return None
-            reaching.append(equal)
+            reaching.append(needed)
     chosen: list[tuple[str, int]] = []
     while reaching:
         counts = {key: sum(key in equal for equal in reaching) for equal in reaching for key in equal}
@@ -90,7 +93,12 @@ def refinements(
         chosen.append(key)
         reaching = [equal for equal in reaching if key not in equal]
     by_name = {c.name: c for c in model.comparisons}
-    return [(by_name[name], level) for name, level in chosen]
+    keys = [(by_name[name], level) for name, level in chosen]
+    return sorted(keys, key=lambda k: bool(_similar_parts(*k)))
+
+
+def _similar_parts(comparison: Comparison, level: int) -> tuple[tuple[Column, float], ...]:
+    return comparison.similar()[comparison.top - level] if comparison.similar and level > 0 else ()
 
 
 def _only_rule_columns(comparison: Comparison, level: int, rule: tuple[str, ...]) -> bool:
@@ -101,20 +109,23 @@ def _only_rule_columns(comparison: Comparison, level: int, rule: tuple[str, ...]
 def _refined_pairs(
     records: DataFrame, rule: tuple[str, ...], keys: list[tuple[Comparison, int]], slice_rows: int
 ) -> DataFrame:
-    """Pairs that agree on the rule and on at least one of the keys, each once."""
-    names = []
+    """Pairs that agree on the rule and are equal or similar in at least one of the keys, each once."""
+    columns, names = records.columns, []
     for i, (c, level) in enumerate(keys):
         parts = c.shared()[c.top - level]
         names.append(tuple(f"_also{i}_{j}" for j in range(len(parts))))
         records = records.select("*", *[part.alias(name) for part, name in zip(parts, names[-1])])
-    found = []
-    for i, also in enumerate(names):
-        pairs = rule_pairs(records, (*rule, *also), slice_rows)
-        for earlier in names[:i]:
-            pairs = pairs.where(~F.coalesce(agree(earlier), F.lit(False)))
+    found, earlier = [], []
+    for (c, level), also in zip(keys, names):
+        if also:
+            pairs, met = rule_pairs(records, (*rule, *also), slice_rows), agree(also)
+        else:
+            pairs, met = alike_pairs(records, rule, list(_similar_parts(c, level)), slice_rows), c.conditions()[c.top - level]
+        for before in earlier:
+            pairs = pairs.where(~F.coalesce(before, F.lit(False)))
+        earlier.append(met)
         found.append(pairs)
-    extra = [f"{name}_{side}" for also in names for name in also for side in "lr"]
-    return reduce(DataFrame.unionByName, found).drop(*extra)
+    return reduce(DataFrame.unionByName, found).select(*[f"{c}_{side}" for side in "lr" for c in columns])
 
 
 def promising_pairs(
@@ -125,7 +136,7 @@ def promising_pairs(
     hot, n_hot = hot_keys(able, list(rule), slice_rows)
     if n_hot == 0:
         return rule_pairs(able, rule, None)
-    keys = refinements(model, rule, threshold, slice_rows / records_in_all)
+    keys = refinements(model, rule, threshold, slice_rows / records_in_all, similar=True)
     if keys is None:
         return rule_pairs(able, rule, slice_rows)
     if n_hot <= BROADCAST_ROWS:

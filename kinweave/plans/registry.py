@@ -11,7 +11,7 @@ from kinweave.functions.similarity import jaro_winkler
 from kinweave.operators import centrality as ranking, relations, traverse
 from kinweave.operators.components import connected_components, extended_components
 from kinweave.operators.graph import degrees, edges_of, find_motif, triangle_count, Graph
-from kinweave.operators.resolve import blocking, clustering, comparisons, model
+from kinweave.operators.resolve import alike, blocking, clustering, comparisons, model
 from kinweave.plans import metrics, questions, value
 from kinweave.plans.stages import PASS_METHOD, Stages, stages
 from kinweave.resume import Rounds
@@ -392,6 +392,16 @@ def er_name_similarity(s):
     return distinct.withColumn("similarity", F.round(jaro_winkler("name_a", "name_b"), 6))
 
 
+@query
+def er_alike_in_district(s):
+    """Pairs of records in one postcode district with similar first and similar last names."""
+    records = s["guests_raw"].select(
+        "record_id", "first_name", "last_name", F.substring_index("postcode", " ", 1).alias("district")
+    )
+    names = [(F.col("first_name"), 0.9), (F.col("last_name"), 0.9)]
+    return alike.alike_pairs(records, ("district",), names).select("record_id_l", "record_id_r", F.col("district_l").alias("district"))
+
+
 @query
 def er_gammas(s):
     return comparisons.with_gammas(blocking.candidate_pairs(s.records), comparisons.guest_comparisons())

@@ -427,6 +427,10 @@ FINAL: dict[str, str] = {
         f"""SELECT '{c}' AS field, least({c}_l, {c}_r) AS name_a, greatest({c}_l, {c}_r) AS name_b,
         round({similarity(f'{c}_l', f'{c}_r')}, 6) AS similarity FROM candidates""" for c in ("first_name", "last_name")
     ),
+    "er_alike_in_district": f"""SELECT l.record_id AS record_id_l, r.record_id AS record_id_r, split_part(l.postcode, ' ', 1) AS district
+        FROM guests_raw l JOIN guests_raw r ON split_part(l.postcode, ' ', 1) = split_part(r.postcode, ' ', 1)
+          AND l.record_id < r.record_id
+        WHERE {similarity('l.first_name', 'r.first_name')} >= 0.9 AND {similarity('l.last_name', 'r.last_name')} >= 0.9""",
     "er_gammas": f"SELECT record_id_l, record_id_r, {', '.join(f'gamma_{n}' for n in ALL)} FROM gammas",
     "er_term_freq": "SELECT phone, round(tf_phone, 9) AS tf_phone FROM tf",
     "er_prior": "SELECT rule_pairs, records, round(prior, 9) AS prior FROM prior",
