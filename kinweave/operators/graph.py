@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.operators.skew import SLICE_ROWS, sliced_join
-from kinweave.session import cut
+from kinweave.session import bucketed, cut
+
+# Edges in a cell of coloured vertices.
+CELL_EDGES = 500_000
 
 
 @dataclass(frozen=True)
@@ -46,12 +50,8 @@ def degrees(edges: DataFrame) -> DataFrame:
     )
 
 
-def triangle_count(graph: Graph, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Triangles through each vertex, direction and parallel edges ignored, zero where there is none.
-
-    Every undirected edge is pointed from the end with the lower degree to the other, which bounds the
-    edges leaving a vertex by the square root of twice the edge count, hubs included.
-    """
+def _oriented(graph: Graph) -> tuple[DataFrame, DataFrame]:
+    """The undirected edges once, ``src`` the smaller id, and ``(u, v)`` from the end with the lower degree to the other."""
     pairs = cut(
         graph.edges.where(F.col("src") != F.col("dst"))
         .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
@@ -70,22 +70,81 @@ def triangle_count(graph: Graph, slice_rows: int = SLICE_ROWS) -> DataFrame:
         ),
         "oriented",
     )
+    return pairs, oriented
+
+
+def triangle_count(graph: Graph, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Triangles through each vertex, direction and parallel edges ignored, zero where there is none.
+
+    Every undirected edge is pointed from the end with the lower degree to the other, which bounds the
+    edges leaving a vertex by the square root of twice the edge count, hubs included.
+    """
+    pairs, oriented = _oriented(graph)
     wedges = sliced_join(
         oriented.select("u", "v"),
         oriented.select(F.col("u").alias("u2"), F.col("v").alias("w")),
         ["u"], ["u2"], F.col("v") < F.col("w"), same_counts=True, slice_rows=slice_rows,
     ).select("u", "v", "w")
     closing = pairs.select(F.col("src").alias("v"), F.col("dst").alias("w"))
-    corners = (
-        wedges.join(closing, ["v", "w"])
-        .select(F.explode(F.array("u", "v", "w")).alias("id"))
-        .groupBy("id").agg(F.count(F.lit(1)).alias("count"))
+    return _per_vertex(graph, wedges.join(closing, ["v", "w"]))
+
+
+def _per_vertex(graph: Graph, triangles: DataFrame) -> DataFrame:
+    corners = triangles.select(F.explode(F.array("u", "v", "w")).alias("id")).groupBy("id").agg(
+        F.count(F.lit(1)).alias("count")
     )
     return graph.vertices.select("id").join(corners, "id", "left").select(
         "id", F.coalesce("count", F.lit(0).cast("long")).alias("count")
     )
 
 
+def coloured_triangle_count(graph: Graph, colours: int | None = None, cell_edges: int = CELL_EDGES) -> DataFrame:
+    """``triangle_count`` without shuffling a wedge: what is shuffled is each edge once per colour.
+
+    Vertices get colours by a hash. A cell is three colours, repeats allowed, and holds the edges whose ends have two of
+    them, so each triangle lies whole in the cell of its corners' colours. The cells are the buckets of a written table,
+    and both joins run inside them. By default there are as many colours as leave about ``cell_edges`` edges in a cell; the
+    edges of a hub spread over all colours but its own. The joins sort and spill, a cell need not fit into memory.
+    """
+    spark = graph.edges.sparkSession
+    _, oriented = _oriented(graph)
+    n = oriented.count()
+    colours = colours or max(1, ceil(sqrt(6 * n / cell_edges)))
+    cells = colours * (colours + 1) * (colours + 2) // 6
+
+    def colour(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(colours))
+
+    def cell(a: Column, b: Column, c: Column) -> Column:
+        three = F.array_sort(F.array(a, b, c))
+        return (three[0] * colours + three[1]) * colours + three[2]
+
+    third = F.sequence(F.lit(0).cast("long"), F.lit(colours - 1).cast("long"))
+    copies = oriented.select(
+        F.explode(F.transform(third, lambda x: cell(colour("u"), colour("v"), x))).alias("cell"), "u", "v"
+    )
+    buckets = min(cells, max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(n * colours / cell_edges)))
+    held = bucketed(copies, "cells", ["cell"], buckets)
+    other = held.select(F.col("cell").alias("cell2"), F.col("u").alias("u2"), F.col("v").alias("w"))
+    closing = held.select(
+        F.col("cell").alias("cell3"), F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi")
+    )
+    wedges = held.join(
+        other, (F.col("cell") == F.col("cell2")) & (F.col("u") == F.col("u2")) & (F.col("v") < F.col("w"))
+    ).where(F.col("cell") == cell(colour("u"), colour("v"), colour("w")))
+    closed = wedges.join(
+        closing, (F.col("cell") == F.col("cell3")) & (F.col("v") == F.col("lo")) & (F.col("w") == F.col("hi"))
+    ).select("u", "v", "w")
+    # Rows of a bucket have all their partners there, though a join has further keys.
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")
+    try:
+        return cut(_per_vertex(graph, closed), "triangles")
+    finally:
+        spark.conf.set(setting, before)
+
+
 def find_motif(
     graph: Graph,
     pattern: list[tuple[str, str, str]],

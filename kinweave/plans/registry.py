@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import suppress
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kinweave.functions.similarity import jaro_winkler
 from kinweave.operators import centrality as ranking, relations, traverse
 from kinweave.operators.components import connected_components, extended_components
-from kinweave.operators.graph import degrees, edges_of, find_motif, triangle_count, Graph
+from kinweave.operators.graph import coloured_triangle_count, degrees, edges_of, find_motif, triangle_count, Graph
 from kinweave.operators.resolve import alike, blocking, clustering, comparisons, model
 from kinweave.plans import metrics, questions, value
 from kinweave.plans.stages import PASS_METHOD, Stages, stages
 from kinweave.resume import Rounds
-from kinweave.session import scratch_path, ship_package
+from kinweave.session import cut, scratch_path, ship_package
 from kinweave.sources import catalog, versions
 
 QUERIES: dict[str, Callable[[Stages], DataFrame]] = {}
@@ -200,6 +201,12 @@ def triangles(s):
     return triangle_count(s.visit_graph())
 
 
+@query
+def triangles_coloured(s):
+    """The triangles through each guest, counted inside cells of coloured guests."""
+    return coloured_triangle_count(s.visit_graph(), colours=6)
+
+
 @query
 def motif(s):
     edges = edges_of(s["gold_triplets"], "VISITED_WITH").withColumn("rel", F.lit("VISITED_WITH")).unionByName(
@@ -361,6 +368,27 @@ def metric_cohort_value(s):
     return found.withColumn("total_spend_gbp", F.round("total_spend_gbp", 2))
 
 
+@query
+def metric_spend_grains(s):
+    """Spend, transactions, guests and cohorts at three grains, rolled up from one stored cube that was filled in two batches.
+
+    The distinct counts are exact; ``sketch_holds`` says that those of the cube lie within four standard errors.
+    """
+    spent = s["transactions"].join(s["guests_resolved"], "record_id").join(s["guest_cohorts"].withColumnRenamed("id", "golden_id"), "golden_id")
+    cube = metrics.spend_cube()
+    late = F.substring("txn_date", 6, 2) > "06"
+    stored = cut(cube.merged(cube.stored(spent.where(late)), cube.stored(spent.where(~F.coalesce(late, F.lit(False))))), "cube")
+    grains = [["park", "year"], ["year"], []]
+    about, exact = cube.rolled_up(stored, grains), cube.exact(spent, grains)
+    keys = ["grain", "park", "year"]
+    about = about.select(*[F.col(k).alias(f"_{k}") for k in keys], "spend_gbp", "transactions", *[F.col(m).alias(f"_{m}") for m in cube.distinct])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    near = [F.abs(F.col(m) - F.col(f"_{m}")) <= 4 * cube.error * F.col(m) for m in cube.distinct]
+    return exact.drop("spend_gbp", "transactions").join(about, same).select(
+        *keys, F.round("spend_gbp", 2).alias("spend_gbp"), "transactions", *cube.distinct, reduce(Column.__and__, near).alias("sketch_holds"),
+    )
+
+
 @query
 def run_summary(s):
     return questions.run_summary(

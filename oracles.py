@@ -381,6 +381,7 @@ FINAL: dict[str, str] = {
     "centrality": """SELECT id, degree, pagerank FROM visit_ranks JOIN
         (SELECT src AS id, 2 * count(*) AS degree FROM visited GROUP BY src) USING (id)""",
     "triangles": "SELECT v.id, count(c.id) AS count FROM visit_vertices v LEFT JOIN corners c ON c.id = v.id GROUP BY v.id",
+    "triangles_coloured": "SELECT v.id, count(c.id) AS count FROM visit_vertices v LEFT JOIN corners c ON c.id = v.id GROUP BY v.id",
     "motif": """SELECT a.src AS a_id, a.dst AS b_id, p.dst AS c_id FROM visited a JOIN paid_edges p ON p.src = a.dst
         WHERE a.src <> p.dst AND p.src IN (SELECT id FROM visit_vertices) AND p.dst IN (SELECT id FROM visit_vertices)""",
     "khop": "SELECT depth, count(*) AS guests_reached FROM walk GROUP BY depth ORDER BY depth",
@@ -416,6 +417,11 @@ FINAL: dict[str, str] = {
     "cohort_value": "SELECT cohort_id, segment, cohort_members, total_spend_gbp FROM cohort_spend",
     "published_cohort_value": """SELECT cohort_id, segment, cohort_members, total_spend_gbp, n AS guests
         FROM cohort_spend JOIN members_per_cohort USING (cohort_id)""",
+    "metric_spend_grains": """SELECT CASE WHEN grouping(park) = 0 THEN 'park,year' WHEN grouping(year) = 0 THEN 'year' ELSE 'all' END AS grain,
+          park, year, round(sum(amount_gbp), 2) AS spend_gbp, count(*) AS transactions, count(DISTINCT golden_id) AS guests,
+          count(DISTINCT cohort_id) AS cohorts, true AS sketch_holds
+        FROM (SELECT *, substr(txn_date, 1, 4) AS year FROM transactions JOIN guests_resolved USING (record_id) JOIN cohorts ON id = golden_id) t
+        GROUP BY GROUPING SETS ((park, year), (year), ())""",
     "metric_cohort_value": """SELECT segment, round(sum(total_spend_gbp), 2) AS total_spend_gbp,
         count(DISTINCT cohort_id) AS cohorts, CAST(sum(cohort_members) AS BIGINT) AS members FROM cohort_spend GROUP BY segment""",
     "run_summary": """SELECT 'raw_source_records' AS stage, count(*) AS rows FROM guests_raw

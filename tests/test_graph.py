@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kinweave.operators import centrality, traverse
 from kinweave.operators.components import connected_components, extended_components
-from kinweave.operators.graph import Graph, degrees, find_motif, triangle_count, vertices_of
+from kinweave.operators.graph import Graph, coloured_triangle_count, degrees, find_motif, triangle_count, vertices_of
 
 GRAPHS = {
     "empty": ([1, 2], []),
@@ -156,6 +156,44 @@ def test_triangles(spark, slice_rows):
     assert sum(got.values()) % 3 == 0
 
 
+@pytest.mark.parametrize("colours", [None, 1, 2, 5])
+def test_coloured_triangles_equal_triangles(spark, colours):
+    rnd = random.Random(8)
+    edges = [(rnd.randrange(30), rnd.randrange(30)) for _ in range(220)] + [(0, v) for v in range(30)]
+    g = make(spark, range(32), edges, "long")
+    want = as_dict(triangle_count(g))
+    assert as_dict(coloured_triangle_count(g, colours, cell_edges=40)) == want and sum(want.values()) > 100
+    empty = make(spark, range(3), [], "long")
+    assert as_dict(coloured_triangle_count(empty, colours)) == {0: 0, 1: 0, 2: 0}
+
+
+def test_coloured_triangles_shuffle_no_wedge(spark, monkeypatch):
+    """The joins of a cell follow one another without an exchange; only the counts of vertices are shuffled after them."""
+    from kinweave.operators import graph as module
+
+    plans, plain = {}, module.cut
+
+    def seen(df, name="cut", *args, **options):
+        if name == "triangles":
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name, *args, **options)
+
+    monkeypatch.setattr(module, "cut", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = [(a, b) for a in range(12) for b in range(a)]
+        g = make(spark, range(12), edges, "long")
+        assert set(as_dict(coloured_triangle_count(g, 3)).values()) == {55}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+    # From the scan of the cells up to the partial counts of corners there is none; the others are of the vertices' side.
+    corners = plans["triangles"][plans["triangles"].index("SortMergeJoin [cell") :]
+    assert corners.count("SortMergeJoin") >= 2 and "Exchange" not in corners
+
+
 @pytest.mark.parametrize("slice_rows", [5_000, 2])
 def test_motif_chain_and_cycle(spark, slice_rows):
     rnd = random.Random(6)
