@@ -104,7 +104,7 @@ def coloured_triangle_count(graph: Graph, colours: int | None = None, cell_edges
     Vertices get colours by a hash. A cell is three colours, repeats allowed, and holds the edges whose ends have two of
     them, so each triangle lies whole in the cell of its corners' colours. The cells are the buckets of a written table,
     and both joins run inside them. By default there are as many colours as leave about ``cell_edges`` edges in a cell; the
-    edges of a hub spread over all colours but its own. The joins sort and spill, a cell need not fit into memory.
+    edges of a hub spread over the colours of their other ends. The joins sort and spill, a cell need not fit into memory.
     """
     spark = graph.edges.sparkSession
     _, oriented = _oriented(graph)
