@@ -28,6 +28,8 @@ COMBINATIONS = 64
 COMMON_LAST = "qxzjkvwbyghfpmcudltsirnoae"
 SLACK = 1e-9
 OUT_ROWS = 8_192
+# Values filed by a task: each becomes many entries, so few bytes of values are much work.
+TASK_VALUES = 20_000
 ADDED = ("key", "start", "chosen", "rarest")
 
 Part = tuple[Column, float]
@@ -141,6 +143,8 @@ def alike_values(values: DataFrame, block: list[str], parts: list[tuple[str, flo
     named = values.join(spread, block).select(
         "value", *block, *[c for c, _ in parts], text.alias("text"), least.cast("double").alias("threshold")
     )
+    tasks = max(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(values.count() / TASK_VALUES))
+    named = named.repartition(tasks, "value")
     sides = [cut(_filed(named, side == "l", side), f"filed-{side}") for side in "lr"]
     length = {side: F.length(f"text_{side}") for side in "lr"}
     p = F.col("start_l")
