@@ -302,12 +302,18 @@ def cohort_value(s):
 
 
 def _published(s):
-    """The tables written to a catalog schema and checked, with the documented view over them."""
+    """The tables written to a catalog schema and checked, with the documented view over them.
+
+    Each run has folders of its own, as another application's files may lie in the warehouse, which knows nothing of its catalog.
+    """
     here = s.spark.catalog.currentDatabase()
     catalog.use_schema(s.spark, "kinweave_published")
     try:
-        catalog.save_table(s["cohort_spend"], "cohort_spend", "Spend of each cohort.", {"segment": "With or without a pass holder."})
-        catalog.save_table(s["guest_cohorts"], "guest_cohorts", "Activity cohort of each golden guest.")
+        spend, cohorts = (scratch_path(s.spark, f"published-{name}") for name in ("spend", "cohorts"))
+        catalog.save_table(
+            s["cohort_spend"], "cohort_spend", "Spend of each cohort.", {"segment": "With or without a pass holder."}, path=spend
+        )
+        catalog.save_table(s["guest_cohorts"], "guest_cohorts", "Activity cohort of each golden guest.", path=cohorts)
         catalog.require_tables(s.spark, ("cohort_spend", "guest_cohorts"))
         return catalog.create_view(
             s.spark, "v_cohort_value", value.COHORT_VALUE_QUERY.format(cohort_spend="kinweave_published.cohort_spend"),

@@ -50,10 +50,15 @@ def table_from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType |
 
 def save_table(
     df: DataFrame, name: str, comment: str | None = None, column_comments: dict[str, str] | None = None,
-    fmt: str = "parquet", partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet", partition_by: tuple[str, ...] = (), path: str | None = None,
 ) -> DataFrame:
-    """Create or replace a table from a query, schema included, and return its scan."""
+    """Create or replace a table from a query, schema included, and return its scan.
+
+    The files lie in the schema's folder, or in ``path``, a new folder of the caller's; then those of a replaced table stay.
+    """
     writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)

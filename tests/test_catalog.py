@@ -195,3 +195,23 @@ def test_stages_follow_their_input_files(spark, tmp_path):
     assert second is not first
     forget(spark, str(tmp_path))
     assert stages(spark, str(tmp_path)) is not second
+
+
+def test_publishing_beside_the_files_of_another_application(spark):
+    """An application's catalog may be gone while its folders are still in the shared warehouse."""
+    from kinweave.plans.registry import registered
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS kinweave_published")
+    folder = Path(spark.catalog.getDatabase("kinweave_published").locationUri.removeprefix("file:"))
+    for name in ("cohort_spend", "guest_cohorts"):
+        spark.sql(f"DROP TABLE IF EXISTS kinweave_published.{name}")
+        (folder / name).mkdir(parents=True, exist_ok=True)
+        (folder / name / "part-of-another").write_text("")
+    try:
+        first = registered()["published_cohort_value"](spark, SF)
+        second = registered()["published_cohort_value"](spark, SF)
+        assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
+    finally:
+        for name in ("cohort_spend", "guest_cohorts"):
+            (folder / name / "part-of-another").unlink()
+            (folder / name).rmdir()
