@@ -13,6 +13,7 @@ from itertools import combinations
 from math import ceil, comb
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.functions.similarity import BOOST_ABOVE, PREFIX_MAX, PREFIX_WEIGHT, jaro_winkler
@@ -102,7 +103,7 @@ def _filed(values: DataFrame, as_longer: bool, side: str) -> DataFrame:
             rows, keys, starts, chosen, rarest = [], [], [], [], []
 
             def made():
-                columns = [c.take(pa.array(rows, pa.int64())) for c in batch.columns]
+                columns = [pc.array_take(c, pa.array(rows, pa.int64())) for c in batch.columns]
                 columns += [pa.array(keys, pa.string()), pa.array(starts, pa.int32())]
                 columns += [pa.array(chosen, pa.list_(pa.string())), pa.array(rarest, pa.list_(pa.string()))]
                 return pa.RecordBatch.from_arrays(columns, names=[*names, *(f"{c}_{side}" for c in ADDED)])
