@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from kinweave.operators.graph import Graph, degrees
 from kinweave.operators.spread_edges import SLICE_EDGES, SpreadEdges
 from kinweave.resume import Rounds
-from kinweave.session import LoopState, cut
+from kinweave.session import LoopState, cut, exchanged
 
 
 def pagerank(
@@ -29,7 +29,7 @@ def pagerank(
     vertices = cut(graph.vertices.select("id"), "vertices")
     links = graph.edges.select("src", "dst")
     out_degree = cut(links.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree")), "out-degree")
-    weighted = links.join(out_degree, "src").select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("share"))
+    weighted = links.join(exchanged(out_degree), "src").select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("share"))
     layout = SpreadEdges(weighted, out_degree, slice_edges)
     state = LoopState(graph.edges.sparkSession, "pagerank")
 
@@ -78,9 +78,9 @@ def label_propagation(
         if done % cut_every == 0 or done == rounds:
             labels = kept.finish(done, labels=labels)["labels"] if kept else state.advance(labels)
     layout.release()
-    return vertices.join(labels, "id")
+    return vertices.join(exchanged(labels), "id")
 
 
 def centrality(graph: Graph, ranks: DataFrame) -> DataFrame:
     """Degree and PageRank per guest, most influential first."""
-    return degrees(graph.edges).join(ranks, "id").orderBy(F.desc("pagerank"), "id")
+    return degrees(graph.edges).join(exchanged(ranks), "id").orderBy(F.desc("pagerank"), "id")

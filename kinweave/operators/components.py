@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from kinweave.resume import Rounds
-from kinweave.session import LoopState, cut, discarded, observed
+from kinweave.session import LoopState, cut, discarded, exchanged, observed
 
 
 def _lowest(pairs: DataFrame, state: LoopState) -> tuple[DataFrame, int]:
@@ -43,8 +43,8 @@ def connected_components(
     round's edges lie in a lasting folder, and a loop that ended early goes on from there.
     """
     state = LoopState(edges.sparkSession, "components")
-    kept = (lambda df: rounds.finish(pairs=df)["pairs"]) if rounds else state.advance
-    pairs = rounds.tables()["pairs"] if rounds and rounds.done else kept(
+    kept = (lambda df: exchanged(rounds.finish(pairs=df)["pairs"])) if rounds else state.advance
+    pairs = exchanged(rounds.tables()["pairs"]) if rounds and rounds.done else kept(
         edges.where(F.col("src") != F.col("dst"))
         .select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
         .distinct()
@@ -79,8 +79,8 @@ def extended_components(labels: DataFrame, vertices: DataFrame, edges: DataFrame
     with discarded(spark):
         ends = edges.select("src", "dst").where(F.col("src") != F.col("dst"))
         named = ends.select(F.explode(F.array("src", "dst")).alias("id")).unionByName(vertices.select("id")).distinct()
-        mine = labels.select("id", "component")
-        of = cut(named.join(mine, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("component").isNull().alias("new")), "named")
+        mine = exchanged(labels.select("id", "component"))
+        of = exchanged(cut(named.join(mine, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.col("component").isNull().alias("new")), "named"))
         side = lambda name: of.select(F.col("id").alias(name), F.col("component").alias(f"{name}_in"))
         links = cut(
             ends.join(side("src"), "src").join(side("dst"), "dst").where(F.col("src_in") != F.col("dst_in"))
@@ -91,4 +91,4 @@ def extended_components(labels: DataFrame, vertices: DataFrame, edges: DataFrame
             F.col("id").alias("component"), F.col("component").alias("joined")
         ), "moved")
         both = mine.unionByName(of.where("new").select("id", "component"))
-        return cut(both.join(moved, "component", "left").select("id", F.coalesce("joined", "component").alias("component")), "labels", outlives=True)
+        return cut(both.join(exchanged(moved), "component", "left").select("id", F.coalesce("joined", "component").alias("component")), "labels", outlives=True)

@@ -8,7 +8,7 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.operators.skew import SLICE_ROWS, sliced_join
-from kinweave.session import bucketed, cut
+from kinweave.session import bucketed, cut, exchanged
 
 # Edges in a cell of coloured vertices.
 CELL_EDGES = 500_000
@@ -58,7 +58,7 @@ def _oriented(graph: Graph) -> tuple[DataFrame, DataFrame]:
         .distinct(),
         "pairs",
     )
-    degree = cut(degrees(pairs), "degrees")
+    degree = exchanged(cut(degrees(pairs), "degrees"))
     ranked = pairs.join(
         degree.select(F.col("id").alias("src"), F.col("degree").alias("src_degree")), "src"
     ).join(degree.select(F.col("id").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
@@ -85,7 +85,7 @@ def triangle_count(graph: Graph, slice_rows: int = SLICE_ROWS) -> DataFrame:
         oriented.select(F.col("u").alias("u2"), F.col("v").alias("w")),
         ["u"], ["u2"], F.col("v") < F.col("w"), same_counts=True, slice_rows=slice_rows,
     ).select("u", "v", "w")
-    closing = pairs.select(F.col("src").alias("v"), F.col("dst").alias("w"))
+    closing = exchanged(pairs).select(F.col("src").alias("v"), F.col("dst").alias("w"))
     return _per_vertex(graph, wedges.join(closing, ["v", "w"]))
 
 
@@ -93,7 +93,7 @@ def _per_vertex(graph: Graph, triangles: DataFrame) -> DataFrame:
     corners = triangles.select(F.explode(F.array("u", "v", "w")).alias("id")).groupBy("id").agg(
         F.count(F.lit(1)).alias("count")
     )
-    return graph.vertices.select("id").join(corners, "id", "left").select(
+    return graph.vertices.select("id").join(exchanged(corners), "id", "left").select(
         "id", F.coalesce("count", F.lit(0).cast("long")).alias("count")
     )
 
@@ -157,7 +157,7 @@ def find_motif(
     result has one struct column per vertex name (``id``) and per edge name (the edge's columns). Both
     ends of an edge must be vertices of the graph. ``edge_filters`` restrict single edges before joining.
     """
-    ids = cut(graph.vertices.select(F.col("id").alias("_vertex")).distinct(), "vertices")
+    ids = exchanged(cut(graph.vertices.select(F.col("id").alias("_vertex")).distinct(), "vertices"))
     filters = edge_filters or {}
     columns = graph.edges.columns
 

@@ -12,7 +12,7 @@ from kinweave.operators.resolve.comparisons import with_gammas, with_term_freque
 from kinweave.operators.resolve.model import MatchModel, tf_columns, with_weights
 from kinweave.operators.resolve.scoring import score_known_pairs
 from kinweave.operators.skew import SLICE_ROWS
-from kinweave.session import cut, discarded
+from kinweave.session import cut, discarded, exchanged
 
 
 def cluster_pairs(records: DataFrame, scored: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -62,16 +62,16 @@ def resolve(
         )
         joined = links.select(F.explode(F.array("src", "dst")).alias("id")).union(alike.select("record_id_l")).distinct()
         groups = connected_components(profiles.select(F.col("record_id").alias("id")), links)
-        marked = groups.join(joined.withColumn("joined", F.lit(True)), "id", "left")
+        marked = groups.join(exchanged(joined.withColumn("joined", F.lit(True))), "id", "left")
         # Written, so that the adaptive skew join can split the records of a content with many copies.
         by_content = cut(
-            profiles.join(marked, F.col("record_id") == F.col("id")).select(
+            profiles.join(exchanged(marked), F.col("record_id") == F.col("id")).select(
                 *[F.col(c).alias(f"p_{c}") for c in FIELDS], "component", "joined"
             ),
             "by-content", outlives=True,
         )
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in FIELDS])
-    return records.join(by_content, same).select(
+    return records.join(exchanged(by_content), same).select(
         "record_id", F.when(F.col("joined"), F.col("component")).otherwise(F.col("record_id")).alias("golden_id")
     )
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.functions.similarity import jaro_winkler
-from kinweave.session import cut
+from kinweave.session import cut, exchanged
 
 
 @dataclass(frozen=True)
@@ -173,7 +173,7 @@ def with_term_frequencies(records: DataFrame, comparisons: list[Comparison], of:
             column = c.columns[0]
             # Rows without a value match nothing; the second key keeps them from meeting in one task.
             lone = F.when(F.col(column).isNull(), F.pmod(F.xxhash64("record_id"), F.lit(4096))).otherwise(0)
-            freq = cut(term_frequencies(records if of is None else of, column), "frequencies")
+            freq = exchanged(cut(term_frequencies(records if of is None else of, column), "frequencies"))
             freq = freq.withColumn("_lone", F.lit(0).cast("long"))
             records = records.withColumn("_lone", lone.cast("long")).join(freq, [column, "_lone"], "left").drop("_lone")
     return records

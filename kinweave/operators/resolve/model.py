@@ -14,7 +14,7 @@ from kinweave.operators.resolve.comparisons import (
     Comparison, guest_comparisons, level_counts, pattern_counts, with_gammas,
 )
 from kinweave.operators.skew import BROADCAST_ROWS, SLICE_ROWS
-from kinweave.session import cut, observed
+from kinweave.session import cut, exchanged, observed
 
 FLOOR = 1e-6
 # Random pairs that one task compares.
@@ -84,7 +84,7 @@ def sample_random_pairs(
     few = observed(seen, wanted, "n")[0] <= BROADCAST_ROWS
     found = cut(records.join(F.broadcast(wanted) if few else wanted, "record_id", "left_semi"), "drawn-records")
     for side in "lr":
-        ids = ids.join(found.select(*[F.col(c).alias(f"{c}_{side}") for c in records.columns]), f"record_id_{side}")
+        ids = ids.join(exchanged(found.select(*[F.col(c).alias(f"{c}_{side}") for c in records.columns])), f"record_id_{side}")
     return ids.repartition(max(1, math.ceil(min(all_pairs, max_pairs) / PAIRS_PER_TASK)))
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from kinweave.session import cut, observed
+from kinweave.session import cut, exchanged, observed
 
 # A task joins at most about this many rows per side for one key.
 SLICE_ROWS = 5_000
@@ -54,6 +54,7 @@ def sliced_join(
     """
     on = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
     extra = [] if condition is None else [condition]
+    right = exchanged(right)
     out = [*left.columns, *right.columns]
     if slice_rows is None:
         return left.join(right, reduce(Column.__and__, on + extra)).select(*out)
@@ -87,6 +88,6 @@ def sliced_join(
         )
 
     a = spread(left, left_keys, "_ls", "_rs", "a")
-    b = spread(right, right_keys, "_rs", "_ls", "b")
+    b = exchanged(spread(right, right_keys, "_rs", "_ls", "b"))
     on += [F.col("a_ls") == F.col("b_ls"), F.col("a_rs") == F.col("b_rs")]
     return a.join(b, reduce(Column.__and__, on + extra)).select(*out)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from kinweave.operators.skew import BROADCAST_ROWS
-from kinweave.session import bucketed, cut, observed
+from kinweave.session import bucketed, cut, exchanged, observed
 
 # A vertex with more outgoing edges than this has them spread over several partitions.
 SLICE_EDGES = 500_000
@@ -58,7 +58,7 @@ class SpreadEdges:
                 *state.columns,
                 F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)).alias("_slice"),
             )
-        return self._edges.join(state, self._keys)
+        return self._edges.join(exchanged(state), self._keys)
 
     def release(self) -> None:
         for forget in self._forget:

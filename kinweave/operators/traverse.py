@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from kinweave.operators.skew import SLICE_ROWS, sliced_join
-from kinweave.session import LoopState, cut
+from kinweave.session import LoopState, cut, exchanged
 
 
 def top_vertex(degree: DataFrame, vertex: str = "guest_id") -> DataFrame:
     """The single vertex with the highest degree, smallest id first among equals."""
-    return degree.orderBy(F.desc("degree"), vertex).limit(1).select(F.col(vertex).alias("seed"))
+    return F.broadcast(degree.orderBy(F.desc("degree"), vertex).limit(1).select(F.col(vertex).alias("seed")))
 
 
 def reach_by_paths(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> DataFrame:
@@ -29,7 +29,7 @@ def reach_by_paths(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> Data
     ), "hop")
     out = level.select(F.lit(1).alias("depth"), "guest_id")
     for depth in range(2, max_hops + 1):
-        onward = links.join(level, F.col("src") == F.col("guest_id")).where(~F.array_contains("via", F.col("dst")))
+        onward = links.join(exchanged(level), F.col("src") == F.col("guest_id")).where(~F.array_contains("via", F.col("dst")))
         if depth == max_hops:
             return out.union(onward.select(F.lit(depth).alias("depth"), F.col("dst").alias("guest_id")).distinct())
         onward = cut(onward.select(
@@ -61,7 +61,7 @@ def representatives(ways: DataFrame, left: int) -> DataFrame:
             F.col("guest_id").alias("at"), avoided.alias("without")
         )
         latest = cut(
-            ways.join(nodes, (F.col("guest_id") == F.col("at")) & ~F.arrays_overlap("via", "without"))
+            ways.join(exchanged(nodes), (F.col("guest_id") == F.col("at")) & ~F.arrays_overlap("via", "without"))
             .groupBy("guest_id", "without").agg(F.min("via").alias("via")), "kept-ways",
         )
         found = found.union(latest.select("guest_id", "via"))
@@ -75,9 +75,9 @@ def reach_by_distance(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> D
     frontier = seen
     for depth in range(1, max_hops + 1):
         frontier = cut(
-            links.join(frontier, F.col("src") == F.col("guest_id"))
+            links.join(F.broadcast(frontier) if depth == 1 else exchanged(frontier), F.col("src") == F.col("guest_id"))
             .select(F.lit(depth).alias("depth"), F.col("dst").alias("guest_id")).distinct()
-            .join(seen.select("guest_id"), "guest_id", "left_anti").select("depth", "guest_id"),
+            .join(exchanged(seen.select("guest_id")), "guest_id", "left_anti").select("depth", "guest_id"),
             "frontier",
         )
         seen = seen.union(frontier)

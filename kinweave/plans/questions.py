@@ -36,7 +36,7 @@ def influencers_in_top_cohorts(
     """
     top = spend.orderBy(F.desc("total_spend_gbp"), "cohort_id").limit(top_cohorts).select("cohort_id", "total_spend_gbp")
     score = F.round("pagerank", 6)
-    guests = cohorts.join(top, "cohort_id").join(influence, "id").select(
+    guests = cohorts.join(F.broadcast(top), "cohort_id").join(influence, "id").select(
         "cohort_id", "total_spend_gbp", F.col("id").alias("guest_id"), score.alias("pagerank")
     )
     order = [F.desc("pagerank"), F.asc("guest_id")]

@@ -11,7 +11,7 @@ from kinweave.operators.components import connected_components
 from kinweave.operators.graph import Graph, edges_of
 from kinweave.operators.resolve import blocking, clustering, comparisons, model, scoring
 from kinweave.plans import value
-from kinweave.session import cut
+from kinweave.session import cut, exchanged
 from kinweave.sources import guests
 
 PASS_METHOD = "md5"
@@ -28,7 +28,7 @@ class Stages:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             partition_by = ("predicate",) if name == "gold_triplets" else ()
-            self._made[name] = cut(_STAGES[name](self), name, partition_by)
+            self._made[name] = exchanged(cut(_STAGES[name](self), name, partition_by))
         return self._made[name]
 
     def source(self, name: str) -> DataFrame:

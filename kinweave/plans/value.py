@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kinweave.functions.buckets import stable_bucket
+from kinweave.session import exchanged
 
 WITH_PASS, WITHOUT_PASS = "has_pass_holder", "no_pass_holder"
 
@@ -29,7 +30,7 @@ def cohort_sizes(cohorts: DataFrame, k: int = 10) -> DataFrame:
 def transactions_with_cohort(transactions: DataFrame, resolved: DataFrame, cohorts: DataFrame) -> DataFrame:
     return (
         transactions.select("txn_id", "record_id", "amount_gbp").join(resolved, "record_id")
-        .join(cohorts, F.col("golden_id") == F.col("id"))
+        .join(exchanged(cohorts), F.col("golden_id") == F.col("id"))
         .select("txn_id", "amount_gbp", "cohort_id", "golden_id")
     )
 
@@ -42,7 +43,7 @@ def pass_holders(cohorts: DataFrame, percent: int = 5, method: str = "murmur3")
 def guest_spend(transactions: DataFrame, resolved: DataFrame) -> DataFrame:
     """Spend per golden guest, added up per source record before the join to the identity map."""
     per_record = transactions.groupBy("record_id").agg(F.sum("amount_gbp").alias("spend"))
-    return per_record.join(resolved, "record_id").groupBy("golden_id").agg(F.sum("spend").alias("spend"))
+    return per_record.join(exchanged(resolved), "record_id").groupBy("golden_id").agg(F.sum("spend").alias("spend"))
 
 
 def cohort_spend(
@@ -56,7 +57,7 @@ def cohort_spend(
     holder = F.max((stable_bucket("id", 100, method) < percent).cast("int"))
     spend = guest_spend(transactions, resolved)
     return (
-        cohorts.join(spend, F.col("id") == F.col("golden_id"), "left")
+        cohorts.join(exchanged(spend), F.col("id") == F.col("golden_id"), "left")
         .groupBy("cohort_id")
         .agg(
             holder.alias("flag"),

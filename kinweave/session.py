@@ -126,6 +126,15 @@ def write_and_read(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def exchanged(df: DataFrame) -> DataFrame:
+    """``df``, a table that grows with the input, joined by exchange however small it looks.
+
+    Spark broadcasts by the size of compressed files, a small part of what text ids take in the driver, and a loop does so every
+    round. With the hint no such table passes through the driver. ``broadcast`` on the other side goes before it.
+    """
+    return df.hint("merge")
+
+
 def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = (), outlives: bool = False) -> DataFrame:
     """Cut the lineage of ``df`` at a table in the checkpoint folder; ``outlives`` as for ``scratch_path``."""
     return write_and_read(df, scratch_path(df.sparkSession, name, outlives), partition_by)
@@ -186,4 +195,4 @@ class LoopState:
     def advance(self, df: DataFrame, name: str = "") -> DataFrame:
         """``name`` tells a second table of the loop apart; the folder it had a round ago is written anew."""
         self._turn += not name
-        return write_and_read(df, f"{self._path}/{name}{'ab'[self._turn % 2]}")
+        return exchanged(write_and_read(df, f"{self._path}/{name}{'ab'[self._turn % 2]}"))

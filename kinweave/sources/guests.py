@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinweave.session import exchanged
+
 # Letters for the ten digits, by script.
 LETTERS = ("aeioulnrst", "аеиоунлрст", "αειουλνρστ", "ابتجدرسلمن", "山川田中木林森石水金")
 
@@ -94,4 +96,4 @@ SOURCE_SQL = {
 def derive(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the four source tables, derived from the parquet tables under ``sf_dir``."""
     base = ("customer", "orders") if table == "guests_raw" else ("orders",)
-    return spark.sql(SOURCE_SQL[table], **{name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in base})
+    return spark.sql(SOURCE_SQL[table], **{name: exchanged(spark.read.parquet(f"{sf_dir}/{name}.parquet")) for name in base})

@@ -6,9 +6,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from kinweave.operators import centrality, traverse
+from kinweave.operators import centrality, relations, traverse
 from kinweave.operators.components import connected_components, extended_components
 from kinweave.operators.graph import Graph, coloured_triangle_count, degrees, find_motif, triangle_count, vertices_of
+from kinweave.plans import value
 
 GRAPHS = {
     "empty": ([1, 2], []),
@@ -412,3 +413,18 @@ def test_parallel_edges_of_a_hub_are_spread(spark):
     sizes = [r["count"] for r in layout._edges.groupBy("_slice").count().collect()]
     assert len(sizes) == 8 and sum(sizes) == 400 and layout.meet(g.vertices).count() == 400
     layout.release()
+
+
+def test_tables_that_grow_do_not_pass_through_the_driver(spark):
+    """Joins of such tables have no broadcast, however small their files are."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    g = Graph.from_edges(spark.createDataFrame([("a", "b"), ("b", "c"), ("d", "e")], "src string, dst string"))
+    cohorts = connected_components(g.vertices, g.edges)
+    assert sorted(r.component for r in cohorts.collect()) == ["a", "a", "a", "d", "d"]
+    spent = spark.createDataFrame([("r1", 2.0)], "record_id string, amount_gbp double")
+    resolved = spark.createDataFrame([("r1", "a")], "record_id string, golden_id string")
+    spend = value.cohort_spend(spent, resolved, cohorts.withColumnRenamed("component", "cohort_id"))
+    for df in (cohorts, spend, centrality.centrality(g, centrality.pagerank(g, iterations=1)), relations.members_golden(
+        spark.createDataFrame([("p1", "r1", "b1")], "party_id string, record_id string, booking_id string"), resolved
+    )):
+        assert "Broadcast" not in plan(df)
