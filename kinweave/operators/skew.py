@@ -43,6 +43,7 @@ def sliced_join(
     condition: Column | None = None,
     same_counts: bool = False,
     slice_rows: int | None = SLICE_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Inner equi-join of two tables with disjoint column names, whole and balanced.
 
@@ -50,14 +51,20 @@ def sliced_join(
     key's rows are cut into slices and each left slice meets each right slice in a task of its own,
     so no task ever holds a whole hot key. Without hot keys this is a plain join.
     ``same_counts`` says that both sides hold the same rows per key, so one count is enough;
-    ``slice_rows=None`` that the caller knows of no hot key.
+    ``slice_rows=None`` that the caller knows of no hot key. ``partitions`` is for joins that make far more rows than they
+    read: the rows meet in just so many, while Spark coalesces partitions by what they read.
     """
-    on = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
     extra = [] if condition is None else [condition]
-    right = exchanged(right)
     out = [*left.columns, *right.columns]
+
+    def met(a: DataFrame, b: DataFrame, a_keys: list[str], b_keys: list[str]) -> DataFrame:
+        if partitions:
+            a, b = a.repartition(partitions, *a_keys), b.repartition(partitions, *b_keys)
+        on = [F.col(x) == F.col(y) for x, y in zip(a_keys, b_keys)]
+        return a.join(exchanged(b), reduce(Column.__and__, on + extra)).select(*out)
+
     if slice_rows is None:
-        return left.join(right, reduce(Column.__and__, on + extra)).select(*out)
+        return met(left, right, left_keys, right_keys)
     nk = len(left_keys)
     if same_counts:
         hot = _slices(left, left_keys, slice_rows, "both")
@@ -74,7 +81,7 @@ def sliced_join(
     )
     n_hot = observed(seen, hot, "n")[0]
     if n_hot == 0:
-        return left.join(right, reduce(Column.__and__, on + extra)).select(*out)
+        return met(left, right, left_keys, right_keys)
 
     hint = F.broadcast if n_hot <= BROADCAST_ROWS else (lambda df: df)
 
@@ -88,6 +95,5 @@ def sliced_join(
         )
 
     a = spread(left, left_keys, "_ls", "_rs", "a")
-    b = exchanged(spread(right, right_keys, "_rs", "_ls", "b"))
-    on += [F.col("a_ls") == F.col("b_ls"), F.col("a_rs") == F.col("b_rs")]
-    return a.join(b, reduce(Column.__and__, on + extra)).select(*out)
+    b = spread(right, right_keys, "_rs", "_ls", "b")
+    return met(a, b, [*left_keys, "a_ls", "a_rs"], [*right_keys, "b_ls", "b_rs"])

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from math import ceil
+
+from pyspark.sql import DataFrame, Observation, Window as W, functions as F
 
 from kinweave.operators.skew import SLICE_ROWS, sliced_join
-from kinweave.session import LoopState, cut, exchanged
+from kinweave.session import LoopState, cut, exchanged, observed
+
+# Paths of two edges that a task makes, or reduces to pairs, on average.
+TASK_PATHS = 1_000_000
 
 
 def top_vertex(degree: DataFrame, vertex: str = "guest_id") -> DataFrame:
@@ -88,22 +93,37 @@ def guests_per_depth(reach: DataFrame) -> DataFrame:
     return reach.groupBy("depth").agg(F.count(F.lit(1)).alias("guests_reached")).orderBy("depth")
 
 
-def two_hop(edges: DataFrame, seeds: DataFrame | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def _paths(start: DataFrame, links: DataFrame) -> int:
+    """Number of paths of an edge of ``start`` and one of ``links``."""
+    into = start.groupBy("mid").agg(F.count(F.lit(1)).alias("n_in"))
+    out = links.groupBy("src").agg(F.count(F.lit(1)).alias("n_out"))
+    through = into.join(exchanged(out), F.col("mid") == F.col("src")).select((F.col("n_in") * F.col("n_out")).alias("paths"))
+    seen = Observation()
+    through = cut(through.observe(seen, F.coalesce(F.sum("paths"), F.lit(0)).alias("paths")), "paths")
+    return observed(seen, through, "paths")[0]
+
+
+def two_hop(
+    edges: DataFrame, seeds: DataFrame | None = None, slice_rows: int = SLICE_ROWS, task_paths: int = TASK_PATHS
+) -> DataFrame:
     """Least number of hops, one or two, from each guest to every other guest it reaches.
 
-    ``seeds(seed)`` restricts the starting guests before the join. Parallel edges change nothing.
+    ``seeds(seed)`` restricts the starting guests before the join. Parallel edges change nothing. There are many more paths
+    than edges, so they are counted first, and as many tasks make and reduce them as leave each about ``task_paths``.
     """
     links = edges.select("src", "dst")
     start = links if seeds is None else links.join(seeds, F.col("src") == F.col("seed"), "left_semi")
     start = start.select(F.col("src").alias("guest_id"), F.col("dst").alias("mid"))
+    tasks = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(_paths(start, links) / task_paths))
     further = sliced_join(
         start, links.select("src", F.col("dst").alias("reachable_guest")), ["mid"], ["src"],
-        F.col("guest_id") != F.col("reachable_guest"), slice_rows=slice_rows,
+        F.col("guest_id") != F.col("reachable_guest"), slice_rows=slice_rows, partitions=tasks,
     ).select("guest_id", "reachable_guest", F.lit(2).alias("hops"))
     direct = start.where(F.col("guest_id") != F.col("mid")).select(
         "guest_id", F.col("mid").alias("reachable_guest"), F.lit(1).alias("hops")
     )
-    return direct.unionByName(further).groupBy("guest_id", "reachable_guest").agg(F.min("hops").alias("hops"))
+    reached = direct.unionByName(further).repartition(tasks, "guest_id", "reachable_guest")
+    return reached.groupBy("guest_id", "reachable_guest").agg(F.min("hops").alias("hops"))
 
 
 def hop_histogram(hops: DataFrame) -> DataFrame:

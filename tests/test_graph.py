@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -428,3 +429,15 @@ def test_tables_that_grow_do_not_pass_through_the_driver(spark):
         spark.createDataFrame([("p1", "r1", "b1")], "party_id string, record_id string, booking_id string"), resolved
     )):
         assert "Broadcast" not in plan(df)
+
+
+def test_tasks_of_two_hops_follow_the_paths(spark):
+    """A star has few edges and many paths: 1,640 of two edges here."""
+    edges = spark.createDataFrame([e for i in range(40) for e in (("hub", f"v{i}"), (f"v{i}", "hub"))], "src string, dst string")
+    for slice_rows in (10, 5_000):
+        found = traverse.two_hop(edges, slice_rows=slice_rows, task_paths=100)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"hashpartitioning\(.*, 17\), REPARTITION_BY_NUM", plan)) == 3
+        hops = {(r.guest_id, r.reachable_guest): r.hops for r in found.collect()}
+        near = {(a, b) for i in range(40) for a, b in (("hub", f"v{i}"), (f"v{i}", "hub"))}
+        assert hops == {**{(f"v{i}", f"v{j}"): 2 for i in range(40) for j in range(40) if i != j}, **{p: 1 for p in near}}
