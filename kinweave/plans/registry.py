@@ -143,10 +143,15 @@ def cohorts(s):
 
 @query
 def cohorts_in_batches(s):
-    """The cohorts when guests and links come in three batches, each added to the labels of those before."""
-    links = relations.party_links(s["members_golden"], relations.payers_golden(s["bookings"], s["guests_resolved"]))
-    links = links.withColumn("batch", F.pmod(F.xxhash64("src", "dst"), F.lit(3)))
-    guests = s["guests_resolved"].select(F.col("golden_id").alias("id")).distinct().withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(3)))
+    """The cohorts when guests and links come in three batches, each added to the labels of those before.
+
+    Guests and links are dealt once, into a folder per batch; a batch reads its own.
+    """
+    guests = s["guests_resolved"].select(F.col("golden_id").alias("id")).distinct()
+    guests, links = (
+        cut(df.withColumn("batch", F.pmod(F.xxhash64(*df.columns), F.lit(3))), name, partition_by=("batch",))
+        for df, name in ((guests, "guest-batches"), (s["party_links"], "link-batches"))
+    )
     labels = guests.limit(0).select("id", F.col("id").alias("component"))
     for batch in range(3):
         labels = extended_components(labels, *(df.where(F.col("batch") == batch) for df in (guests, links)))
@@ -156,7 +161,7 @@ def cohorts_in_batches(s):
 @query
 def cohorts_resumed(s):
     """The cohorts by a loop that ends after its first round and is taken up again from what it left in a folder."""
-    links = relations.party_links(s["members_golden"], relations.payers_golden(s["bookings"], s["guests_resolved"]))
+    links = s["party_links"]
     guests = s["guests_resolved"].select(F.col("golden_id").alias("id")).distinct()
     folder = scratch_path(s.spark, "lasting-rounds")
     with suppress(RuntimeError):

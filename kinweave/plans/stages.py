@@ -57,8 +57,7 @@ class Stages:
 
 def _components(s: Stages) -> DataFrame:
     found = connected_components(
-        s["guests_resolved"].select(F.col("golden_id").alias("id")).distinct(),
-        relations.party_links(s["members_golden"], relations.payers_golden(s["bookings"], s["guests_resolved"])),
+        s["guests_resolved"].select(F.col("golden_id").alias("id")).distinct(), s["party_links"]
     )
     return found.withColumnRenamed("component", "cohort_id")
 
@@ -84,6 +83,9 @@ _STAGES: dict[str, Callable[[Stages], DataFrame]] = {
     "transactions": lambda s: s.source("transactions"),
     "guests_resolved": lambda s: clustering.resolve(s.records, model.GIVEN_MODEL),
     "members_golden": lambda s: relations.members_golden(s["party_members"], s["guests_resolved"]),
+    "party_links": lambda s: relations.party_links(
+        s["members_golden"], relations.payers_golden(s["bookings"], s["guests_resolved"])
+    ),
     "edges": _edges,
     "guest_cohorts": _components,
     "guest_influence": lambda s: centrality.pagerank(s.relation_graph()),

@@ -441,3 +441,21 @@ def test_tasks_of_two_hops_follow_the_paths(spark):
         hops = {(r.guest_id, r.reachable_guest): r.hops for r in found.collect()}
         near = {(a, b) for i in range(40) for a, b in (("hub", f"v{i}"), (f"v{i}", "hub"))}
         assert hops == {**{(f"v{i}", f"v{j}"): 2 for i in range(40) for j in range(40) if i != j}, **{p: 1 for p in near}}
+
+
+def test_batches_of_links_are_derived_once(spark, monkeypatch):
+    """Every batch scans its own folder of the dealt guests and links; none derives them anew."""
+    from kinweave.plans import registry
+
+    plans, plain = [], extended_components
+
+    def seen(labels, vertices, edges):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (vertices, edges))
+        return plain(labels, vertices, edges)
+
+    monkeypatch.setattr(registry, "extended_components", seen)
+    sf = "/root/testdata/sf0.001"
+    got = registry.registered()["cohorts_in_batches"](spark, sf)
+    want = registry.registered()["cohorts"](spark, sf)
+    assert as_dict(got) == as_dict(want) and len(plans) == 6
+    assert all("Join" not in p and "Exchange" not in p and re.search(r"PartitionFilters: \[.*batch.* = ", p) for p in plans), plans
