@@ -3,8 +3,9 @@
 A task splits its texts by the pre-token pattern and keeps every distinct piece once. Pieces new to the
 worker go to an in-process DuckDB as token-position rows: a recursive query joins neighbouring tokens with the
 merge table, contracts each piece's leftmost pair of the smallest rank, and repeats until no piece has a pair
-left. Decoding joins id rows with the vocabulary and concatenates their bytes by an ordered aggregation.
-Documents are independent, so the job has no shuffle, and a lost executor costs its tasks only.
+left. Decoding joins id rows with the vocabulary and concatenates their bytes by an ordered aggregation, cut by token lengths.
+Documents are independent, so the job has no shuffle, and a lost executor costs its tasks only. A task makes its codec and
+lets go of it at its end, since idle workers stand beside the next stage's memory.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -23,13 +25,13 @@ from kinweave.llm.common import Generations, by_batch
 
 # Pieces of more bytes are contracted by a loop of statements, see _encode_long.
 LONG_BYTES = 1_000
-# Token-position rows in one statement, and pieces and chunks a worker remembers per generation.
-ROWS_PER_STATEMENT = 1_000_000
+# Token-position rows in one statement, and pieces and chunks a task remembers per generation.
+ROWS_PER_STATEMENT = 250_000
 REMEMBERED = 200_000
 
 ENCODE = """
 WITH RECURSIVE state(piece, ids) AS (
-    SELECT piece, list(id ORDER BY pos) FROM start GROUP BY piece
+    SELECT piece, ids FROM start
     UNION ALL
     (WITH positions AS (
               SELECT piece, unnest(range(1, len(ids))) AS pos, unnest(ids[:-2]) AS here, unnest(ids[2:]) AS nxt FROM state),
@@ -44,8 +46,7 @@ SELECT piece, arg_min(ids, len(ids)) AS ids FROM state GROUP BY piece ORDER BY p
 """
 
 DECODE = """
-SELECT t.piece, string_agg(v.hex, '' ORDER BY t.pos) AS hex
-FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.piece ORDER BY t.piece
+SELECT string_agg(bytes, '') FROM (SELECT v.bytes FROM tokens t JOIN vocabulary v ON v.id = t.id ORDER BY t.pos)
 """
 
 # One contraction of a long piece: every occurrence of the smallest-ranked pair, leftmost first.
@@ -82,8 +83,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 # A space beside another white space character, or one that is not ASCII, keeps a text in one part.
-_DOUBLE = ["  ", *[a + b for c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" for a, b in ((c, " "), (" ", c))]]
-_DOUBLE_OR_WIDE = [*_DOUBLE, *(c for c in map(chr, range(0x80, 0x3001)) if c.isspace())]
+_DOUBLE = [(c, c + " ", " " + c) for c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
+_WIDE = [c for c in map(chr, range(0x80, 0x3001)) if c.isspace()]
+
+
+def _lists(units: list, flat: np.ndarray) -> pa.Table:
+    """A row per unit, with its ids as a list."""
+    ends = np.zeros(len(units) + 1, np.int32)
+    np.cumsum(np.fromiter(map(len, units), np.int32, len(units)), out=ends[1:])
+    return pa.table({
+        "piece": np.arange(len(units), dtype=np.int64), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+    })
 
 
 def _rows(units: list, flat: np.ndarray) -> pa.Table:
@@ -116,9 +126,10 @@ class Codec:
         self.ranks = ranks
         self.tokens = {t: rank.to_bytes(4, "little") for t, rank in ranks.items()}
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        find = ranks.get
         pairs = [
-            (ranks[t[:i]] << 32 | ranks[t[i:]], rank)
-            for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
+            (head << 32 | tail, rank) for t, rank in ranks.items() for i in range(1, len(t))
+            if (head := find(t[:i])) is not None and (tail := find(t[i:])) is not None
         ]
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
@@ -127,9 +138,12 @@ class Codec:
         self._table("merges", pa.table({
             "pair": pa.array([p for p, _ in pairs], pa.int64()), "merged": pa.array([m for _, m in pairs], pa.int32())
         }))
+        # A character of the text stands for a byte.
         self._table("vocabulary", pa.table({
-            "id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])
+            "id": pa.array(list(ranks.values()), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in ranks])
         }))
+        self.lengths = np.zeros(max(ranks.values()) + 2, np.int64)  # bytes by id, 0 if unknown; the last entry is for larger ids
+        self.lengths[list(ranks.values())] = list(map(len, ranks))
         self.pieces, self.chunks = Generations(REMEMBERED), Generations(REMEMBERED)
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -147,7 +161,7 @@ class Codec:
         short = [i for i in todo if len(pieces[i]) <= LONG_BYTES]
         for part in _statements(short, pieces):
             units = [pieces[i] for i in part]
-            self._table("start", _rows(units, self.single[np.frombuffer(b"".join(units), np.uint8)]))
+            self._table("start", _lists(units, self.single[np.frombuffer(b"".join(units), np.uint8)]))
             found = self.db.sql(ENCODE).to_arrow_table().combine_chunks()
             lists = found.column("ids").chunk(0)
             ends = (lists.offsets.to_numpy() * 4).tolist()
@@ -184,61 +198,56 @@ class Codec:
         for part in _statements(todo, pieces):
             units = [pieces[i] for i in part]
             flat = np.concatenate(units)
-            self._table("tokens", _rows(units, flat))
-            if self.db.execute("SELECT count(*) FROM tokens ANTI JOIN vocabulary USING (id)").fetchall()[0][0]:
+            lengths = self.lengths[np.minimum(flat, len(self.lengths) - 1)]
+            if not lengths.all():
                 raise ValueError("an id is not in the vocabulary")
-            for piece, text in self.db.execute(DECODE).fetchall():
-                out[part[piece]] = bytes.fromhex(text)
+            self._table("tokens", pa.table({"pos": np.arange(len(flat)), "id": flat.astype(np.int32)}))
+            text = self.db.execute(DECODE).fetchall()[0][0].encode("latin-1")
+            ends = np.cumsum(lengths)[np.cumsum(np.fromiter(map(len, units), np.int64, len(units))) - 1].tolist()
+            for i, a, b in zip(part, [0, *ends], ends):
+                out[i] = text[a:b]
         return out
 
     def _chunks(self, text: str) -> list[str]:
         """Parts of a text that the pattern treats apart: cut before a single space between other characters."""
-        if any(s in text for s in (_DOUBLE if text.isascii() else _DOUBLE_OR_WIDE)) or text[0] == " " or text[-1] == " ":
+        if text[0] == " " or text[-1] == " " or "\0" in text or "  " in text:
             return [text]
-        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
+        if any(c in text and (a in text or b in text) for c, a, b in _DOUBLE):
+            return [text]
+        if not text.isascii() and any(c in text for c in _WIDE):
+            return [text]
+        return text.replace(" ", "\0 ").split("\0")
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, as little-endian unsigned 32-bit integers."""
         chunked = [self._chunks(t) if t else [] for t in texts]
-        self._learn(set().union(*chunked))
+        self._learn(set(chain.from_iterable(chunked)))
         known = self.chunks.young.__getitem__
         return [b"".join(map(known, chunks)) for chunks in chunked]
 
     def _learn(self, chunks: set[str]) -> None:
         """Have the ids of all these chunks among the young ones."""
-        self.chunks.turn()
-        new = {}
-        for c in chunks.difference(self.chunks.young):
-            if not self.chunks.revive(c):
-                new[c] = self.pattern.findall(c)
-        self.pieces.turn()
-        pieces = set().union(*new.values()).difference(self.pieces.young)
-        pieces = [p for p in pieces if not self.pieces.revive(p)]
-        encoded = self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces])
-        self.pieces.young.update(zip(pieces, encoded))
+        new = self.chunks.unknown(chunks)
+        # Tuples of texts, unlike lists, are soon left alone by Python's garbage collector.
+        found = list(map(tuple, map(self.pattern.findall, new)))
+        pieces = list(self.pieces.unknown(set(chain.from_iterable(found))))
+        self.pieces.young.update(zip(pieces, self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces])))
         known = self.pieces.young.__getitem__
-        self.chunks.young.update((c, b"".join(map(known, found))) for c, found in new.items())
+        self.chunks.young.update(zip(new, [known(f[0]) if len(f) == 1 else b"".join(map(known, f)) for f in found]))
 
     def decode_texts(self, texts: list[bytes]) -> list[bytes]:
         """Bytes of documents given as their ids in little-endian unsigned 32-bit integers."""
         return self.decode_pieces([np.frombuffer(ids, "<u4") for ids in texts])
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
-
-
 def codec(vocabulary: bytes, pattern: str) -> Codec:
-    """The codec of this worker process, made at first use. ``vocabulary`` is the content of a rank file."""
-    key = (hash(vocabulary), pattern)
-    if key not in _codecs:
-        lines = (line.split() for line in vocabulary.splitlines() if line.strip())
-        _codecs.clear()
-        _codecs[key] = Codec({base64.b64decode(t): int(r) for t, r in lines}, pattern)
-    return _codecs[key]
+    """A new codec. ``vocabulary`` is the content of a rank file."""
+    lines = (line.split() for line in vocabulary.splitlines() if line.strip())
+    return Codec({base64.b64decode(t): int(r) for t, r in lines}, pattern)
 
 
 # Texts encoded together, by their length in characters.
-CHARS_PER_BLOCK = 4_000_000
+CHARS_PER_BLOCK = 1_000_000
 
 
 def blocks(texts: list[str], limit: int = CHARS_PER_BLOCK) -> Iterable[tuple[int, int]]:

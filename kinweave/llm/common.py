@@ -65,14 +65,27 @@ def by_batch(
 
 
 class Generations:
-    """A cache of bounded size: ``turn`` forgets what was not used for a generation of ``size`` entries."""
+    """A cache of bounded size: ``turn`` forgets what was not used for a generation of ``size`` entries.
+
+    A generation also ends when the keys that ``unknown`` found new have 64 characters for each of ``size``.
+    """
 
     def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+        self.size, self.young, self.old, self.length = size, {}, {}, 0
 
     def turn(self) -> None:
-        if len(self.young) >= self.size:
-            self.young, self.old = {}, {k: v for k, v in self.young.items() if len(k) <= 64}
+        if len(self.young) >= self.size or self.length >= 64 * self.size:
+            self.young, self.old, self.length = {}, {k: v for k, v in self.young.items() if len(k) <= 64}, 0
+
+    def unknown(self, keys: set) -> set:
+        """``turn``, then those of the keys that are new; the ones that only the last generation knows are taken over."""
+        self.turn()
+        new = keys.difference(self.young)
+        revived = new & self.old.keys()
+        self.young.update(zip(revived, map(self.old.__getitem__, revived)))
+        new -= revived
+        self.length += sum(map(len, new))
+        return new
 
     def revive(self, key) -> bool:
         """Take a key that only the last generation knows over into this one."""

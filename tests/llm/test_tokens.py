@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import edge
 from kinweave.llm import byte_bpe, token_files
+from kinweave.llm.common import Generations
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 WORDS = P.path("word_bpe_49k.json")
@@ -119,3 +120,37 @@ def test_files_hold_every_document_in_order(spark, tmp_path):
     sums = {(r.start, r.ids_crc32) for r in token_files.checksums(spark, str(tmp_path)).collect()}
     assert sums == {(r.start, zlib.crc32(bytes(r.ids))) for r in found}
     assert token_files.write_and_check(edge.empty(spark), WORDS, 2, 16).count() == 0
+
+
+def test_codec_goes_with_its_task(spark):
+    def left(batches):
+        import gc
+
+        from kinweave.llm.byte_bpe import Codec
+
+        for batch in batches:
+            n = sum(isinstance(o, Codec) for o in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], names=["n"])
+
+    rows = spark.range(64).repartition(8)
+    docs = rows.selectExpr("id AS doc_id", "concat('thhahe ', id) AS text")
+    assert byte_bpe.round_trip(docs, RANKS, P.PATTERN).agg({"n_tokens": "count"}).first()[0] == 64
+    assert rows.mapInArrow(left, "n long").agg({"n": "max"}).first()[0] == 0
+
+
+def test_long_texts_end_a_generation_of_the_cache():
+    kept = Generations(10)
+    for i in range(100):
+        kept.young.update((k, b"") for k in kept.unknown({f"{i} " * 400}))
+        assert sum(map(len, [*kept.young, *kept.old])) < 64 * 10 + 2_000
+    few = Generations(10)
+    few.young.update((k, b"1") for k in few.unknown({"a", "b"}))
+    few.length = 640
+    assert few.unknown({"b", "c"}) == {"c"} and few.young == {"b": b"1"} and few.old == {"a": b"1", "b": b"1"}
+
+
+def test_decoding_sorts_no_groups(codec):
+    assert "GROUP BY" not in byte_bpe.DECODE
+    texts = ["", "a", "", "Ünï\x00 \x80 日本 " * 30, "b" * 300]
+    assert codec.decode_texts(codec.encode_texts(texts)) == [t.encode() for t in texts]
+    assert codec.decode_pieces([np.array([], "<u4")] * 2) == [b"", b""]
