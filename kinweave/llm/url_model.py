@@ -26,6 +26,8 @@ FOLDS = 5
 GRID, DIGITS = 2, 9
 #: Different URLs that one task cuts into n-grams.
 TEXTS_PER_TASK = 2_000
+#: N-grams that are cut from a text together.
+PIECE = 64
 _BEGIN, _END = "\x02", "\x03"
 
 
@@ -49,9 +51,14 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
 
 def grams(text: Column) -> Column:
     """For each character of a text and its end, that character after the ``CONTEXT`` ones before it."""
-    chars = F.regexp_extract_all(F.concat(F.lit(_BEGIN * CONTEXT), text, F.lit(_END)), F.lit("(?s)."), F.lit(0))
-    at = F.sequence(F.lit(1), F.length(text) + 1)
-    return F.transform(at, lambda i: F.concat(*[F.element_at(chars, i + k) for k in range(CONTEXT + 1)]))
+    # A place in a text is found by counting characters from its start, so places are sought in short overlapping pieces.
+    pieces = F.regexp_extract_all(
+        F.concat(F.lit(_BEGIN * CONTEXT), text, F.lit(_END)),
+        F.lit(f"(?s)(?=(.{{{CONTEXT + 1},{PIECE + CONTEXT}}})).{{1,{PIECE}}}"), F.lit(1),
+    )
+    return F.flatten(F.transform(pieces, lambda p: F.transform(
+        F.sequence(F.lit(1), F.length(p) - CONTEXT), lambda i: F.substring(p, i, CONTEXT + 1)
+    )))
 
 
 def counts(taught: DataFrame) -> tuple[DataFrame, DataFrame]:
