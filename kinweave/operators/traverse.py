@@ -11,6 +11,8 @@ from kinweave.session import LoopState, cut, exchanged, observed
 
 # Paths of two edges that a task makes, or reduces to pairs, on average.
 TASK_PATHS = 1_000_000
+# Rows of a level up to which it is broadcast to the edges, which then are neither shuffled nor sorted.
+NEAR_ROWS = 50_000
 
 
 def top_vertex(degree: DataFrame, vertex: str = "guest_id") -> DataFrame:
@@ -18,29 +20,37 @@ def top_vertex(degree: DataFrame, vertex: str = "guest_id") -> DataFrame:
     return F.broadcast(degree.orderBy(F.desc("degree"), vertex).limit(1).select(F.col(vertex).alias("seed")))
 
 
-def reach_by_paths(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> DataFrame:
+def _level(rows: DataFrame, name: str, near_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The written level, and the same as the edges meet it: broadcast if counted to have at most ``near_rows`` rows."""
+    seen = Observation()
+    level = cut(rows.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return level, F.broadcast(level) if observed(seen, level, "n")[0] <= near_rows else exchanged(level)
+
+
+def reach_by_paths(edges: DataFrame, seed: DataFrame, max_hops: int = 3, near_rows: int = NEAR_ROWS) -> DataFrame:
     """``(depth, guest_id)``: guests at the end of some simple path of that length from the seed.
 
     A guest appears once per depth at which such a path exists. No level carries paths. Of all sets of guests
     on the way to a guest, a level keeps a few that represent the others: if some path can be continued by the
     steps that are left, one through a kept set can. Their number depends on ``max_hops`` alone, so a level's rows
-    are linear in the guests it reaches, and the candidates of the next in its edges.
+    are linear in the guests it reaches, and the candidates of the next in its edges. The edges are exchanged for levels of more
+    than ``near_rows`` rows only.
     """
     onto = (F.col("dst") != F.col("src")) & (F.col("dst") != seed.select("seed").scalar())
     links = cut(edges.select("src", "dst").where(onto).distinct(), "links")
     # The seed is one row, so the join filters the scan.
-    level = cut(links.join(seed, F.col("src") == F.col("seed")).select(
+    level, met = _level(links.join(seed, F.col("src") == F.col("seed")).select(
         F.col("dst").alias("guest_id"), F.array().cast(f"array<{_type(links, 'src')}>").alias("via")
-    ), "hop")
+    ), "hop", near_rows)
     out = level.select(F.lit(1).alias("depth"), "guest_id")
     for depth in range(2, max_hops + 1):
-        onward = links.join(exchanged(level), F.col("src") == F.col("guest_id")).where(~F.array_contains("via", F.col("dst")))
+        onward = links.join(met, F.col("src") == F.col("guest_id")).where(~F.array_contains("via", F.col("dst")))
         if depth == max_hops:
             return out.union(onward.select(F.lit(depth).alias("depth"), F.col("dst").alias("guest_id")).distinct())
         onward = cut(onward.select(
             F.col("dst").alias("guest_id"), F.array_sort(F.array_append("via", F.col("src"))).alias("via")
         ).distinct(), "ways")
-        level = cut(representatives(onward, max_hops - depth), "hop")
+        level, met = _level(representatives(onward, max_hops - depth), "hop", near_rows)
         out = out.union(level.select(F.lit(depth).alias("depth"), "guest_id").distinct())
     return out
 
@@ -73,17 +83,17 @@ def representatives(ways: DataFrame, left: int) -> DataFrame:
     return found.distinct()
 
 
-def reach_by_distance(edges: DataFrame, seed: DataFrame, max_hops: int = 3) -> DataFrame:
-    """``(depth, guest_id)``: each guest once, at its distance from the seed."""
+def reach_by_distance(edges: DataFrame, seed: DataFrame, max_hops: int = 3, near_rows: int = NEAR_ROWS) -> DataFrame:
+    """``(depth, guest_id)``: each guest once, at its distance from the seed. ``near_rows`` as for ``reach_by_paths``."""
     links = edges.select("src", "dst")
     seen = cut(seed.select(F.lit(0).alias("depth"), F.col("seed").alias("guest_id")), "visited")
-    frontier = seen
+    met = F.broadcast(seen)
     for depth in range(1, max_hops + 1):
-        frontier = cut(
-            links.join(F.broadcast(frontier) if depth == 1 else exchanged(frontier), F.col("src") == F.col("guest_id"))
+        frontier, met = _level(
+            links.join(met, F.col("src") == F.col("guest_id"))
             .select(F.lit(depth).alias("depth"), F.col("dst").alias("guest_id")).distinct()
             .join(exchanged(seen.select("guest_id")), "guest_id", "left_anti").select("depth", "guest_id"),
-            "frontier",
+            "frontier", near_rows,
         )
         seen = seen.union(frontier)
     return seen.where(F.col("depth") > 0)

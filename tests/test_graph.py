@@ -300,6 +300,29 @@ def test_simple_paths_on_a_dense_graph(spark, hops, monkeypatch):
         assert level.groupBy("guest_id").count().agg(F.max("count")).first()[0] <= sum(p**j for j in range(left + 1))
 
 
+@pytest.mark.parametrize("near_rows", [traverse.NEAR_ROWS, 6, 0])
+def test_edges_are_exchanged_for_large_levels_only(spark, near_rows, monkeypatch):
+    """A level counted to be small is broadcast to the edges, which are neither shuffled nor sorted; the result is the same."""
+    plans, plain, edges = [], traverse.cut, dense_edges()
+
+    def seen(df, name, *args, **options):
+        if name in ("ways", "frontier"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name, *args, **options)
+
+    monkeypatch.setattr(traverse, "cut", seen)
+    g, start = make(spark, range(15), edges, "long"), spark.createDataFrame([(0,)], "seed long")
+    want = simple_path_ends(edges, 0, 4)
+    assert {tuple(r) for r in traverse.reach_by_paths(g.edges, start, 4, near_rows=near_rows).collect()} == want
+    first = {v: min(d for d, w in want if w == v) for _, v in want}
+    near = traverse.reach_by_distance(g.edges, start, 4, near_rows=near_rows)
+    assert as_dict(near.select("guest_id", "depth")) == first
+    joins = [len(re.findall(r"SortMergeJoin \[src", plan)) for plan in plans]
+    # Depths 2 and 3 of the paths, 1 to 4 of the distances; the seed of the distances is one row.
+    exchanged = {traverse.NEAR_ROWS: [0] * 6, 0: [1, 1, 0, 1, 1, 1]}
+    assert len(joins) == 6 and (joins == exchanged[near_rows] if near_rows in exchanged else 0 < sum(joins) < 5)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_kept_sets_stand_for_all(spark, seed):
     """Whichever few guests are to be avoided: if a set avoids them, a kept one does."""
