@@ -99,3 +99,67 @@ def test_shared_email_meets_few_pairs(spark):
     found = scoring.score_pairs(records, tried, rules, threshold=0.005, slice_rows=50)
     pairs = lambda df: sorted((r.record_id_l, r.record_id_r) for r in df.collect())
     assert len(pairs(want)) > 5 and pairs(found) == pairs(want)
+
+
+def in_blocks(people, least):
+    """All pairs of (id, block, first, last) of a block with similar names, by comparing everybody with everybody."""
+    by_block = {}
+    for p in sorted(people):
+        by_block.setdefault(p[1], []).append(p)
+    pairs = [(a, b) for ps in by_block.values() for i, a in enumerate(ps) for b in ps[i + 1 :]]
+    alike_ = True
+    for part in (2, 3):
+        alike_ &= jaro_winkler_batch([min(a[part], b[part]) for a, b in pairs], [max(a[part], b[part]) for a, b in pairs]) >= least
+    return {(a[0], b[0]) for (a, b), ok in zip(pairs, alike_) if ok}
+
+
+@pytest.mark.parametrize("shared", [True, False])
+def test_a_text_is_filed_once_not_for_each_row(spark, monkeypatch, shared):
+    """Names that repeat in a block, and from block to block, are filed once; names of one block meet in it alone."""
+    first, last = names(60, "abcdefgh", 4, 7), names(16, "stuvwxyz", 4, 6)
+    mark = (lambda b: "") if shared else (lambda b: chr(0x4E00 + b))
+    people = [
+        (f"r{b:02d}-{i:03d}", f"b{b}", first[i % 60] + mark(b), last[(i // 2 + b) % 16] + mark(b)) for b in range(8) for i in range(120)
+    ]
+    rows, written = {}, alike.cut
+
+    def counted(df, name="cut", *more):
+        out = written(df, name, *more)
+        rows[name] = out.count() if name.startswith("filed") else None
+        return out
+
+    monkeypatch.setattr(alike, "cut", counted)
+    records = spark.createDataFrame(people, "record_id string, phone string, first_name string, last_name string")
+    found = alike.alike_pairs(records, ("phone",), [(F.col("first_name"), 0.9), (F.col("last_name"), 0.9)])
+    got = [(r.record_id_l, r.record_id_r) for r in found.select("record_id_l", "record_id_r").collect()]
+    want = in_blocks(people, 0.9)
+    assert len(want) > 50 and len(got) == len(set(got)) and set(got) == want
+    texts = {x + mark(b) for x in last for b in range(8)}
+    for side, as_longer in (("l", True), ("r", False)):
+        assert 0 < rows[f"filed-{side}"] <= sum(1 for t in texts for _ in alike.filed_under(t, 0.9, as_longer))
+
+
+def test_rows_meet_by_the_part_that_tells_them_apart(spark, monkeypatch):
+    """Where nearly all have one last name, which costs nothing to file, rows meet by their first names."""
+    monkeypatch.setattr(alike, "FILING", 0)
+    people = [(f"r{i:03d}", f"b{i % 2}", n, "same" if i % 50 else "samee") for i, n in enumerate(names(400, "abcdefghijklm", 5, 8))]
+    tried, meeting = [], alike._meeting
+    monkeypatch.setattr(alike, "_meeting", lambda *a: tried.append(meeting(*a)) or tried[-1])
+    records = spark.createDataFrame(people, "record_id string, phone string, first_name string, last_name string")
+    found = alike.alike_pairs(records, ("phone",), [(F.col("first_name"), 0.85), (F.col("last_name"), 0.85)])
+    assert {(r.record_id_l, r.record_id_r) for r in found.collect()} == in_blocks(people, 0.85)
+    (_, cost, _, by_last), (_, less, _, by_first) = tried
+    assert less < cost / 10 and by_first < by_last / 10
+
+
+@pytest.mark.parametrize("threshold", [0.72, 0.8, 0.9, 0.97])
+def test_no_similar_texts_are_told_apart_by_their_characters(spark, threshold):
+    texts = sorted(set(names(120) + names(40, "ab", 0, 4) + names(24, "abcdefgh", 50, 80) + names(20, "xy😀é", 1, 5)))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", alike.bag("t").alias("bag"))
+    left, right = (df.select(*[F.col(c).alias(f"{c}_{x}") for c in df.columns]) for x in "lr")
+    kept = left.join(right, (F.col("t_l") < F.col("t_r")) & alike.may_reach(threshold, "t_l", "t_r", "bag_l", "bag_r"))
+    kept = {(r.t_l, r.t_r) for r in kept.select("t_l", "t_r").collect()}
+    pairs = [(a, b) for i, a in enumerate(texts) for b in texts[i + 1 :]]
+    reaching = {p for p, x in zip(pairs, jaro_winkler_batch(*map(list, zip(*pairs)))) if x >= threshold}
+    assert reaching and reaching <= kept
+    assert len(kept) < len(pairs) / 2
